@@ -35,8 +35,12 @@ def typed(df: DataFrame, table: Table) -> DataFrame:
 
 
 def _one_per_key(df: DataFrame, table: Table) -> DataFrame:
-    """One row per key; among copies the smallest by the other columns, taken in table order."""
-    return dedup(df, table.key, [c for c in table.columns if c not in table.key])
+    """One row per key; among copies the smallest by the other columns, taken in table order.
+
+    Nulls come last, so a copy with a malformed value loses against one with a good value.
+    """
+    others = [c for c in table.columns if c not in table.key]
+    return dedup(df, table.key, [F.asc_nulls_last(c) for c in others])
 
 
 def clean_customers(df: DataFrame) -> DataFrame:

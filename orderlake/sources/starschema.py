@@ -11,11 +11,23 @@ from pyspark.sql import functions as F
 from orderlake.operators.clean import dedup
 from orderlake.schemas import BRONZE, Table
 
-COMPLETED = "F"  # status of a completed order in these files
+# The status of a completed order and the columns we read from these files.
+COMPLETED = "F"
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double",
+    "events": "user_id bigint, event_type string, value double, ts timestamp_ntz",
+}
 
 
 def _read(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{directory}/{name}.parquet")
 
 
 def _places(spark: SparkSession, directory: str) -> DataFrame:
@@ -57,20 +69,31 @@ def transactions(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def raw_order_items(spark: SparkSession, directory: str) -> DataFrame:
+def _items(spark: SparkSession, directory: str) -> DataFrame:
     return _read(spark, directory, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("item_total"),
     )
 
 
+def _with_total(items: DataFrame) -> DataFrame:
+    return items.withColumn("item_total", F.col("price"))
+
+
+def raw_order_items(spark: SparkSession, directory: str) -> DataFrame:
+    return _with_total(_items(spark, directory))
+
+
 def order_items(spark: SparkSession, directory: str) -> DataFrame:
-    """One item per order and product; the lowest price and quantity among copies."""
-    items = raw_order_items(spark, directory)
-    return dedup(items, ["order_id", "product_id"], ["price", "quantity"])
+    """One item per order and product; the lowest price and quantity among copies.
+
+    The total is added afterwards, so every branch of a query that reads items shuffles the same
+    columns and Spark runs that shuffle once.
+    """
+    items = dedup(_items(spark, directory), ["order_id", "product_id"], ["price", "quantity"])
+    return _with_total(items)
 
 
 def sellers(spark: SparkSession, directory: str) -> DataFrame:
