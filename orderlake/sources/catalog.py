@@ -43,7 +43,8 @@ def refresh(spark: SparkSession, name: str, partitioned: bool = False) -> None:
 
 
 def find_tables(spark: SparkSession, database: str, pattern: str = "*") -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database, pattern))
+    """Stored tables of a database; the listing also holds session views, which are left out."""
+    return sorted(t.name for t in spark.catalog.listTables(database, pattern) if not t.isTemporary)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
