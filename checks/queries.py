@@ -74,9 +74,13 @@ def transaction_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.order_totals(star.order_items(spark, sf_dir))
+
+
 def transaction_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.transaction_metrics(
-        star.transactions(spark, sf_dir), star.order_items(spark, sf_dir)
+        star.transactions(spark, sf_dir), _order_totals(spark, sf_dir)
     )
 
 
@@ -85,15 +89,18 @@ def latest_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = star.order_items(spark, sf_dir)
     return metrics.customer_totals(
-        star.transactions(spark, sf_dir), star.order_items(spark, sf_dir)
+        star.transactions(spark, sf_dir), items, metrics.order_totals(items)
     )
 
 
 def customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = star.order_items(spark, sf_dir)
     return metrics.customer_metrics(
         star.transactions(spark, sf_dir),
-        star.order_items(spark, sf_dir),
+        items,
+        metrics.order_totals(items),
         star.customers(spark, sf_dir),
     )
 
@@ -150,14 +157,17 @@ def top_customers_per_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.top_customers_per_segment(_tiers(spark, sf_dir))
 
 
-def _gold_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measures = completed.completed_by_customer(
+def _completed_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return completed.completed_by_customer(
         star.transactions(spark, sf_dir),
-        star.order_items(spark, sf_dir),
+        _order_totals(spark, sf_dir),
         star.customers(spark, sf_dir),
         star.COMPLETED,
     )
-    return completed.gold_segments(_tiers(spark, sf_dir), measures)
+
+
+def _gold_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return completed.gold_segments(_tiers(spark, sf_dir), _completed_by_customer(spark, sf_dir))
 
 
 def spend_by_province_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,13 +256,7 @@ def segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_gold_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measures = completed.completed_by_customer(
-        star.transactions(spark, sf_dir),
-        star.order_items(spark, sf_dir),
-        star.customers(spark, sf_dir),
-        star.COMPLETED,
-    )
-    return completed.gold_segments(_kmeans(spark, sf_dir), measures)
+    return completed.gold_segments(_kmeans(spark, sf_dir), _completed_by_customer(spark, sf_dir))
 
 
 # The lake: files, catalog tables and gates

@@ -13,25 +13,36 @@ from pyspark.sql import functions as F
 
 _UNITS = 1_000_000
 _UNIT = Decimal("0.000001")
+_FAST_LIMIT = 2.0**31  # below it, an amount times a million rounds to the right whole number
 
 
 def exact_sum(c: str | Column) -> Column:
     """Sum of a double column as a decimal with six places.
 
-    Rounding to a whole number and casting that is several times cheaper than casting a double to
-    a decimal, which goes through its text. An amount beyond 9e12 fails the job rather than
-    being lost.
+    Rounding to a whole number is several times cheaper than casting a double to a decimal, which
+    goes through its text; only amounts too large for it take the slow way. An amount beyond
+    1e22 fails the job rather than being lost.
     """
     amount = F.col(c) if isinstance(c, str) else c
-    return F.sum(F.rint(amount * _UNITS).cast("bigint").cast("decimal(20,0)")) * F.lit(_UNIT)
+    whole = F.rint(amount * _UNITS).cast("bigint").cast("decimal(28,0)")
+    large = (amount.cast("decimal(28,6)") * _UNITS).cast("decimal(28,0)")
+    return F.sum(F.when(F.abs(amount) < _FAST_LIMIT, whole).otherwise(large)) * F.lit(_UNIT)
+
+
+def to_double(amount: Column) -> Column:
+    """The double nearest to a decimal.
+
+    A plain cast divides two doubles and is off by one unit in the last place above 2**53 units.
+    """
+    return amount.cast("string").cast("double")
 
 
 def mean(total: Column, n: Column) -> Column:
     """Mean as a double from an exact total; null when nothing was counted."""
-    return F.when(n > 0, total.cast("double") / n)
+    return F.when(n > 0, to_double(total) / n)
 
 
 def mean_cents(total: Column, n: Column) -> Column:
     """Mean rounded half up to two places, computed on decimals throughout."""
     ratio = total.cast("decimal(24,2)") / F.when(n > 0, n).cast("decimal(12,0)")
-    return F.round(ratio, 2).cast("double")
+    return to_double(F.round(ratio, 2))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_sum
+from orderlake.functions.money import exact_sum, to_double
 from orderlake.schemas import require_columns
 
 MEASURES = ("n_transactions", "total_spend", "avg_spend", "n_distinct_products")
@@ -66,5 +66,5 @@ def top_customers_per_segment(segments: DataFrame, n: int = 5, by: str = "segmen
 def spend_by_province(gold_segments: DataFrame, by: str = "segment") -> DataFrame:
     """Payments per province and segment."""
     return gold_segments.groupBy("province", by).agg(
-        exact_sum("total_payment").cast("double").alias("total_purchases")
+        to_double(exact_sum("total_payment")).alias("total_purchases")
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_sum, mean
-from orderlake.operators.metrics import order_totals
+from orderlake.functions.money import exact_sum, mean, to_double
 from orderlake.schemas import COMPLETED_STATUS
 
 
@@ -44,23 +43,23 @@ def completed_orders(
 
 def completed_by_customer(
     transactions: DataFrame,
-    order_items: DataFrame,
+    totals: DataFrame,
     customers: DataFrame,
     status: str = COMPLETED_STATUS,
 ) -> DataFrame:
     """Mean item price, orders, last purchase, province and payments over completed orders.
 
-    The same rows as ``completed_orders``, summed per order first: payment is an amount of the
-    order and counts once, and items never reach the join with customers.
+    The same rows as ``completed_orders``, taken from the sums per order of ``order_totals``:
+    payment is an amount of the order and counts once, and no item is shuffled again.
     """
     orders = transactions.filter(F.col("order_status") == status).join(
-        order_totals(order_items.filter("price > 0")), "order_id"
+        totals.filter("n_paid > 0"), "order_id"
     )
     measures = orders.groupBy("customer_id").agg(
-        mean(F.sum("price_sum"), F.sum("prices_counted")).alias("avg_price"),
+        mean(F.sum("paid_sum"), F.sum("n_paid")).alias("avg_price"),
         F.count("order_id").cast("int").alias("n_orders"),
         F.max("purchased_at").alias("last_purchase"),
-        exact_sum("total_payment").cast("double").alias("total_payment"),
+        to_double(exact_sum("total_payment")).alias("total_payment"),
     )
     return measures.join(customers.select("customer_id", "province"), "customer_id", "left")
 

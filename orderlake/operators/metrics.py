@@ -10,13 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_sum, mean, mean_cents
+from orderlake.functions.money import exact_sum, mean, mean_cents, to_double
 from orderlake.operators.ranking import with_ntile, with_rank
 from orderlake.schemas import TIERS
 
 
 def order_totals(order_items: DataFrame) -> DataFrame:
-    """One row per order; sums stay decimal and means stay sum and count, ready to add up."""
+    """One row per order; sums stay decimal and means stay sum and count, ready to add up.
+
+    ``paid_sum`` and ``n_paid`` cover the items with a positive price.
+    """
+    paid = F.when(F.col("price") > 0, F.col("price"))
     return order_items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("product_id").alias("n_items"),
@@ -24,6 +28,8 @@ def order_totals(order_items: DataFrame) -> DataFrame:
         F.count("item_total").alias("items_counted"),
         exact_sum("price").alias("price_sum"),
         F.count("price").alias("prices_counted"),
+        exact_sum(paid).alias("paid_sum"),
+        F.count(paid).alias("n_paid"),
     )
 
 
@@ -32,13 +38,16 @@ def transaction_items(transactions: DataFrame, order_items: DataFrame) -> DataFr
     return transactions.join(order_items, "order_id")
 
 
-def transaction_metrics(transactions: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Total, number of items, mean price and calendar fields of each order that has items."""
-    return transactions.join(order_totals(order_items), "order_id").select(
+def transaction_metrics(transactions: DataFrame, totals: DataFrame) -> DataFrame:
+    """Total, number of items, mean price and calendar fields of each order that has items.
+
+    ``totals`` is the result of ``order_totals``, here and below.
+    """
+    return transactions.join(totals, "order_id").select(
         "order_id",
         "customer_id",
         "purchased_at",
-        F.col("items_sum").cast("double").alias("order_total"),
+        to_double(F.col("items_sum")).alias("order_total"),
         "n_items",
         mean(F.col("price_sum"), F.col("prices_counted")).alias("avg_item_price"),
         F.date_format("purchased_at", "yyyy-MM-dd").alias("purchase_day"),
@@ -53,13 +62,15 @@ def latest_purchase(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("customer_id").agg(F.max("purchased_at").alias("last_purchase"))
 
 
-def customer_totals(transactions: DataFrame, order_items: DataFrame) -> DataFrame:
+def customer_totals(
+    transactions: DataFrame, order_items: DataFrame, totals: DataFrame
+) -> DataFrame:
     """Spend, item, order and product counts and last purchase of each customer with items.
 
     Order sums and distinct products are two branches that meet in one aggregation by customer,
     so customers are shuffled once; both are reduced before that shuffle.
     """
-    orders = transactions.join(order_totals(order_items), "order_id", "left").select(
+    orders = transactions.join(totals, "order_id", "left").select(
         "customer_id", "purchased_at", "n_rows", "items_sum", "items_counted"
     )
     products = (
@@ -68,7 +79,7 @@ def customer_totals(transactions: DataFrame, order_items: DataFrame) -> DataFram
         .select("customer_id", "product_id")
         .distinct()
     )
-    totals = (
+    by_customer = (
         orders.unionByName(products, allowMissingColumns=True)
         .groupBy("customer_id")
         .agg(
@@ -81,23 +92,23 @@ def customer_totals(transactions: DataFrame, order_items: DataFrame) -> DataFram
         )
         .filter("n_orders > 0")
     )
-    return totals.select(
+    return by_customer.select(
         "customer_id",
         "n_transactions",
-        F.col("spend").cast("double").alias("total_spend"),
+        to_double(F.col("spend")).alias("total_spend"),
         mean(F.col("spend"), F.col("items_counted")).alias("avg_spend"),
         "n_distinct_products",
         "n_orders",
-        F.round("spend", 2).cast("double").alias("spend_value"),
+        to_double(F.round("spend", 2)).alias("spend_value"),
         # Orders without a customer have no common buyer, hence no last purchase.
         F.when(F.col("customer_id").isNotNull(), F.col("last_purchase")).alias("last_purchase"),
     )
 
 
-def with_customer_details(totals: DataFrame, customers: DataFrame) -> DataFrame:
+def with_customer_details(by_customer: DataFrame, customers: DataFrame) -> DataFrame:
     """Add address columns; customers without a dimension row keep nulls."""
     details = customers.select("customer_id", "postal_code", "city", "province")
-    return totals.join(details, "customer_id", "left")
+    return by_customer.join(details, "customer_id", "left")
 
 
 def with_tiers(customer_metrics: DataFrame) -> DataFrame:
@@ -111,19 +122,18 @@ def with_tiers(customer_metrics: DataFrame) -> DataFrame:
 
 
 def customer_metrics(
-    transactions: DataFrame, order_items: DataFrame, customers: DataFrame
+    transactions: DataFrame, order_items: DataFrame, totals: DataFrame, customers: DataFrame
 ) -> DataFrame:
     """Customer totals with address and value tier."""
-    return with_tiers(
-        with_customer_details(customer_totals(transactions, order_items), customers)
-    )
+    by_customer = customer_totals(transactions, order_items, totals)
+    return with_tiers(with_customer_details(by_customer, customers))
 
 
 def product_totals(order_items: DataFrame) -> DataFrame:
     """Units, sales and mean price of each sold product."""
     return order_items.groupBy("product_id").agg(
         F.sum("quantity").alias("units_sold"),
-        exact_sum("item_total").cast("double").alias("total_sales"),
+        to_double(exact_sum("item_total")).alias("total_sales"),
         mean(exact_sum("price"), F.count("price")).alias("avg_price"),
     )
 
@@ -145,7 +155,7 @@ def _by_region(customer_metrics: DataFrame, customers: DataFrame, *region: str)
     known = customer_metrics.join(customers.select("customer_id"), "customer_id", "left_semi")
     return known.groupBy(*region).agg(
         F.count("customer_id").alias("n_customers"),
-        exact_sum("total_spend").cast("double").alias("total_spend"),
+        to_double(exact_sum("total_spend")).alias("total_spend"),
         mean_cents(exact_sum("spend_value"), F.count("spend_value")).alias("avg_spend"),
     )
 

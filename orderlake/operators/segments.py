@@ -95,7 +95,7 @@ def _try_k(prepared: DataFrame, k: int, seed: int) -> Trial:
 
 
 def sweep_k(
-    prepared: DataFrame, max_k: int = 10, seed: int = SEED, parallelism: int = 4
+    prepared: DataFrame, max_k: int = 10, seed: int = SEED, parallelism: int = 8
 ) -> list[Trial]:
     """Fit and score every k from 2 to ``max_k``; a k that fails scores -1.
 
@@ -174,7 +174,7 @@ def fit_segments(
     preprocessing: PipelineModel,
     max_k: int = 8,
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> tuple[SegmentModel, list[Trial]]:
     """Choose k, keep the model already fitted for it, and number its clusters by spend."""
     trials = sweep_k(prepared, max_k, seed, parallelism)

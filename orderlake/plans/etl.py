@@ -14,6 +14,7 @@ from orderlake.operators.gates import require_ready
 from orderlake.operators.metrics import (
     city_metrics,
     customer_metrics,
+    order_totals,
     product_metrics,
     province_metrics,
     transaction_metrics,
@@ -25,18 +26,22 @@ from orderlake.sources.lake import Lake, write_table
 
 def bronze_to_silver(spark: SparkSession, lake: Lake) -> None:
     """Clean the six raw CSV tables into Parquet tables."""
-    transactions = schemas.TRANSACTIONS
-    require_ready(read_bronze(spark, lake.path("bronze", "transactions"), transactions), transactions)
+    raw = {
+        name: read_bronze(spark, lake.path("bronze", name), table)
+        for name, table in schemas.BRONZE.items()
+    }
+    require_ready(raw["transactions"], schemas.TRANSACTIONS)
     for name, table in schemas.BRONZE.items():
-        raw = read_bronze(spark, lake.path("bronze", name), table)
-        write_table(CLEANERS[name](raw), lake.path("silver", name), table)
+        write_table(CLEANERS[name](raw[name]), lake.path("silver", name), table)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return {name: lake.read(spark, "silver", table) for name, table in schemas.BRONZE.items()}
 
 
-def publish(spark: SparkSession, lake: Lake, layer: str, df: DataFrame, table: schemas.Table) -> DataFrame:
+def publish(
+    spark: SparkSession, lake: Lake, layer: str, df: DataFrame, table: schemas.Table
+) -> DataFrame:
     """Write a table once and declare it in the catalog over the same files; returns it re-read."""
     path = lake.path(layer, table.name)
     write_table(df, path, table)
@@ -49,7 +54,8 @@ def silver_to_gold(
 ) -> dict[str, DataFrame]:
     """Compute, store and publish the metric tables and the completed-order table.
 
-    Region metrics read the stored customer metrics, so those are computed once.
+    What several tables need is computed once and stored: sums per order, from which transaction,
+    customer and segment measures follow, and customer metrics, from which regions follow.
     """
     silver = read_silver(spark, lake)
     require_ready(silver["transactions"], schemas.TRANSACTIONS)
@@ -57,16 +63,22 @@ def silver_to_gold(
     customers, products = silver["customers"], silver["products"]
     create_database(spark, lake.database, lake.database_location)
 
+    write_table(
+        order_totals(items), lake.path("silver", "order_totals"), schemas.ORDER_TOTALS
+    )
+    totals = lake.read(spark, "silver", schemas.ORDER_TOTALS)
     completed = completed_orders(transactions, items, customers, products, completed_status)
     publish(spark, lake, "silver", completed, schemas.COMPLETED_ORDERS)
 
     def gold(df: DataFrame, table: schemas.Table) -> DataFrame:
         return publish(spark, lake, "gold", df, table)
 
-    by_customer = gold(customer_metrics(transactions, items, customers), schemas.CUSTOMER_METRICS)
+    by_customer = gold(
+        customer_metrics(transactions, items, totals, customers), schemas.CUSTOMER_METRICS
+    )
     tables = {
         "transaction_metrics": gold(
-            transaction_metrics(transactions, items), schemas.TRANSACTION_METRICS
+            transaction_metrics(transactions, totals), schemas.TRANSACTION_METRICS
         ),
         "customer_metrics": by_customer,
         "product_metrics": gold(product_metrics(items, products), schemas.PRODUCT_METRICS),

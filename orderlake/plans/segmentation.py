@@ -35,7 +35,7 @@ def run_segmentation(
     lake: Lake,
     max_k: int = 8,
     completed_status: str = schemas.COMPLETED_STATUS,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> Segmentation:
     """Prepare features, choose k, assign segments, and store segments, gold table and models."""
     customers = lake.read(spark, "gold", schemas.CUSTOMER_METRICS)
@@ -52,8 +52,9 @@ def run_segmentation(
     model.save(lake.models)
 
     silver = read_silver(spark, lake)
+    totals = lake.read(spark, "silver", schemas.ORDER_TOTALS)
     measures = completed_by_customer(
-        silver["transactions"], silver["order_items"], silver["customers"], completed_status
+        silver["transactions"], totals, silver["customers"], completed_status
     )
     gold = publish(
         spark, lake, "gold", gold_segments(segments, measures), schemas.GOLD_SEGMENTS

@@ -157,6 +157,18 @@ CUSTOMER_SEGMENTS = _table(
     ("jumlah_produk_berbeda", "n_distinct_products", "bigint"),
     ("cluster", "segment", "int"),
 )
+ORDER_TOTALS = _table(
+    "order_totals", ["order_id"],
+    ("id_order", "order_id", "string"),
+    ("n_rows", "n_rows", "bigint"),
+    ("n_items", "n_items", "bigint"),
+    ("items_sum", "items_sum", "decimal(38,6)"),
+    ("items_counted", "items_counted", "bigint"),
+    ("price_sum", "price_sum", "decimal(38,6)"),
+    ("prices_counted", "prices_counted", "bigint"),
+    ("paid_sum", "paid_sum", "decimal(38,6)"),
+    ("n_paid", "n_paid", "bigint"),
+)
 COMPLETED_ORDERS = _table(
     "completed_orders", ["order_id", "product_id"],
     ("id_order", "order_id", "string"),

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderlake.functions.money import exact_sum, to_double
 from orderlake.operators import completed, metrics
 
 DAY = [dt.datetime(2024, 1, d, 12, 0, 0) for d in range(1, 29)]
@@ -52,9 +55,13 @@ def silver(spark):
     return transactions, items, customers, products
 
 
+def customer_totals(transactions, items):
+    return metrics.customer_totals(transactions, items, metrics.order_totals(items))
+
+
 def test_transaction_metrics(silver, rows):
     transactions, items, *_ = silver
-    result = metrics.transaction_metrics(transactions, items)
+    result = metrics.transaction_metrics(transactions, metrics.order_totals(items))
     first = result.filter("order_id = 'O1'").first()
     assert (first.order_total, first.n_items, first.avg_item_price) == (100.0, 3, 80.0 / 3)
     assert (first.purchase_day, first.month, first.year) == ("2024-01-01", 1, 2024)
@@ -70,7 +77,7 @@ def test_transaction_metrics_equal_join_then_group(silver, rows):
         F.count("product_id").alias("n_items"),
         F.avg("price").alias("avg_item_price"),
     )
-    assert rows(metrics.transaction_metrics(transactions, items), *plain.columns) == rows(plain)
+    assert rows(metrics.transaction_metrics(transactions, metrics.order_totals(items)), *plain.columns) == rows(plain)
 
 
 def test_latest_purchase_counts_orders_without_items(silver, rows):
@@ -79,7 +86,7 @@ def test_latest_purchase_counts_orders_without_items(silver, rows):
 
 def test_customer_totals(silver):
     transactions, items, *_ = silver
-    found = {r.customer_id: r for r in metrics.customer_totals(transactions, items).collect()}
+    found = {r.customer_id: r for r in customer_totals(transactions, items).collect()}
     assert set(found) == {"C1", "C2", "C9", None}
     c1 = found["C1"]
     assert (c1.n_transactions, c1.n_orders, c1.n_distinct_products) == (4, 2, 3)
@@ -97,7 +104,7 @@ def test_customer_totals_equal_join_then_group(silver, rows):
         F.count_distinct("product_id").alias("n_distinct_products"),
         F.count_distinct("order_id").alias("n_orders"),
     )
-    assert rows(metrics.customer_totals(transactions, items), *plain.columns) == rows(plain)
+    assert rows(customer_totals(transactions, items), *plain.columns) == rows(plain)
 
 
 def test_customer_without_items_has_no_metrics(silver, spark):
@@ -105,13 +112,15 @@ def test_customer_without_items_has_no_metrics(silver, spark):
     lonely = spark.createDataFrame(
         [("O8", "C3", 1.0, DAY[0], "Selesai")], transactions.schema
     )
-    found = metrics.customer_totals(transactions.union(lonely), items)
+    found = customer_totals(transactions.union(lonely), items)
     assert found.filter("customer_id = 'C3'").isEmpty()
 
 
 def test_customer_without_dimension_row(silver):
     transactions, items, customers, _ = silver
-    result = metrics.customer_metrics(transactions, items, customers)
+    result = metrics.customer_metrics(
+        transactions, items, metrics.order_totals(items), customers
+    )
     unknown = result.filter("customer_id = 'C9'").first()
     assert (unknown.province, unknown.postal_code) == (None, None)
     provinces = {r.province: r for r in metrics.province_metrics(result, customers).collect()}
@@ -195,7 +204,9 @@ def test_completed_orders_filter_price_and_status(silver, rows):
 
 def test_payment_counts_once_per_order(silver):
     transactions, items, customers, _ = silver
-    measures = completed.completed_by_customer(transactions, items, customers)
+    measures = completed.completed_by_customer(
+        transactions, metrics.order_totals(items), customers
+    )
     c1 = measures.filter("customer_id = 'C1'").first()
     assert (c1.total_payment, c1.n_orders, c1.avg_price) == (150.0, 2, 130.0 / 4)
     assert (c1.last_purchase, c1.province) == (DAY[1], "Sumatera Utara")
@@ -209,15 +220,34 @@ def test_completed_by_customer_equals_the_completed_table(silver, rows):
         F.count_distinct("order_id").cast("int").alias("n_orders"),
         F.max("purchased_at").alias("last_purchase"),
     )
-    measures = completed.completed_by_customer(transactions, items, customers)
+    measures = completed.completed_by_customer(
+        transactions, metrics.order_totals(items), customers
+    )
     assert rows(measures, *plain.columns) == rows(plain)
 
 
 def test_segmented_customer_without_completed_order(silver, spark, rows):
     transactions, items, customers, _ = silver
     segments = spark.createDataFrame([("C1", 0), ("C3", 1)], "customer_id string, segment int")
-    measures = completed.completed_by_customer(transactions, items, customers)
+    measures = completed.completed_by_customer(
+        transactions, metrics.order_totals(items), customers
+    )
     assert rows(completed.gold_segments(segments, measures)) == [
         ("C1", 0, 32.5, 2, DAY[1], "Sumatera Utara", 150.0),
         ("C3", 1, None, None, None, None, None),
     ]
+
+
+def test_large_sums_are_the_nearest_double(spark):
+    rng = random.Random(3)
+    cents = [rng.randrange(10 ** rng.randrange(2, 15)) for _ in range(4000)]
+    df = spark.createDataFrame([(i % 200, c / 100) for i, c in enumerate(cents)], "g int, x double")
+    found = df.groupBy("g").agg(to_double(exact_sum("x")).alias("s")).collect()
+    for r in found:
+        assert r.s == float(Decimal(sum(cents[r.g::200])) / 100)
+
+
+def test_an_amount_too_large_for_exact_sums_fails_the_job(spark):
+    df = spark.createDataFrame([(1e25,)], "x double")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        df.agg(exact_sum("x")).collect()
