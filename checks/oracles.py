@@ -224,6 +224,15 @@ SELECT order_id, o_custkey AS customer_id, o_totalprice AS total_payment,
        o_orderdate AS purchased_at, o_orderstatus AS order_status,
        product_id, price, quantity, item_total
 FROM orders JOIN items ON o_orderkey = order_id""",
+    "order_totals": f"""WITH {ITEMS}
+SELECT order_id, count(*) AS n_rows, count(product_id) AS n_items,
+       CAST(sum(CAST(item_total AS DECIMAL(18,2))) AS DOUBLE) AS items_sum,
+       count(item_total) AS items_counted,
+       CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS price_sum,
+       count(price) AS prices_counted,
+       CAST(sum(CASE WHEN price > 0 THEN CAST(price AS DECIMAL(18,2)) END) AS DOUBLE) AS paid_sum,
+       count(CASE WHEN price > 0 THEN 1 END) AS n_paid
+FROM items GROUP BY order_id""",
     "transaction_metrics": f"""WITH {ITEMS}
 SELECT order_id, o_custkey AS customer_id, o_orderdate AS purchased_at,
        CAST(sum(CAST(item_total AS DECIMAL(18,2))) AS DOUBLE) AS order_total,

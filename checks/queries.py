@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import schemas
+from orderlake.functions import money
 from orderlake.operators import analysis, clean, completed, gates, metrics, segments
 from orderlake.plans.etl import bronze_to_silver, silver_to_gold
 from orderlake.session import checkpointed, scratch_path
@@ -78,6 +79,12 @@ def _order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.order_totals(star.order_items(spark, sf_dir))
 
 
+def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = _order_totals(spark, sf_dir)
+    sums = ("items_sum", "price_sum", "paid_sum")
+    return totals.withColumns({c: money.to_double(F.col(c)) for c in sums})
+
+
 def transaction_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.transaction_metrics(
         star.transactions(spark, sf_dir), _order_totals(spark, sf_dir)
@@ -332,6 +339,7 @@ QUERIES = {
     "rejected_values": rejected_values,
     "sellers": sellers,
     "transaction_items": transaction_items,
+    "order_totals": order_totals,
     "transaction_metrics": transaction_metrics,
     "latest_purchase": latest_purchase,
     "customer_metrics": customer_metrics,

@@ -8,19 +8,45 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+MB = 1 << 20
+
+
+def shuffle_settings(shuffled_bytes: int) -> dict[str, str]:
+    """Partition sizes for jobs whose largest shuffle moves about ``shuffled_bytes``.
+
+    Shuffles start with partitions of 256 MB, at least 200 and at most 40,000 of them (beyond
+    that the number of blocks, map tasks times partitions, costs more than larger partitions do);
+    adaptive execution merges small ones up to the same size, which is also the size of the
+    files a job writes.
+    """
+    target = 256 * MB
+    partitions = min(max(200, -(-shuffled_bytes // target)), 40_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.files.maxPartitionBytes": str(target),
+    }
+
+
 def create_session(
     app_name: str,
     *,
     warehouse_dir: str | None = None,
     hive: bool = False,
+    shuffled_bytes: int | None = None,
     config: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session; master, memory and catalog address are left to the deployment."""
+    """A session; master, memory and catalog address are left to the deployment.
+
+    ``shuffled_bytes`` sizes partitions for large inputs, see ``shuffle_settings``.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if shuffled_bytes is not None:
+        config = {**shuffle_settings(shuffled_bytes), **(config or {})}
     if warehouse_dir:
         builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     for key, value in (config or {}).items():

@@ -209,6 +209,15 @@ def test_write_refuses_a_frame_that_misses_a_column(spark, tmp_path):
         write_table(df, str(tmp_path / "t"), schemas.PRODUCTS)
 
 
+def test_shuffle_partitions_grow_with_the_data_within_bounds():
+    def partitions(size):
+        return int(session.shuffle_settings(size)["spark.sql.shuffle.partitions"])
+
+    assert partitions(0) == partitions(10**9) == 200
+    assert partitions(10**12) == 3726
+    assert partitions(10**14) == 40_000
+
+
 def test_shared_dir_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = session.shared_dir(spark)
