@@ -17,12 +17,25 @@ from checks.oracles import ORACLES
 from checks.queries import QUERIES
 
 
-def oracle_rows(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def oracle_rows(sf_dir: str, sql: str) -> tuple[dict[str, str], list[tuple]]:
+    """Column types and rows of an SQL text."""
     with duckdb.connect() as connection:
         for file in Path(sf_dir).glob("*.parquet"):
             connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
         cursor = connection.execute(sql)
-        return [c[0] for c in cursor.description], cursor.fetchall()
+        return {c[0]: str(c[1]) for c in cursor.description}, cursor.fetchall()
 
 
 def difference(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, list[str]]:
@@ -32,9 +45,11 @@ def difference(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, list[s
     rows = [tuple(r) for r in result.select(*columns).collect()]
     if name not in ORACLES:
         return len(rows), []
-    names, found = oracle_rows(sf_dir, ORACLES[name])
-    if sorted(names) != columns:
-        return len(rows), [f"columns {columns} != {sorted(names)}"]
+    types, found = oracle_rows(sf_dir, ORACLES[name])
+    ours = {column: TYPES.get(kind, kind) for column, kind in result.dtypes}
+    if ours != types:
+        return len(rows), [f"columns differ: {sorted(ours.items() ^ types.items())}"]
+    names = list(types)
     order = [names.index(c) for c in columns]
     expected = [tuple(row[i] for i in order) for row in found]
     ours, theirs = Counter(map(repr, rows)), Counter(map(repr, expected))
