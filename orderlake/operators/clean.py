@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlake import schemas
 from orderlake.functions.parse import parse
-from orderlake.schemas import Table, require_columns
+from orderlake.schemas import Field, Table, require_columns
 
 
 def dedup(df: DataFrame, keys: Iterable[str], order_by: Iterable[str | Column]) -> DataFrame:
@@ -86,9 +86,16 @@ CLEANERS = {
 }
 
 
+def parsed_fields(table: Table) -> list[Field]:
+    return [f for f in table.fields if f.type != "string"]
+
+
 def rejected_values(raw: DataFrame, table: Table) -> DataFrame:
-    """Per parsed column: how many values were present and how many of them were malformed."""
-    parsed = [f for f in table.fields if f.type != "string" and f.name in raw.columns]
+    """Per parsed column: how many values were present and how many of them were malformed.
+
+    One pass over the raw table; only tables with a column to parse have an answer.
+    """
+    parsed = [f for f in parsed_fields(table) if f.name in raw.columns]
     present = {f.name: F.col(f.name).isNotNull() for f in parsed}
     counts = raw.agg(
         *(

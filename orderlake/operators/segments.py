@@ -20,11 +20,15 @@ from py4j.protocol import Py4JError
 from orderlake.operators.analysis import segment_profile
 from orderlake.schemas import require_columns
 
-# The four features, the seed and the number of segments when no score is usable.
+# The four features, the seed, the number of segments when no score is usable, the
+# score of a failed trial, and the folders of stored models.
 FEATURES = ("n_transactions", "total_spend", "avg_spend", "n_distinct_products")
 SEED = 42
 DEFAULT_K = 3
 FAILED_SCORE = -1.0
+KMEANS_FOLDER = "kmeans_customer_segmentation"
+PREPROCESSING_FOLDER = "preprocessing_pipeline"
+LABELS_FOLDER = "segment_labels"
 
 
 def prepare_features(
@@ -156,16 +160,16 @@ class SegmentModel:
 
     def save(self, path: str) -> None:
         """Overwrite the three artefacts below ``path``."""
-        self.clusters.write().overwrite().save(f"{path}/kmeans_customer_segmentation")
-        self.preprocessing.write().overwrite().save(f"{path}/preprocessing_pipeline")
-        self.labels.write().overwrite().save(f"{path}/segment_labels")
+        self.clusters.write().overwrite().save(f"{path}/{KMEANS_FOLDER}")
+        self.preprocessing.write().overwrite().save(f"{path}/{PREPROCESSING_FOLDER}")
+        self.labels.write().overwrite().save(f"{path}/{LABELS_FOLDER}")
 
     @staticmethod
     def load(path: str) -> SegmentModel:
         return SegmentModel(
-            PipelineModel.load(f"{path}/preprocessing_pipeline"),
-            KMeansModel.load(f"{path}/kmeans_customer_segmentation"),
-            SQLTransformer.load(f"{path}/segment_labels"),
+            PipelineModel.load(f"{path}/{PREPROCESSING_FOLDER}"),
+            KMeansModel.load(f"{path}/{KMEANS_FOLDER}"),
+            SQLTransformer.load(f"{path}/{LABELS_FOLDER}"),
         )
 
 

@@ -5,10 +5,12 @@ State passes between the steps only through the files of a layer, so each can ru
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake import schemas
-from orderlake.operators.clean import CLEANERS
+from orderlake.operators.clean import CLEANERS, parsed_fields, rejected_values
 from orderlake.operators.completed import completed_orders
 from orderlake.operators.gates import require_ready
 from orderlake.operators.metrics import (
@@ -24,8 +26,11 @@ from orderlake.sources.catalog import create_database, create_external_table, re
 from orderlake.sources.lake import Lake, write_table
 
 
-def bronze_to_silver(spark: SparkSession, lake: Lake) -> None:
-    """Clean the six raw CSV tables into Parquet tables."""
+def bronze_to_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Clean the six raw CSV tables into Parquet tables.
+
+    Returns the counts of malformed values; they cost a pass over the raw files when looked at.
+    """
     raw = {
         name: read_bronze(spark, lake.path("bronze", name), table)
         for name, table in schemas.BRONZE.items()
@@ -33,6 +38,8 @@ def bronze_to_silver(spark: SparkSession, lake: Lake) -> None:
     require_ready(raw["transactions"], schemas.TRANSACTIONS)
     for name, table in schemas.BRONZE.items():
         write_table(CLEANERS[name](raw[name]), lake.path("silver", name), table)
+    rejected = [rejected_values(raw[t.name], t) for t in schemas.BRONZE.values() if parsed_fields(t)]
+    return reduce(DataFrame.unionByName, rejected)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlake import schemas, session
+from orderlake.__main__ import main
 from orderlake.operators.gates import NotReady
 from orderlake.operators.segments import SegmentModel
 from orderlake.plans.etl import bronze_to_silver, silver_to_gold
@@ -146,13 +147,34 @@ def test_report(spark, shop):
 
 def test_views_under_the_names_of_old_reports(spark, shop):
     gold = spark.table("shop.gold_segments")
-    catalog.register_views({"gold_segments": gold}, source_names=True)
-    spark.table("gold_segments_view").createOrReplaceTempView("gold_segmentasi_pelanggan")
-    found = spark.sql(
-        "SELECT provinsi_pelanggan, segment, SUM(total_pembayaran) AS total_pembelian "
-        "FROM gold_segmentasi_pelanggan GROUP BY provinsi_pelanggan, segment"
-    )
-    assert found.agg(F.sum("total_pembelian")).first()[0] == 20_500.0
+    assert catalog.register_views({"gold_segments": gold}, source_names=True) == ["gold_segments_view"]
+    by_place = spark.table("gold_segments_view").groupBy("provinsi_pelanggan", "segment")
+    assert by_place.sum("total_pembayaran").agg({"sum(total_pembayaran)": "sum"}).first()[0] == 20_500.0
+
+
+def test_malformed_values_are_reported(spark, tmp_path):
+    fill_bronze(tmp_path, n_customers=10)
+    rejected = bronze_to_silver(spark, Lake(str(tmp_path)))
+    found = {(r.table_name, r.column_name): (r.n_values, r.n_rejected) for r in rejected.collect()}
+    assert found["transactions", "approved_at"] == (40, 40)
+    assert found["transactions", "purchased_at"] == (40, 0)
+    assert found["order_items", "price"] == (125, 0)
+
+
+def test_steps_run_from_the_command_line(spark, tmp_path, capsys):
+    fill_bronze(tmp_path, n_customers=15)
+    options = [f"--root={tmp_path}", "--database=cli", f"--database-location={tmp_path}/catalog"]
+    for step in ("silver", "gold", "segments"):
+        main([step, *options, "--max-k=3"], spark)
+    main(["report", *options], spark)
+    shown = capsys.readouterr().out
+    assert "segment_counts" in shown and "spend_by_province" in shown
+    assert spark.table("cli.customer_segments").count() == 15
+
+
+def test_create_session_joins_the_running_one(spark):
+    same = session.create_session("other", config={"spark.sql.ansi.doubleQuotedIdentifiers": "false"})
+    assert same.sparkContext is spark.sparkContext
 
 
 def test_second_run_replaces_the_first(spark, tmp_path, rows):
