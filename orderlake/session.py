@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +58,7 @@ def create_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a folder of its own; a cluster must name one.
+    A local session without that setting uses a folder in its warehouse; a cluster must name one.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -67,7 +66,7 @@ def shared_dir(spark: SparkSession) -> str:
         if named is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            named = tempfile.mkdtemp(prefix="orderlake-")
+            named = f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
         context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
