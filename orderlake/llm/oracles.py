@@ -1,3 +1,19 @@
 """The same queries in DuckDB SQL, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+OP5 = r"""
+WITH normal AS (
+    SELECT doc_id,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
+    FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER (PARTITION BY t) AS keep_id,
+       count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY t) AS kept,
+       sha256(t) AS text_sha256
+FROM normal
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": OP5,
+}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.llm import secrets
-from orderlake.llm.common import documents
+from orderlake.llm import bpe, exact_dedup, fingerprint, mixing, secrets
+from orderlake.llm.common import TOKENIZER, documents
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +14,27 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(docs, secrets.fit(docs)))
 
 
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    return bpe.round_trip(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op7_source_mix": op7_source_mix,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
