@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ WORDS = re.compile(WORD)
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
+FILTER_BITS = 1 << 24
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -44,3 +48,68 @@ def remainder(id_column: Column, divisor: int) -> Column:
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def bit_filter(keys: DataFrame, key: str, n_keys: int) -> Callable[[np.ndarray], np.ndarray]:
+    """A test whether non-negative numbers may be among ``keys``; never false for one that is.
+
+    One bit per hash class, at least 16 classes per key, but at most ``FILTER_BITS`` bits, which
+    bounds what the driver collects and sends out. Beyond that bound more numbers pass, so a join
+    has to follow.
+    """
+    bits = min(FILTER_BITS, max(1 << 10, 1 << (16 * n_keys).bit_length()))
+    words = np.zeros(bits // 32, np.uint32)
+    rows = (
+        keys.selectExpr(
+            f"cast({key} % {bits} div 32 as int) AS word",
+            f"shiftleft(1L, cast({key} % {bits} % 32 as int)) AS bit",
+        )
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+    )
+    for row in rows.collect():
+        words[row.word] = row.bits
+
+    def among(values: np.ndarray) -> np.ndarray:
+        place = values % bits
+        return ((words[place >> 5] >> (place & 31).astype(np.uint32)) & 1).astype(bool)
+
+    return among
+
+
+# Connected components
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    larger = both.filter("b > a").join(least, "a")
+    return larger.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), "m")
+    return moved.unionByName(least).distinct().withColumnRenamed("m", "b")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Rows (node, component) for every node of ``links`` (a, b): the smallest node it reaches.
+
+    Alternating large-star and small-star steps, each stored, until every node points at its
+    smallest one. Steps shuffle the links only, and their number grows with the logarithm of the
+    longest path.
+    """
+    edges = stored(links.select("a", "b").filter("a <> b").distinct(), "links")
+    seen = None
+    while True:
+        edges = stored(_small_star(_large_star(edges)), "stars")
+        state = edges.agg(
+            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
+        ).first()
+        if state == seen:
+            break
+        seen = state
+    lowest = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(lowest)

@@ -9,7 +9,7 @@ Blocks and ranges hold a fixed number of fingerprints whatever the input, so a t
 bounded: equal fingerprints beyond two per block and range add nothing to an answer and are sent
 as one run.
 
-Texts are found again by their fingerprint. A bit filter of bounded size (``FILTER_BITS``) keeps
+Texts are found again by their fingerprint. A bit filter of bounded size (``common.FILTER_BITS``) keeps
 nearly all other texts out of that shuffle; beyond its bound it lets more of them through, and the
 join that follows removes them.
 """
@@ -21,14 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import SPACE, narrowed, stored, text_or_empty
+from orderlake.llm.common import SPACE, bit_filter, narrowed, stored, text_or_empty
 
 KEY_BITS = 60
-FILTER_BITS = 1 << 24
 
 
 # Golomb-Rice codes of sorted numbers. The unary quotients and the remainders are two streams, so
@@ -170,33 +168,13 @@ def exchange(
 # Byte verification
 
 
-def _filter_words(suspects: DataFrame, n_suspects: int) -> tuple[int, np.ndarray]:
-    """A bit per hash class of suspect keys, as words; at most ``FILTER_BITS`` bits."""
-    bits = min(FILTER_BITS, max(1 << 10, 1 << (16 * n_suspects).bit_length()))
-    rows = (
-        suspects.selectExpr(
-            f"cast(key % {bits} div 32 as int) AS word",
-            f"shiftleft(1L, cast(key % {bits} % 32 as int)) AS bit",
-        )
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("value"))
-        .collect()
-    )
-    words = np.zeros(bits // 32, np.uint32)
-    for row in rows:
-        words[row.word] = row.value
-    return bits, words
-
-
 def suspect_texts(texts: DataFrame, suspects: DataFrame, n_suspects: int) -> DataFrame:
     """Rows of ``texts`` whose key is among the distinct keys of ``suspects``."""
-    bits, words = _filter_words(suspects, n_suspects)
+    among = bit_filter(suspects, "key", n_suspects)
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.column("key").to_numpy() % bits
-            hit = (words[place >> 5] >> (place & 31).astype(np.uint32)) & 1
-            yield pc.filter(batch, pa.array(hit.astype(bool)))
+            yield batch.filter(pa.array(among(batch.column("key").to_numpy())))
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     columns = texts.select("doc_id", "text", "sha", "key")

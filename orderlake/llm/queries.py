@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlake.llm import bpe, exact_dedup, fingerprint, mixing, secrets
+from orderlake.llm import bpe, exact_dedup, fingerprint, mixing, ngram_jaccard, secrets
 from orderlake.llm.common import TOKENIZER, documents
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.similar_documents(documents(spark, sf_dir))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return secrets.digests(secrets.scan(docs, secrets.fit(docs)))
@@ -32,6 +36,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_secret_scan": op2_secret_scan,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op5_exact_dedup": op5_exact_dedup,
