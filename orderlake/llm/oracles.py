@@ -14,6 +14,98 @@ SELECT doc_id,
 FROM normal
 """
 
+OP4 = r"""
+WITH words AS (
+    SELECT doc_id,
+           [('0x' || substr(md5(w), 1, 5))::BIGINT
+            for w in regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')] AS classes
+    FROM documents
+),
+places AS (
+    SELECT doc_id, classes[i] AS v, CASE WHEN i > 1 THEN classes[i - 1] END AS u
+    FROM words, unnest(range(1, len(classes) + 1)) AS t(i)
+),
+uni AS (SELECT v AS w, count(*) AS c FROM places GROUP BY v),
+bi AS (SELECT u, v, count(*) AS c FROM places WHERE u IS NOT NULL GROUP BY u, v HAVING count(*) >= 2),
+total AS (SELECT sum(c) AS n FROM uni),
+scored AS (
+    SELECT p.doc_id,
+           count(bi.c) AS n_seen,
+           sum(CASE WHEN p.u IS NULL THEN ln(uv.c / n)
+                    WHEN bi.c IS NULL THEN ln(0.4 * uv.c / n)
+                    ELSE ln(bi.c / uu.c) END) AS s
+    FROM places p
+    CROSS JOIN total
+    JOIN uni uv ON uv.w = p.v
+    LEFT JOIN uni uu ON uu.w = p.u
+    LEFT JOIN bi ON bi.u = p.u AND bi.v = p.v
+    GROUP BY p.doc_id
+)
+SELECT doc_id,
+       len(classes)::BIGINT AS n_words,
+       coalesce(n_seen, 0)::BIGINT AS n_seen,
+       round(s / len(classes), 6) AS lm_score
+FROM words LEFT JOIN scored USING (doc_id)
+"""
+
+OP6 = r"""
+WITH captures AS (
+    SELECT page_id,
+           DATE '2024-01-01' + (page_id % 366)::INT AS fetched,
+           regexp_replace(lower(regexp_extract(url,
+               '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', '') AS host,
+           regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+),
+hosts AS (
+    SELECT host, x, ['malware', 'spam', 'adult'][x % 3 + 1] AS list,
+           DATE '2023-10-01' + (x % 300 + x % 40) AS start
+    FROM (SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 6))::INT AS x
+          FROM captures WHERE host <> '')
+),
+entries AS (
+    SELECT list, 'host:' || host AS key, start AS dated, true AS active FROM hosts
+    UNION ALL SELECT list, 'host:' || host, start + 50, false FROM hosts
+    UNION ALL SELECT list, 'host:' || host, start + 20, true FROM hosts
+    UNION ALL SELECT list, 'host:' || host, start + 150, true FROM hosts WHERE x % 4 = 0
+    UNION ALL SELECT list, 'domain:' || regexp_replace(host, '^[^.]*[.]', ''), start + 30, true
+              FROM hosts WHERE x % 23 = 0
+    UNION ALL SELECT list, 'domain:' || regexp_replace(host, '^[^.]*[.]', ''), start + 90, false
+              FROM hosts WHERE x % 23 = 0
+    UNION ALL SELECT list, 'prefix:' || host || '/en', start + 80, true FROM hosts WHERE x % 5 = 0
+),
+days AS (SELECT list, key, dated, max(active) AS active FROM entries GROUP BY list, key, dated),
+intervals AS (
+    SELECT list, key, dated AS valid_from, active,
+           lead(dated) OVER (PARTITION BY list, key ORDER BY dated) AS valid_to
+    FROM days
+),
+keys AS (
+    SELECT page_id, fetched, 'host:' || host AS key FROM captures WHERE host <> ''
+    UNION
+    SELECT page_id, fetched, 'domain:' || array_to_string(parts[i:], '.')
+    FROM (SELECT page_id, fetched, string_split(host, '.') AS parts FROM captures WHERE host <> ''),
+         unnest(range(1, len(parts) + 1)) AS t(i)
+    UNION
+    SELECT page_id, fetched, 'prefix:' || host || '/' || array_to_string(parts[1:i], '/')
+    FROM (SELECT page_id, fetched, host,
+                 [p for p in string_split(path, '/') if p <> ''] AS parts
+          FROM captures WHERE host <> ''),
+         unnest(range(1, len(parts) + 1)) AS t(i)
+),
+matches AS (
+    SELECT page_id, count(*) AS n, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+    FROM keys JOIN intervals USING (key)
+    WHERE active AND valid_from <= fetched AND (valid_to IS NULL OR fetched < valid_to)
+    GROUP BY page_id
+)
+SELECT page_id, host, fetched, coalesce(n, 0)::BIGINT AS n_matches,
+       coalesce(lists, '') AS lists, n IS NOT NULL AS blocked
+FROM captures LEFT JOIN matches USING (page_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_lm_score": OP4,
     "op5_exact_dedup": OP5,
+    "op6_url_filter": OP6,
 }
