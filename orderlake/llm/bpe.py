@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from orderlake.llm.common import narrowed
 
@@ -29,6 +30,7 @@ NONE = np.int32(2**31 - 1)  # the rank of a pair that does not merge
 LONGEST_ROW = 256
 _CACHED_PIECES = 300_000
 _CHUNK_CHARS = 1_000_000
+_IDS = ArrayType(IntegerType())
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -301,7 +303,7 @@ def encode(
     file = docs.sparkSession.sparkContext.broadcast(_read(path))
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (text, "ids")]
     narrow = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`"))
-    schema = narrow.drop(text).schema.add("ids", "array<int>")
+    schema = narrow.drop(text).schema.add("ids", _IDS)
     return narrow.mapInArrow(lambda b: encoded(b, file.value, pattern, text), schema)
 
 
@@ -312,6 +314,31 @@ def decode(encoded_docs: DataFrame, path: str) -> DataFrame:
     return encoded_docs.mapInArrow(lambda b: decoded(b, file.value), schema)
 
 
+def checked_ids(
+    docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text"
+) -> DataFrame:
+    """The columns ``keep``, ``n_tokens``, ``ids``, and the SHA-256 of what the ids decode to."""
+    file = docs.sparkSession.sparkContext.broadcast(_read(path))
+    narrow = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in decoded(encoded(batches, file.value, pattern, "_text"), file.value):
+            ids = batch.column("ids")
+            digests = [hashlib.sha256(b.as_buffer()).hexdigest() for b in batch.column("bytes")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in keep),
+                    ids.value_lengths().cast(pa.int64()),
+                    ids,
+                    pa.array(digests, pa.string()),
+                ],
+                [*keep, "n_tokens", "ids", "decoded_sha256"],
+            )
+
+    schema = narrow.drop("_text").schema.add("n_tokens", "long").add("ids", _IDS)
+    return narrow.mapInArrow(run, schema.add("decoded_sha256", "string"))
+
+
 def round_trip(
     docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:

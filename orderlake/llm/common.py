@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +78,21 @@ def bit_filter(keys: DataFrame, key: str, n_keys: int) -> Callable[[np.ndarray],
     return among
 
 
+def split_by_filter(
+    rows: DataFrame, key: str, among: Callable[[np.ndarray], np.ndarray]
+) -> tuple[DataFrame, DataFrame]:
+    """(rows surely without a match, rows that may have one) by their non-negative ``key``."""
+
+    def part(wanted: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(among(batch.column(key).to_numpy()) == wanted))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    return part(False), part(True)
+
+
 # Connected components
 
 

@@ -16,15 +16,12 @@ join that follows removes them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import SPACE, bit_filter, narrowed, stored, text_or_empty
+from orderlake.llm.common import SPACE, bit_filter, narrowed, split_by_filter, stored, text_or_empty
 
 KEY_BITS = 60
 
@@ -67,10 +64,13 @@ def decode(code: bytes) -> np.ndarray:
 # The exchange
 
 
-def _fingerprints(docs: DataFrame, id_column: str, text: str, key_bits: int) -> DataFrame:
-    """(doc_id, text, sha, key) with the normalised text."""
+def _fingerprints(
+    docs: DataFrame, id_column: str, text: str, key_bits: int, *more: str
+) -> DataFrame:
+    """(doc_id, text, sha, key) with the normalised text, and the columns ``more``."""
     normal = F.regexp_replace(text_or_empty("text"), SPACE, " ")
-    hashed = narrowed(docs, doc_id=id_column, text=text).select("doc_id", normal.alias("text"))
+    narrow = narrowed(docs, doc_id=id_column, text=text, **{c: c for c in more})
+    hashed = narrow.select("doc_id", normal.alias("text"), *more)
     hashed = hashed.withColumn("sha", F.sha2("text", 256))
     number = F.conv(F.substring("sha", 1, KEY_BITS // 4), 16, 10).cast("bigint")
     return hashed.withColumn("key", F.shiftright(number, KEY_BITS - key_bits))
@@ -171,16 +171,8 @@ def exchange(
 def suspect_texts(texts: DataFrame, suspects: DataFrame, n_suspects: int) -> DataFrame:
     """Rows of ``texts`` whose key is among the distinct keys of ``suspects``."""
     among = bit_filter(suspects, "key", n_suspects)
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(among(batch.column("key").to_numpy())))
-
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    columns = texts.select("doc_id", "text", "sha", "key")
-    return columns.mapInArrow(likely, f"doc_id {kind}, text string, sha string, key long").join(
-        suspects, "key", "left_semi"
-    )
+    likely = split_by_filter(texts.select("doc_id", "text", "sha", "key"), "key", among)[1]
+    return likely.join(suspects, "key", "left_semi")
 
 
 def _classes(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -201,6 +193,16 @@ def _with_class(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _marked(texts: DataFrame, key_bits: int, rows_per_block: int) -> DataFrame:
+    """(row, doc_id, sha, key, suspect), stored, after the exchange."""
+    fingerprints = stored(
+        texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "sha", "key"),
+        "fingerprints",
+    )
+    n_rows = fingerprints.count()
+    return stored(exchange(fingerprints, key_bits, rows_per_block, n_rows), "marked")
+
+
 def exact_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -217,12 +219,7 @@ def exact_duplicates(
     ``docs`` are ignored.
     """
     texts = _fingerprints(docs, id_column, text, key_bits)
-    fingerprints = stored(
-        texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "sha", "key"),
-        "fingerprints",
-    )
-    n_rows = fingerprints.count()
-    marked = stored(exchange(fingerprints, key_bits, rows_per_block, n_rows), "marked")
+    marked = _marked(texts, key_bits, rows_per_block)
     single = marked.filter(~F.col("suspect")).select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
@@ -250,3 +247,38 @@ def exact_duplicates(
         rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "colliding")
         result = result.unionByName(_with_class(rows, ["key", "text"]))
     return result
+
+
+def deduplicated(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    *,
+    key_bits: int = KEY_BITS,
+    rows_per_block: int = 2_000_000,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one for each different text.
+
+    The row that stays is that of ``exact_duplicates``. Only texts with a suspect fingerprint are
+    shuffled.
+    """
+    texts = _fingerprints(docs, id_column, text, key_bits)
+    marked = _marked(texts, key_bits, rows_per_block)
+    keys = stored(marked.filter("suspect").select("key").distinct(), "suspect_keys")
+    among = bit_filter(keys, "key", keys.count())
+    whole = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"),
+        F.col(f"`{id_column}`").alias("doc_id"),
+        F.col(f"`{text}`").alias("text"),
+    )
+    hashed = _fingerprints(whole, "doc_id", "text", key_bits, "whole")
+    clear, likely = split_by_filter(hashed.select("whole", "key", "doc_id", "text"), "key", among)
+    unmatched = likely.join(keys, "key", "left_anti")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("whole"))
+    chosen = (
+        likely.join(keys, "key", "left_semi")
+        .groupBy("key", "text")
+        .agg(F.min_by("whole", order).alias("whole"))
+    )
+    parts = [part.select("whole.*") for part in (clear, unmatched, chosen)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -6,7 +6,8 @@ does not matter, and paragraphs can be inserted or deleted by adding or subtract
 
 A vector has two sections. The exact one (8 lanes modulo 2**64, from BLAKE2b of the paragraph)
 decides equality. The likeness one (128 lanes modulo 2**32) adds each word trigram of the
-paragraph to a lane with a sign, so the cosine of two sections estimates how much text they share.
+paragraph (of a paragraph under 8 words also each word) to a lane with a sign, so the cosine of two
+sections estimates how much text they share.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from orderlake.llm.common import narrowed
 
 EXACT, LIKE = 8, 128
+SHORT = 8  # words; a shorter paragraph has few trigrams
 _LANE_BITS = np.uint64(7)
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _CACHED_WORDS = 500_000
@@ -54,9 +56,9 @@ def vector(paragraphs: list[str]) -> Vector:
     ends, short = [], []
     for p in paragraphs:
         own = p.split()
-        if len(own) < 3:
-            short.append(_hashes[p])
-        else:
+        if len(own) < SHORT:
+            short += map(_hashes.__getitem__, own)
+        if len(own) > 2:
             words += own
             ends.append(len(words))
     grams = np.array(short, np.uint64)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import bit_filter, components, narrowed, stored
+from orderlake.llm.common import bit_filter, components, narrowed, split_by_filter, stored
 
 # n-grams ordered by their frequency; the rest of the order is by hash
 MAX_FREQUENT = 1 << 19
@@ -71,12 +71,17 @@ def shingles(text: str | None, k: int, hashes: dict[bytes, int]) -> np.ndarray:
     return np.unique(grams)
 
 
+def _row_key(id_column: str, text: str) -> Column:
+    """A non-negative number for a row's id and text."""
+    return F.shiftrightunsigned(F.xxhash64(f"`{id_column}`", f"`{text}`"), 1)
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, class_key, key, grams): the sets of all documents, made anew on each use.
+    """(doc_id, row_key, n, class_key, key, grams): the sets of all documents, made on each use.
 
     Sets take more room than their texts, so they are not stored. ``class_key`` stands for the
     whole set, ``key`` is its first 60 bits as a number.
@@ -92,15 +97,19 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("row_key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(keys, pa.string()),
                     pa.array([int(key[:15], 16) for key in keys], pa.int64()),
                     pa.array(blobs, pa.binary()),
                 ],
-                ["doc_id", "n", "class_key", "key", "grams"],
+                ["doc_id", "row_key", "n", "class_key", "key", "grams"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, class_key string, key long, grams binary")
+    return docs.select("doc_id", "text", _row_key("doc_id", "text").alias("row_key")).mapInArrow(
+        run,
+        f"doc_id {kind}, row_key long, n long, class_key string, key long, grams binary",
+    )
 
 
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -352,6 +361,32 @@ def linked_classes(sets: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return components(links.unionByName(more))
 
 
+def _labelled(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, row_key, n, component, component_id); no component without a set."""
+    sets = _sets(docs, words)
+    rows = stored(sets.select("doc_id", "row_key", "n", "class_key"), "set_keys")
+    classes = _classes(sets, percent)
+    linked = linked_classes(sets, classes, percent)
+    class_ids = (
+        rows.filter("n > 0").groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
+    )
+    labelled = (
+        classes.select("class_key", "node")
+        .join(class_ids, "class_key")
+        .join(linked, "node", "left")
+        .select("class_key", "class_id", F.coalesce("component", "node").alias("component"))
+    )
+    smallest = labelled.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    by_class = stored(
+        labelled.join(smallest, "component").select(
+            F.col("class_key").alias("known_class"), "component", "component_id"
+        ),
+        "class_components",
+    )
+    own_class = (F.col("class_key") == F.col("known_class")) & (F.col("n") > 0)
+    return rows.join(by_class, own_class, "left").drop("class_key", "known_class")
+
+
 def similar_documents(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -368,31 +403,44 @@ def similar_documents(
     unless there is no other. Rows with equal ids stay separate rows. An empty table gives an
     empty table; other columns of ``docs`` are ignored.
     """
-    sets = _sets(narrowed(docs, doc_id=id_column, text=text), words)
-    rows = stored(sets.select("doc_id", "n", "class_key"), "set_keys")
-    classes = _classes(sets, percent)
-    linked = linked_classes(sets, classes, percent)
-    class_ids = (
-        rows.filter("n > 0").groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
-    )
-    labelled = (
-        classes.select("class_key", "node")
-        .join(class_ids, "class_key")
-        .join(linked, "node", "left")
-        .select("class_key", "class_id", F.coalesce("component", "node").alias("component"))
-    )
-    smallest = labelled.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    by_class = stored(
-        labelled.join(smallest, "component").select("class_key", "component_id"), "class_components"
-    )
-    return rows.join(
-        by_class.withColumnRenamed("class_key", "key"),
-        (F.col("class_key") == F.col("key")) & (F.col("n") > 0),
-        "left",
-    ).select(
+    return _labelled(narrowed(docs, doc_id=id_column, text=text), words, percent).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id"))
         .otherwise(F.col("doc_id"))
         .alias("component_id"),
     )
+
+
+def representatives(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    *,
+    words: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one document of each component.
+
+    The smallest id stays, null ids last; among different texts under that id one is chosen by
+    hash. Documents without words stay, and so do repeated rows of the document that stays.
+    """
+    labelled = stored(
+        _labelled(narrowed(docs, doc_id=id_column, text=text), words, percent)
+        .filter("component IS NOT NULL")
+        .select("doc_id", "row_key", "component"),
+        "component_rows",
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = labelled.groupBy("component").agg(F.min_by("row_key", order).alias("first_key"))
+    gone = stored(
+        labelled.join(first, "component")
+        .filter("row_key <> first_key")
+        .select(F.col("row_key").alias("_row_key"))
+        .distinct(),
+        "gone",
+    )
+    among = bit_filter(gone, "_row_key", gone.count())
+    keyed = docs.withColumn("_row_key", _row_key(id_column, text))
+    stay, likely = split_by_filter(keyed, "_row_key", among)
+    return stay.unionByName(likely.join(gone, "_row_key", "left_anti")).drop("_row_key")
