@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from orderlake.llm.common import narrowed
 
@@ -310,7 +310,7 @@ def encode(
 def decode(encoded_docs: DataFrame, path: str) -> DataFrame:
     """Add ``bytes`` to rows with ``ids``; they equal the encoded text in UTF-8."""
     file = encoded_docs.sparkSession.sparkContext.broadcast(_read(path))
-    schema = encoded_docs.schema.add("bytes", "binary")
+    schema = StructType([*encoded_docs.schema.fields, StructField("bytes", BinaryType())])
     return encoded_docs.mapInArrow(lambda b: decoded(b, file.value), schema)
 
 

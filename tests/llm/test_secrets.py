@@ -1,0 +1,147 @@
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+
+import brute
+import numpy as np
+import pytest
+from conftest import SF_DIR, edge_rows
+
+from orderlake.llm import secrets
+from orderlake.llm.common import documents
+
+
+def listed(text):
+    return [f"{kind}:{start}:{end}" for start, end, kind in secrets.base_spans(text)]
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("password=abcdefghijkl", ["assign:0:21"]),
+        ("password=abcdefghijk", []),
+        ('x API_KEY" : "abcdefghijkl"', ["assign:2:26"]),
+        # the match ends inside the second key, which then is no match of its own
+        ("secret=token:abcdefghijklmnop", []),
+        ("pa\u017f\u017fword=abcdefghijkl to\u212aen=abcdefghijkl", []),  # a Kelvin sign is no k
+        ("AKIA" + "A" * 13, []),
+        ("AKIA" + "A" * 14 + "a", ["access:0:18"]),
+        ("é" + "0123456789abcdef" * 2 + "G", ["hex:1:33"]),
+        ("token=0123456789abcdef", ["assign:0:22", "hex:6:22"]),
+        ("", []),
+    ],
+)
+def test_base_spans(text, want):
+    assert listed(text) == want == brute.base_spans(text)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_base_spans_of_random_texts(seed):
+    r = random.Random(seed)
+    parts = ["password", "token", "Secret", "=", ":", " ", "'", "AKIA", "ABCDEFGH01234567",
+             "0123456789abcdef", "ab", "\n", "é", "api_key", "x.y-z"]
+    text = "".join(r.choices(parts, k=200))
+    assert listed(text) == brute.base_spans(text)
+
+
+def random_field(seed):
+    r = np.random.default_rng(seed)
+    return secrets.Field(
+        r.normal(size=(secrets.N_FEATURES, 3)), r.normal(size=(3, 3)), r.normal(size=3)
+    )
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_viterbi_finds_the_best_path(seed):
+    field = random_field(seed)
+    r = random.Random(seed)
+    features = [r.sample(range(secrets.N_FEATURES), 4) for _ in range(r.randint(1, 5))]
+    scores = field.scores(features)
+
+    def total(path):
+        return (
+            field.start[path[0]]
+            + sum(scores[t, s] for t, s in enumerate(path))
+            + sum(field.move[a, b] for a, b in zip(path, path[1:]))
+        )
+
+    best = max(itertools.product(range(3), repeat=len(features)), key=total)
+    assert field.viterbi(features) == list(best)
+
+
+def test_training_lowers_the_loss_and_separates():
+    r = random.Random(1)
+    runs = []
+    for _ in range(200):
+        states = [r.choice([0, 1])]
+        while r.random() < 0.4:
+            states.append(r.choice([0, 2] if states[-1] else [0, 1]))
+        runs.append(([[0, 1 + s, 10 + r.randrange(5)] for s in states], states))
+    field = secrets.train(runs)
+    assert all(field.viterbi(f) == s for f, s in runs)
+    assert secrets.train([([[0]], [0])]) is None
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    r = random.Random(2)
+    hexes = ["".join(r.choices("0123456789abcdef", k=40)) for _ in range(60)]
+    upper = ["".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)) for _ in range(60)]
+    mixed = [
+        "".join(r.choices("ABCDEFGHabcdefghijklmnopqrstuvwxyz0123456789", k=32)) for _ in range(60)
+    ]
+    texts = [f"some words token = \"{h}\" and more" for h in hexes]
+    texts += [f"an id AKIA{u} in a line" for u in upper]
+    texts += [f"set password: {m} now" for m in mixed]
+    texts += [f"call 10.20.{i}.255 or mail user.{i}99@mail{i}.example.com today" for i in range(60)]
+    texts += [f"page 2024-01-{i % 28 + 10}T10:00 number 47912398524683{i:02}" for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return secrets.fit(docs)
+
+
+def test_the_field_adds_what_patterns_miss(field):
+    r = random.Random(7)
+    shape = "".join(r.choices("ABCDEFGHabcdefghijklmnopqrstuvwxyz0123456789", k=32))
+    text = f"use bearer {shape} for it, not 10.20.30.255 or user.199@mail1.example.com"
+    assert secrets.base_spans(text) == []
+    start = text.index(shape)
+    assert (start, start + 32, "crf") in secrets.crf_spans(text, field, [])
+    plain = "or mail user.7799@mail7.example.com or 10.20.77.255 today"
+    assert secrets.crf_spans(plain, field, []) == []
+
+
+def test_scan_of_edge_rows(edges, field):
+    rows = secrets.digests(secrets.scan(edges, field)).collect()
+    want = sorted(
+        (
+            (i, hashlib.sha256(",".join(brute.base_spans(t)).encode()).hexdigest())
+            for i, t, _ in edge_rows()
+        ),
+        key=repr,
+    )
+    assert sorted(((r.doc_id, r.base_sha256) for r in rows), key=repr) == want
+    for r in rows:
+        found = r.spans.split(",") if r.spans else []
+        assert len(found) == r.n_assign + r.n_access + r.n_hex + r.n_crf
+
+
+def test_spans_hold_the_text(edges):
+    texts = {i: t for i, t, _ in edge_rows()}
+    for r in secrets.scan(edges, None).collect():
+        assert all(texts[r.doc_id][s.start : s.end] == s.value for s in r.spans)
+
+
+def test_empty_table(nothing):
+    assert secrets.fit(nothing) is None
+    assert secrets.scan(nothing, None).count() == 0
+
+
+def test_given_documents(spark):
+    docs = documents(spark, SF_DIR).select("doc_id", "text")
+    got = {r.doc_id: r for r in secrets.digests(secrets.scan(docs, secrets.fit(docs))).collect()}
+    for doc_id, text in docs.collect():
+        base = brute.base_spans(text)
+        assert got[doc_id].base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert set(base) <= set(got[doc_id].spans.split(",")) | {""}
