@@ -5,7 +5,7 @@ from __future__ import annotations
 PLACES = """
 places AS (
   SELECT n_nationkey, n_name AS city, r_name AS province
-  FROM nation JOIN region ON n_regionkey = r_regionkey
+  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
 )"""
 
 ITEMS = """
@@ -23,7 +23,7 @@ items AS (
 CUSTOMERS = f"""{PLACES},
 customers AS (
   SELECT c_custkey AS customer_id, CAST(NULL AS VARCHAR) AS postal_code, city, province
-  FROM customer JOIN places ON c_nationkey = n_nationkey
+  FROM customer LEFT JOIN places ON c_nationkey = n_nationkey
 )"""
 
 # Amounts have two decimals in the test tables, so sums of DECIMAL(18,2) are exact.
@@ -63,15 +63,18 @@ tiers AS (
 def _customer_metrics(as_text: bool) -> str:
     key = "CAST(customer_id AS VARCHAR)" if as_text else "customer_id"
     postal_code = "'00000'" if as_text else "postal_code"
+    market = ", c_mktsegment AS market" if as_text else ""
+    markets = "LEFT JOIN customer ON customer_id = c_custkey" if as_text else ""
     return f"""WITH {CUSTOMERS}, {_tiers(key)}
 SELECT {key} AS customer_id, n_transactions, total_spend, avg_spend, n_distinct_products,
        n_orders, spend_value, last_purchase, {postal_code} AS postal_code, city, province,
-       segment AS tier_no, tier
-FROM tiers LEFT JOIN customers USING (customer_id)"""
+       segment AS tier_no, tier{market}
+FROM tiers LEFT JOIN customers USING (customer_id) {markets}"""
 
 
 def _product_metrics(as_text: bool) -> str:
     key = "CAST(product_id AS VARCHAR)" if as_text else "product_id"
+    brand = ", p_brand AS brand" if as_text else ""
     return f"""WITH {ITEMS},
 sold AS (
   SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units_sold,
@@ -82,7 +85,7 @@ sold AS (
 SELECT {key} AS product_id, units_sold, total_sales, avg_price, p_retailprice AS price,
        p_type AS category,
        CAST(row_number() OVER (PARTITION BY p_type ORDER BY units_sold DESC, {key}) AS INTEGER)
-         AS rank_in_category
+         AS rank_in_category{brand}
 FROM sold LEFT JOIN part ON product_id = p_partkey"""
 
 
@@ -111,7 +114,7 @@ LEFT JOIN part ON product_id = p_partkey
 WHERE price > 0 AND o_orderstatus = 'F'"""
 
 
-GOLD = f"""{CUSTOMERS}, {_tiers()},
+_GOLD = """
 done AS (
   SELECT o_custkey AS customer_id, order_id, price, o_totalprice, o_orderdate
   FROM items JOIN orders ON order_id = o_orderkey
@@ -137,6 +140,14 @@ gold AS (
              LEFT JOIN paid ON tiers.customer_id = paid.customer_id
 )"""
 
+GOLD = f"{CUSTOMERS}, {_tiers()}, {_GOLD}"
+
+
+def _gold_by_text_key() -> str:
+    """Tiers of equal spend go by customer id, which is text in the lake."""
+    return f"{CUSTOMERS}, {_tiers('CAST(customer_id AS VARCHAR)')}, {_GOLD}"
+
+
 AVERAGES = """round(avg(n_transactions), 4) AS avg_n_transactions,
        round(avg(total_spend), 4) AS avg_total_spend,
        round(avg(avg_spend), 4) AS avg_avg_spend,
@@ -188,7 +199,7 @@ FROM items"""
 
 SELLERS = f"""WITH {PLACES}
 SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, city, province
-FROM supplier JOIN places ON s_nationkey = n_nationkey"""
+FROM supplier LEFT JOIN places ON s_nationkey = n_nationkey"""
 
 ORACLES = {
     "clean_customers": f"""WITH {CUSTOMERS}
@@ -293,12 +304,80 @@ SELECT CAST(customer_id AS VARCHAR) AS customer_id, n_transactions, total_spend,
 FROM tiers""",
     "catalog_overview": f"""WITH {CUSTOMERS}, {TOTALS},
 known AS (SELECT * FROM customer_totals JOIN customers USING (customer_id))
-SELECT 'transaction_metrics' AS table_name, count(DISTINCT order_id) AS n_rows
+SELECT 'transaction_metrics' AS table_name, count(DISTINCT order_id) AS n_rows,
+       'struct<order_id:string,customer_id:string,purchased_at:timestamp,order_total:double,'
+       || 'n_items:bigint,avg_item_price:double,purchase_day:string,month:int,year:int,'
+       || 'day_of_week:int>' AS schema
+FROM items JOIN orders ON order_id = o_orderkey
+UNION ALL SELECT 'customer_metrics', count(*),
+       'struct<customer_id:string,n_transactions:bigint,total_spend:double,avg_spend:double,'
+       || 'n_distinct_products:bigint,n_orders:bigint,spend_value:double,last_purchase:timestamp,'
+       || 'postal_code:string,city:string,province:string,tier_no:int,tier:string,market:string>'
+FROM customer_totals
+UNION ALL SELECT 'product_metrics', count(DISTINCT product_id),
+       'struct<product_id:string,units_sold:bigint,total_sales:double,avg_price:double,'
+       || 'price:double,category:string,rank_in_category:int,brand:string>'
+FROM items
+UNION ALL SELECT 'province_metrics', count(DISTINCT province),
+       'struct<province:string,n_customers:bigint,total_spend:double,avg_spend:double>'
+FROM known
+UNION ALL SELECT 'city_metrics', count(*),
+       'struct<province:string,city:string,n_customers:bigint,total_spend:double,'
+       || 'avg_spend:double>'
+FROM (SELECT DISTINCT province, city FROM known)""",
+    "lake_silver_customers": f"""WITH {CUSTOMERS}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, '00000' AS postal_code, city, province,
+       c_mktsegment AS market
+FROM customers JOIN customer ON customer_id = c_custkey""",
+    "lake_load_counts": """
+WITH found(table_name, problem, n_checked) AS (
+  SELECT t, unnest(['broken record', 'null key']), n
+  FROM (SELECT 'customers' AS t, count(*) AS n FROM customer
+        UNION ALL SELECT 'products', count(*) FROM part
+        UNION ALL SELECT 'transactions', count(*) FROM orders
+        UNION ALL SELECT 'order_items', count(*) FROM lineitem
+        UNION ALL SELECT 'reviews', count(*) FROM events)
+  UNION ALL SELECT 'sellers', 'broken record', count(*) FROM supplier
+  UNION ALL SELECT 'products', 'malformed price', count(p_retailprice) FROM part
+  UNION ALL SELECT 'transactions', 'malformed total_payment', count(o_totalprice) FROM orders
+  UNION ALL SELECT 'transactions', unnest(['malformed installments', 'malformed approved_at',
+                                           'malformed shipped_at', 'malformed estimated_arrival']),
+                   0
+  UNION ALL SELECT 'transactions', 'malformed purchased_at', count(o_orderdate) FROM orders
+  UNION ALL SELECT 'order_items', 'malformed price', count(l_extendedprice) FROM lineitem
+  UNION ALL SELECT 'order_items', 'malformed quantity', count(l_quantity) FROM lineitem
+  UNION ALL SELECT 'order_items', 'malformed item_total', count(l_extendedprice) FROM lineitem
+  UNION ALL SELECT 'reviews', 'malformed rating', count(value) FROM events
+  UNION ALL SELECT 'reviews', 'malformed review_date', count(ts) FROM events
+)
+SELECT table_name, problem, CAST(n_checked AS BIGINT) AS n_checked, CAST(0 AS BIGINT) AS n_found
+FROM found""",
+    "broken_records": """
+SELECT 'sellers' AS table_name, 'broken record' AS problem, count(*) AS n_checked,
+       count(CASE WHEN s_suppkey % 7 = 0 OR s_suppkey % 11 = 0 THEN 1 END) AS n_found,
+       CAST(count(*) AS INTEGER) AS n_loaded
+FROM supplier""",
+    "flat_orders": f"""WITH {CUSTOMERS}, {ITEMS}
+SELECT order_id, product_id, o_custkey AS customer_id, province, price,
+       o_totalprice AS total_payment, p_type AS category, o_orderstatus AS order_status,
+       o_orderdate AS purchased_at
+FROM items JOIN orders ON order_id = o_orderkey
+LEFT JOIN customers ON customer_id = o_custkey
+LEFT JOIN part ON product_id = p_partkey""",
+    "lake_flat_order_view": f"""WITH {CUSTOMERS}, {ITEMS}
+SELECT province AS provinsi_pelanggan, o_orderstatus AS status_order, count(*) AS n_rows,
+       CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS harga
 FROM items JOIN orders ON order_id = o_orderkey
-UNION ALL SELECT 'customer_metrics', count(*) FROM customer_totals
-UNION ALL SELECT 'product_metrics', count(DISTINCT product_id) FROM items
-UNION ALL SELECT 'province_metrics', count(DISTINCT province) FROM known
-UNION ALL SELECT 'city_metrics', count(*) FROM (SELECT DISTINCT province, city FROM known)""",
+LEFT JOIN customers ON customer_id = o_custkey
+GROUP BY province, o_orderstatus""",
+    "source_view_spend": f"""WITH {_gold_by_text_key()}
+SELECT province AS provinsi_pelanggan, segment,
+       CAST(sum(CAST(total_payment AS DECIMAL(18,2))) AS DOUBLE) AS total_pembelian
+FROM gold GROUP BY province, segment""",
+    "source_view_counts": f"""WITH {_gold_by_text_key()}
+SELECT segment, count(*) AS jumlah_pelanggan FROM gold GROUP BY segment""",
+    "fine_order_sums": f"""WITH {ITEMS}
+SELECT order_id, round(sum(price / 7e10), 12) AS price_sum FROM items GROUP BY order_id""",
     "layer_gates": f"""WITH {ITEMS},
 counts AS (
   SELECT 'bronze' AS layer, 'customers' AS table_name, count(*) AS n_rows, count(*) AS n_keys

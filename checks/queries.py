@@ -7,7 +7,7 @@ numbers cannot be computed in SQL.
 from __future__ import annotations
 
 import uuid
-from functools import cache, reduce
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from orderlake import schemas
 from orderlake.functions import money
 from orderlake.operators import analysis, clean, completed, gates, metrics, segments
-from orderlake.plans.etl import bronze_to_silver, silver_to_gold
+from orderlake.plans.etl import bronze_to_silver, publish, read_silver, silver_to_gold
+from orderlake.plans.segmentation import publish_segment_view
 from orderlake.session import checkpointed, scratch_path
 from orderlake.sources import catalog, starschema as star
 from orderlake.sources.bronze import read_bronze
@@ -269,21 +270,131 @@ def kmeans_gold_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The lake: files, catalog tables and gates
 
 
-@cache
+_LAKES: dict[tuple[str, str], tuple[str, Lake]] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input files."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return " ".join(
+        f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in system.listStatus(place)
+    )
+
+
 def _lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """A lake filled from the test tables: raw CSV, cleaned to silver, summed up to gold."""
-    root = scratch_path(spark, "lake")
-    lake = Lake(root, f"lake_{uuid.uuid4().hex}", f"{root}/catalog")
-    star.write_raw_csv(spark, sf_dir, f"{root}/bronze")
-    bronze_to_silver(spark, lake)
-    silver_to_gold(spark, lake, completed_status=star.COMPLETED)
+    """A lake filled from the test tables: raw CSV, cleaned to silver, summed up to gold.
+
+    Built once per session for one state of the tables; an outdated one leaves the catalog.
+    """
+    key, state = (spark.sparkContext.applicationId, sf_dir), _state(spark, sf_dir)
+    known, lake = _LAKES.get(key, ("", None))
+    if known != state:
+        if lake is not None:
+            spark.sql(f"DROP DATABASE IF EXISTS {lake.database} CASCADE")
+        root = scratch_path(spark, "lake")
+        lake = Lake(root, f"lake_{uuid.uuid4().hex}", f"{root}/catalog")
+        star.write_raw_csv(spark, sf_dir, f"{root}/bronze")
+        bronze_to_silver(spark, lake)
+        silver_to_gold(spark, lake, completed_status=star.COMPLETED)
+        _LAKES[key] = (state, lake)
     return lake
 
 
 def lake_bronze_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV scan."""
     lake = _lake(spark, sf_dir)
-    return read_bronze(spark, lake.path("bronze", "sellers"), schemas.SELLERS)
+    raw = read_bronze(spark, lake.path("bronze", "sellers"), schemas.SELLERS)
+    return raw.drop(schemas.BROKEN)
+
+
+def lake_silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table with a column that no contract names."""
+    return _lake(spark, sf_dir).read(spark, "silver", schemas.CUSTOMERS, extras=True)
+
+
+def lake_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What loading found, counted while the tables were written."""
+    return _lake(spark, sf_dir).read(spark, "silver", schemas.LOAD_COUNTS)
+
+
+def broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as CSV lines, some with a field too many or too few, counted while loaded."""
+    root = scratch_path(spark, "broken")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    key = F.col("s_suppkey")
+    line = (
+        F.when(key % 7 == 0, F.concat_ws(",", key, F.lit("a"), F.lit("b"), F.lit("too many")))
+        .when(key % 11 == 0, F.concat_ws(",", key, F.lit("too few")))
+        .otherwise(F.concat_ws(",", key, F.lit("a"), F.lit("b")))
+    )
+    header = ",".join(f.source for f in schemas.SELLERS.fields)
+    # the header is the first row of the one file
+    lines = spark.createDataFrame([(header, -1)], "value string, place long").unionByName(
+        suppliers.select(line.alias("value"), key.alias("place"))
+    )
+    lines.coalesce(1).sortWithinPartitions("place").select("value").write.text(f"{root}/raw")
+    counts = clean.LoadCounts(schemas.SELLERS)
+    watched = counts.watch(read_bronze(spark, f"{root}/raw", schemas.SELLERS))
+    write_table(watched, f"{root}/silver", schemas.SELLERS)
+    found = spark.createDataFrame(counts.rows(), schemas.LOAD_COUNTS.ddl)
+    return found.withColumn("n_loaded", F.lit(spark.read.parquet(f"{root}/silver").count()))
+
+
+def flat_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return completed.flat_orders(
+        star.transactions(spark, sf_dir),
+        star.order_items(spark, sf_dir),
+        star.customers(spark, sf_dir),
+        star.products(spark, sf_dir),
+    )
+
+
+def lake_flat_order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lasting view of unfiltered orders under source names, summed up."""
+    lake = _lake(spark, sf_dir)
+    view = spark.table(f"{lake.database}.{schemas.SOURCE_VIEWS['flat_orders']}")
+    return view.groupBy("provinsi_pelanggan", "status_order").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        money.to_double(money.exact_sum("harga")).alias("harga"),
+    )
+
+
+def _segment_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiers stored as the gold segment table, read through its lasting view."""
+    lake = _lake(spark, sf_dir)
+    tiers = lake.read(spark, "gold", schemas.CUSTOMER_METRICS).withColumnRenamed(
+        "tier_no", "segment"
+    )
+    silver = read_silver(spark, lake)
+    measures = completed.completed_by_customer(
+        silver["transactions"],
+        lake.read(spark, "silver", schemas.ORDER_TOTALS),
+        silver["customers"],
+        star.COMPLETED,
+    )
+    publish(spark, lake, "gold", completed.gold_segments(tiers, measures), schemas.GOLD_SEGMENTS)
+    return spark.table(publish_segment_view(spark, lake))
+
+
+def source_view_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        _segment_view(spark, sf_dir)
+        .groupBy("provinsi_pelanggan", "segment")
+        .agg(F.round(F.sum("total_pembayaran"), 2).alias("total_pembelian"))
+    )
+
+
+def source_view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = _segment_view(spark, sf_dir)
+    return view.groupBy("segment").agg(F.count(F.lit(1)).alias("jumlah_pelanggan"))
+
+
+def fine_order_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of amounts far below a millionth, which must not be rounded away."""
+    items = star.order_items(spark, sf_dir).withColumn("price", F.col("price") / 7e10)
+    total = money.to_double(money.exact_sum("price"))
+    return items.groupBy("order_id").agg(F.round(total, 12).alias("price_sum"))
 
 
 def lake_silver_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +424,7 @@ def lake_segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark, sf_dir)
-    return catalog.table_overview(spark, lake.database, "*_metrics").drop("schema")
+    return catalog.table_overview(spark, lake.database, "*_metrics")
 
 
 def layer_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,6 +475,14 @@ QUERIES = {
     "segment_profile": segment_profile,
     "lake_bronze_sellers": lake_bronze_sellers,
     "lake_silver_order_items": lake_silver_order_items,
+    "lake_silver_customers": lake_silver_customers,
+    "lake_load_counts": lake_load_counts,
+    "lake_flat_order_view": lake_flat_order_view,
+    "source_view_spend": source_view_spend,
+    "source_view_counts": source_view_counts,
+    "broken_records": broken_records,
+    "flat_orders": flat_orders,
+    "fine_order_sums": fine_order_sums,
     "lake_completed_orders": _lake_table("completed_orders"),
     "lake_customer_metrics": _lake_table("customer_metrics"),
     "lake_product_metrics": _lake_table("product_metrics"),

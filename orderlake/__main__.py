@@ -14,7 +14,7 @@ from orderlake import schemas
 from orderlake.plans.etl import bronze_to_silver, silver_to_gold
 from orderlake.plans.report import segment_report
 from orderlake.plans.segmentation import run_segmentation
-from orderlake.session import create_session
+from orderlake.session import create_session, size_shuffles
 from orderlake.sources.lake import Lake
 
 
@@ -27,15 +27,20 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     parser.add_argument("--completed-status", default=schemas.COMPLETED_STATUS)
     parser.add_argument("--max-k", type=int, default=8)
     parser.add_argument("--shuffled-bytes", type=int, help="size of the largest shuffle")
+    parser.add_argument("--multi-line", action="store_true", help="line breaks within CSV quotes")
     parser.add_argument("--hive", action="store_true", help="use the Hive catalog")
     options = parser.parse_args(arguments)
 
-    spark = spark or create_session(
-        f"orderlake {options.step}", hive=options.hive, shuffled_bytes=options.shuffled_bytes
-    )
+    if spark is None:
+        spark = create_session(
+            f"orderlake {options.step}", hive=options.hive, shuffled_bytes=options.shuffled_bytes
+        )
+        if options.shuffled_bytes is None:
+            layer = "bronze" if options.step == "silver" else "silver"
+            size_shuffles(spark, f"{options.root}/{layer}")
     lake = Lake(options.root, options.database, options.database_location)
     if options.step == "silver":
-        bronze_to_silver(spark, lake)
+        bronze_to_silver(spark, lake, options.multi_line).show(1000, truncate=False)
     elif options.step == "gold":
         silver_to_gold(spark, lake, options.completed_status)
     elif options.step == "segments":

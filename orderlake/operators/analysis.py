@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_sum, to_double
+from orderlake.functions.money import exact_sum, mean, to_double
+from orderlake.operators.ranking import with_rank
 from orderlake.schemas import require_columns
 
 MEASURES = ("n_transactions", "total_spend", "avg_spend", "n_distinct_products")
@@ -18,12 +19,16 @@ def segment_counts(segments: DataFrame, by: str = "segment") -> DataFrame:
     return segments.groupBy(by).agg(F.count(F.lit(1)).alias("n_customers")).orderBy(by)
 
 
+def _mean(measure: str) -> Column:
+    return mean(exact_sum(measure), F.count(measure)).alias(f"avg_{measure}")
+
+
 def segment_averages(
     segments: DataFrame, by: str = "segment", measures: Sequence[str] = MEASURES
 ) -> DataFrame:
     """Mean of each measure per segment."""
     require_columns(segments, [by, *measures], "segments")
-    return segments.groupBy(by).agg(*(F.avg(m).alias(f"avg_{m}") for m in measures)).orderBy(by)
+    return segments.groupBy(by).agg(*(_mean(m) for m in measures)).orderBy(by)
 
 
 def segment_profile(
@@ -33,7 +38,7 @@ def segment_profile(
     customer_id: str = "customer_id",
 ) -> DataFrame:
     """Distinct customers and mean features per segment; features that are absent are left out."""
-    means = [F.avg(f).alias(f"avg_{f}") for f in features if f in segments.columns]
+    means = [_mean(f) for f in features if f in segments.columns]
     n_customers = F.count_distinct(customer_id).alias("n_customers")
     return segments.groupBy(by).agg(n_customers, *means).orderBy(by)
 
@@ -53,14 +58,20 @@ def top_customers(
 def top_customers_per_segment(segments: DataFrame, n: int = 5, by: str = "segment") -> DataFrame:
     """The ``n`` customers of every segment that spend most, with their place.
 
-    Each map task keeps only its own first ``n`` per segment (``WindowGroupLimit``).
+    For an ``n`` that Spark limits by group (``WindowGroupLimit``) each map task keeps only its own
+    first ``n`` per segment. A larger ``n`` would sort whole segments in one task each, so all
+    customers are ranked by one range-partitioned sort instead.
     """
-    place = Window.partitionBy(by).orderBy(F.desc("total_spend"), "customer_id")
-    return (
-        segments.select("customer_id", "total_spend", by)
-        .withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= n)
-    )
+    rows = segments.select("customer_id", "total_spend", by)
+    order = [F.desc("total_spend"), F.asc("customer_id")]
+    limit = segments.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if n <= int(limit):
+        place = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+        ranked = rows.withColumn("place", place)
+    else:
+        ranked = with_rank(rows, order, partition_by=[by], rank="place")
+        ranked = ranked.withColumn("place", F.col("place").cast("int"))
+    return ranked.filter(F.col("place") <= n)
 
 
 def spend_by_province(gold_segments: DataFrame, by: str = "segment") -> DataFrame:

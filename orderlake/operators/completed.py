@@ -5,27 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_sum, mean, to_double
+from orderlake.functions.money import exact_sum, mean, sum_of, to_double
 from orderlake.schemas import COMPLETED_STATUS
 
 
-def completed_orders(
-    transactions: DataFrame,
-    order_items: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    status: str = COMPLETED_STATUS,
+def flat_orders(
+    transactions: DataFrame, order_items: DataFrame, customers: DataFrame, products: DataFrame
 ) -> DataFrame:
-    """Items with a positive price in completed orders, with province and category.
+    """Every item of every order, with province and category.
 
     Each dimension joins the side that carries its key before the two sides meet on the order, so
     a hot customer or product is split by adaptive execution ahead of a shuffle that follows
     anyway.
     """
-    orders = transactions.filter(F.col("order_status") == status).select(
+    orders = transactions.select(
         "order_id", "customer_id", "total_payment", "order_status", "purchased_at"
     )
-    items = order_items.filter("price > 0").select("order_id", "product_id", "price")
+    items = order_items.select("order_id", "product_id", "price")
     placed = orders.join(customers.select("customer_id", "province"), "customer_id", "left")
     sold = items.join(products.select("product_id", "category"), "product_id", "left")
     return placed.join(sold, "order_id").select(
@@ -41,6 +37,18 @@ def completed_orders(
     )
 
 
+def completed_orders(
+    transactions: DataFrame,
+    order_items: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    status: str = COMPLETED_STATUS,
+) -> DataFrame:
+    """Items with a positive price in completed orders; both conditions reach the scans."""
+    flat = flat_orders(transactions, order_items, customers, products)
+    return flat.filter((F.col("order_status") == status) & (F.col("price") > 0))
+
+
 def completed_by_customer(
     transactions: DataFrame,
     totals: DataFrame,
@@ -56,7 +64,7 @@ def completed_by_customer(
         totals.filter("n_paid > 0"), "order_id"
     )
     measures = orders.groupBy("customer_id").agg(
-        mean(F.sum("paid_sum"), F.sum("n_paid")).alias("avg_price"),
+        mean(sum_of("paid_sum"), F.sum("n_paid")).alias("avg_price"),
         F.count("order_id").cast("int").alias("n_orders"),
         F.max("purchased_at").alias("last_purchase"),
         to_double(exact_sum("total_payment")).alias("total_payment"),

@@ -10,9 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.functions.money import exact_sum, mean, mean_cents, to_double
+from orderlake.functions.money import exact_sum, mean, mean_cents, sum_of, to_double
 from orderlake.operators.ranking import with_ntile, with_rank
-from orderlake.schemas import TIERS
+from orderlake.schemas import (
+    CUSTOMER_METRICS,
+    CUSTOMERS,
+    PRODUCT_METRICS,
+    PRODUCTS,
+    TIERS,
+    Table,
+)
 
 
 def order_totals(order_items: DataFrame) -> DataFrame:
@@ -84,7 +91,7 @@ def customer_totals(
         .groupBy("customer_id")
         .agg(
             F.sum("n_rows").alias("n_transactions"),
-            F.sum("items_sum").alias("spend"),
+            sum_of("items_sum").alias("spend"),
             F.sum("items_counted").alias("items_counted"),
             F.count("product_id").alias("n_distinct_products"),
             F.count("n_rows").alias("n_orders"),
@@ -99,15 +106,25 @@ def customer_totals(
         mean(F.col("spend"), F.col("items_counted")).alias("avg_spend"),
         "n_distinct_products",
         "n_orders",
-        to_double(F.round("spend", 2)).alias("spend_value"),
+        F.round(to_double(F.col("spend")), 2).alias("spend_value"),
         # Orders without a customer have no common buyer, hence no last purchase.
         F.when(F.col("customer_id").isNotNull(), F.col("last_purchase")).alias("last_purchase"),
     )
 
 
+def _details(df: DataFrame, table: Table, target: Table, mark: str) -> DataFrame:
+    """The columns of a dimension; further ones that bear a name of the target are marked."""
+    others = [
+        F.col(f"`{c}`").alias(mark + c if c in target.columns else c)
+        for c in df.columns
+        if c not in table.columns
+    ]
+    return df.select(*table.columns, *others)
+
+
 def with_customer_details(by_customer: DataFrame, customers: DataFrame) -> DataFrame:
-    """Add address columns; customers without a dimension row keep nulls."""
-    details = customers.select("customer_id", "postal_code", "city", "province")
+    """Add address columns and further customer columns; unknown customers keep nulls."""
+    details = _details(customers, CUSTOMERS, CUSTOMER_METRICS, "customer_")
     return by_customer.join(details, "customer_id", "left")
 
 
@@ -140,7 +157,7 @@ def product_totals(order_items: DataFrame) -> DataFrame:
 
 def product_metrics(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Product totals with list price, category and rank by units within the category."""
-    details = products.select("product_id", "price", "category")
+    details = _details(products, PRODUCTS, PRODUCT_METRICS, "product_")
     sold = product_totals(order_items).join(details, "product_id", "left")
     ranked = with_rank(
         sold,

@@ -8,14 +8,14 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.errors import PySparkException
+from pyspark.errors import IllegalArgumentException, PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from py4j.protocol import Py4JError
+from py4j.protocol import Py4JJavaError
 
 from orderlake.operators.analysis import segment_profile
 from orderlake.schemas import require_columns
@@ -36,13 +36,16 @@ def prepare_features(
     features: Sequence[str] = FEATURES,
     customer_id: str = "customer_id",
     rows_per_partition: int = 250_000,
+    partitions: int | None = None,
 ) -> tuple[DataFrame, PipelineModel]:
     """Customers with ``scaled_features`` (mean 0, deviation 1), and the fitted preprocessing.
 
     Customers with a null or NaN feature are left out. The result is cached, and laid out by
     customer id in a number of sorted partitions that depends only on the row count, because
     K-Means draws its starting centres by partition and position: the same customers then give
-    the same start on any cluster. Release it with ``unpersist()``.
+    the same start on any cluster. Ask ``prepared.rdd.getNumPartitions()`` for that number and pass
+    it as ``partitions`` to keep the layout when customers come or go. Release the result with
+    ``unpersist()``.
     """
     require_columns(customers, [customer_id, *features], "customer metrics")
     chosen = customers.select(customer_id, *features)
@@ -57,7 +60,7 @@ def prepare_features(
     if n_valid == 0:
         raise ValueError("no customer has a value for every feature")
     laid_out = (
-        valid.repartition(math.ceil(n_valid / rows_per_partition), customer_id)
+        valid.repartition(partitions or math.ceil(n_valid / rows_per_partition), customer_id)
         .sortWithinPartitions(customer_id)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -68,8 +71,22 @@ def prepare_features(
     return prepared, model
 
 
-def kmeans(k: int, prediction: str = "cluster", seed: int = SEED) -> KMeans:
-    return KMeans(k=k, seed=seed, featuresCol="scaled_features", predictionCol=prediction)
+def kmeans(
+    k: int,
+    prediction: str = "cluster",
+    seed: int = SEED,
+    tol: float = 1e-4,
+    max_iter: int = 20,
+) -> KMeans:
+    """Spark's K-Means and its defaults; ``tol=0`` goes on until no centre moves."""
+    return KMeans(
+        k=k,
+        seed=seed,
+        tol=tol,
+        maxIter=max_iter,
+        featuresCol="scaled_features",
+        predictionCol=prediction,
+    )
 
 
 def silhouette(assigned: DataFrame, prediction: str = "cluster") -> float:
@@ -81,21 +98,42 @@ def silhouette(assigned: DataFrame, prediction: str = "cluster") -> float:
 
 @dataclass(frozen=True)
 class Trial:
-    """A fitted number of segments with its score; ``model`` is None if the fit failed."""
+    """A fitted number of segments with its score; ``model`` is None if the fit failed.
+
+    ``failure`` says why there is no score.
+    """
 
     k: int
     score: float
     model: KMeansModel | None
+    failure: str | None = None
+
+
+# What Spark raises when the data cannot be fitted or scored with a k: too few distinct rows leave
+# one cluster, which has no silhouette.
+_DATA_ERRORS = ("java.lang.AssertionError", "java.lang.IllegalArgumentException")
+
+
+def _about_the_data(error: Exception) -> bool:
+    if isinstance(error, IllegalArgumentException):
+        return True
+    return isinstance(error, Py4JJavaError) and (
+        error.java_exception.getClass().getName() in _DATA_ERRORS
+    )
 
 
 def _try_k(prepared: DataFrame, k: int, seed: int) -> Trial:
     try:
         model = kmeans(k, seed=seed).fit(prepared)
         score = silhouette(model.transform(prepared))
-    except (PySparkException, Py4JError) as error:
-        print(f"k={k} failed: {error}")
-        return Trial(k, FAILED_SCORE, None)
-    return Trial(k, FAILED_SCORE if math.isnan(score) else score, model)
+    except (PySparkException, Py4JJavaError) as error:
+        # a lost executor or too little memory must not pass for a bad k
+        if not _about_the_data(error):
+            raise
+        return Trial(k, FAILED_SCORE, None, str(error))
+    if math.isnan(score):
+        return Trial(k, FAILED_SCORE, model, "the score is not a number")
+    return Trial(k, score, model)
 
 
 def sweep_k(
@@ -123,22 +161,33 @@ def choose_k(trials: Sequence[Trial], default: int = DEFAULT_K) -> int:
     return min(t.k for t in trials if t.score == best)
 
 
-def train_kmeans(prepared: DataFrame, k: int, seed: int = SEED) -> KMeansModel:
-    return kmeans(k, seed=seed).fit(prepared)
+def train_kmeans(
+    prepared: DataFrame, k: int, seed: int = SEED, tol: float = 1e-4, max_iter: int = 20
+) -> KMeansModel:
+    return kmeans(k, seed=seed, tol=tol, max_iter=max_iter).fit(prepared)
+
+
+def original_centers(preprocessing: PipelineModel, clusters: KMeansModel) -> list[list[float]]:
+    """The centre of each cluster in the units of the features."""
+    scaler = preprocessing.stages[-1]
+    return [
+        [float(c * s + m) for c, s, m in zip(center, scaler.std, scaler.mean)]
+        for center in clusters.clusterCenters()
+    ]
 
 
-def label_by_spend(assigned: DataFrame) -> SQLTransformer:
-    """Numbers clusters by falling mean spend: segment 0 holds the best customers.
+def label_by_spend(
+    preprocessing: PipelineModel, clusters: KMeansModel, features: Sequence[str] = FEATURES
+) -> SQLTransformer:
+    """Numbers clusters by falling spend of their centres: segment 0 holds the best customers.
 
-    Cluster numbers of K-Means carry no meaning. At most k rows reach the driver.
+    Cluster numbers of K-Means carry no meaning. Every cluster gets a number, also one without
+    members; equal centres go by cluster number.
     """
-    order = (
-        assigned.groupBy("cluster")
-        .agg(F.avg("total_spend").alias("mean_spend"))
-        .orderBy(F.desc("mean_spend"), "cluster")
-        .collect()
-    )
-    cases = " ".join(f"WHEN {row.cluster} THEN {n}" for n, row in enumerate(order))
+    place = list(features).index("total_spend")
+    spend = [center[place] for center in original_centers(preprocessing, clusters)]
+    order = sorted(range(len(spend)), key=lambda cluster: (-spend[cluster], cluster))
+    cases = " ".join(f"WHEN {cluster} THEN {n}" for n, cluster in enumerate(order))
     return SQLTransformer(
         statement=f"SELECT *, CAST(CASE cluster {cases} END AS INT) AS segment FROM __THIS__"
     )
@@ -185,8 +234,7 @@ def fit_segments(
     k = choose_k(trials)
     fitted = [t.model for t in trials if t.k == k and t.model is not None]
     clusters = fitted[0] if fitted else train_kmeans(prepared, k, seed)
-    labels = label_by_spend(clusters.transform(prepared))
-    return SegmentModel(preprocessing, clusters, labels), trials
+    return SegmentModel(preprocessing, clusters, label_by_spend(preprocessing, clusters)), trials
 
 
 def interpret_segments(
@@ -208,10 +256,11 @@ def cluster_centers(
     spark: SparkSession, model: SegmentModel, features: Sequence[str] = FEATURES
 ) -> DataFrame:
     """Centre of each segment per feature, on the scaled and on the original scale."""
-    scaler = model.preprocessing.stages[-1]
+    scaled = model.clusters.clusterCenters()
+    original = original_centers(model.preprocessing, model.clusters)
     rows = [
-        (cluster, name, float(center[i]), float(center[i] * scaler.std[i] + scaler.mean[i]))
-        for cluster, center in enumerate(model.clusters.clusterCenters())
+        (cluster, name, float(scaled[cluster][i]), original[cluster][i])
+        for cluster in range(len(scaled))
         for i, name in enumerate(features)
     ]
     centers = spark.createDataFrame(

@@ -5,12 +5,10 @@ State passes between the steps only through the files of a layer, so each can ru
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake import schemas
-from orderlake.operators.clean import CLEANERS, parsed_fields, rejected_values
+from orderlake.operators.clean import CLEANERS, LoadCounts
 from orderlake.operators.completed import completed_orders
 from orderlake.operators.gates import require_ready
 from orderlake.operators.metrics import (
@@ -22,28 +20,44 @@ from orderlake.operators.metrics import (
     transaction_metrics,
 )
 from orderlake.sources.bronze import read_bronze
-from orderlake.sources.catalog import create_database, create_external_table, register_views
+from orderlake.sources.catalog import (
+    create_database,
+    create_external_table,
+    create_source_view,
+    flat_orders_sql,
+    register_views,
+)
 from orderlake.sources.lake import Lake, write_table
 
 
-def bronze_to_silver(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Clean the six raw CSV tables into Parquet tables.
+def bronze_to_silver(spark: SparkSession, lake: Lake, multi_line: bool = False) -> DataFrame:
+    """Clean the six raw CSV tables into Parquet tables; all their columns stay.
 
-    Returns the counts of malformed values; they cost a pass over the raw files when looked at.
+    Returns what was wrong with them, counted while they were written and stored as the silver
+    table ``load_counts``. Broken records are loaded as far as they go.
     """
     raw = {
-        name: read_bronze(spark, lake.path("bronze", name), table)
+        name: read_bronze(spark, lake.path("bronze", name), table, multi_line)
         for name, table in schemas.BRONZE.items()
     }
     require_ready(raw["transactions"], schemas.TRANSACTIONS)
+    counts = []
     for name, table in schemas.BRONZE.items():
-        write_table(CLEANERS[name](raw[name]), lake.path("silver", name), table)
-    rejected = [rejected_values(raw[t.name], t) for t in schemas.BRONZE.values() if parsed_fields(t)]
-    return reduce(DataFrame.unionByName, rejected)
+        watched = LoadCounts(table)
+        cleaned = CLEANERS[name](watched.watch(raw[name]))
+        write_table(cleaned, lake.path("silver", name), table.extended(cleaned.columns))
+        counts += watched.rows()
+    found = spark.createDataFrame(counts, schemas.LOAD_COUNTS.ddl)
+    write_table(found, lake.path("silver", "load_counts"), schemas.LOAD_COUNTS)
+    return lake.read(spark, "silver", schemas.LOAD_COUNTS)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    return {name: lake.read(spark, "silver", table) for name, table in schemas.BRONZE.items()}
+    """The silver tables; customers and products with all their columns, which go on to gold."""
+    return {
+        name: lake.read(spark, "silver", table, extras=name in ("customers", "products"))
+        for name, table in schemas.BRONZE.items()
+    }
 
 
 def publish(
@@ -53,7 +67,7 @@ def publish(
     path = lake.path(layer, table.name)
     write_table(df, path, table)
     create_external_table(spark, lake.database, table, path)
-    return lake.read(spark, layer, table)
+    return spark.read.schema(table.ddl).parquet(path)
 
 
 def silver_to_gold(
@@ -78,7 +92,7 @@ def silver_to_gold(
     publish(spark, lake, "silver", completed, schemas.COMPLETED_ORDERS)
 
     def gold(df: DataFrame, table: schemas.Table) -> DataFrame:
-        return publish(spark, lake, "gold", df, table)
+        return publish(spark, lake, "gold", df, table.extended(df.columns))
 
     by_customer = gold(
         customer_metrics(transactions, items, totals, customers), schemas.CUSTOMER_METRICS
@@ -95,4 +109,7 @@ def silver_to_gold(
         "city_metrics": gold(city_metrics(by_customer, customers), schemas.CITY_METRICS),
     }
     register_views(tables)
+    paths = {name: lake.path("silver", name) for name in schemas.BRONZE}
+    view = schemas.SOURCE_VIEWS["flat_orders"]
+    create_source_view(spark, lake.database, view, flat_orders_sql(paths), schemas.FLAT_ORDERS)
     return tables

@@ -13,17 +13,15 @@ from orderlake.operators.analysis import (
     top_customers_per_segment,
 )
 from orderlake.operators.gates import require_ready
-from orderlake.sources.catalog import read_table
 from orderlake.sources.lake import Lake
 
 
 def segment_report(spark: SparkSession, lake: Lake, top: int = 5) -> dict[str, DataFrame]:
     """Counts, averages, top customers and spend by province; raises if the table is not ready."""
     segments = require_ready(
-        read_table(spark, f"{lake.database}.{schemas.CUSTOMER_SEGMENTS.name}"),
-        schemas.CUSTOMER_SEGMENTS,
+        lake.read(spark, "gold", schemas.CUSTOMER_SEGMENTS), schemas.CUSTOMER_SEGMENTS
     )
-    gold = read_table(spark, f"{lake.database}.{schemas.GOLD_SEGMENTS.name}")
+    gold = lake.read(spark, "gold", schemas.GOLD_SEGMENTS)
     return {
         "segment_counts": segment_counts(segments),
         "segment_averages": segment_averages(segments),

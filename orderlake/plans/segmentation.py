@@ -17,7 +17,7 @@ from orderlake.operators.segments import (
     prepare_features,
 )
 from orderlake.plans.etl import publish, read_silver
-from orderlake.sources.catalog import create_database, register_views
+from orderlake.sources.catalog import create_database, create_source_view, register_views
 from orderlake.sources.lake import Lake
 
 
@@ -30,18 +30,31 @@ class Segmentation:
     trials: list[Trial]
 
 
+def publish_segment_view(spark: SparkSession, lake: Lake) -> str:
+    """The stored segment table under the names existing reports use."""
+    table = schemas.GOLD_SEGMENTS
+    view = schemas.SOURCE_VIEWS[table.name]
+    return create_source_view(spark, lake.database, view, f"{lake.database}.{table.name}", table)
+
+
 def run_segmentation(
     spark: SparkSession,
     lake: Lake,
     max_k: int = 8,
     completed_status: str = schemas.COMPLETED_STATUS,
     parallelism: int = 8,
+    partitions: int | None = None,
 ) -> Segmentation:
-    """Prepare features, choose k, assign segments, and store segments, gold table and models."""
+    """Prepare features, choose k, assign segments, and store segments, gold table and models.
+
+    The number of partitions on which the start of K-Means depends is stored in ``models/layout``;
+    pass it as ``partitions`` to start from the same layout again.
+    """
     customers = lake.read(spark, "gold", schemas.CUSTOMER_METRICS)
     require_ready(customers, schemas.CUSTOMER_METRICS)
     create_database(spark, lake.database, lake.database_location)
-    prepared, preprocessing = prepare_features(customers)
+    prepared, preprocessing = prepare_features(customers, partitions=partitions)
+    partitions = prepared.rdd.getNumPartitions()
     try:
         model, trials = fit_segments(prepared, preprocessing, max_k, parallelism=parallelism)
         segments = publish(
@@ -50,6 +63,8 @@ def run_segmentation(
     finally:
         prepared.unpersist()
     model.save(lake.models)
+    layout = spark.createDataFrame([(partitions,)], "partitions int")
+    layout.write.mode("overwrite").parquet(f"{lake.models}/layout")
 
     silver = read_silver(spark, lake)
     totals = lake.read(spark, "silver", schemas.ORDER_TOTALS)
@@ -60,4 +75,5 @@ def run_segmentation(
         spark, lake, "gold", gold_segments(segments, measures), schemas.GOLD_SEGMENTS
     )
     register_views({"customer_segments": segments, "gold_segments": gold})
+    publish_segment_view(spark, lake)
     return Segmentation(segments, segment_profile(segments), gold, model, trials)

@@ -11,6 +11,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions.money import TOTAL
+
+
+# The text of a raw record whose fields do not match the header.
+BROKEN = "_broken_record"
+
 
 @dataclass(frozen=True)
 class Field:
@@ -32,7 +38,13 @@ class Table:
 
     @property
     def ddl(self) -> str:
-        return ", ".join(f"{f.name} {f.type}" for f in self.fields)
+        return ", ".join(f"`{f.name}` {f.type}" for f in self.fields)
+
+    def extended(self, columns: Iterable[str]) -> Table:
+        """This table with further columns, kept as text."""
+        more = [c for c in columns if c not in self.columns and c != BROKEN]
+        texts = (Field(c, c, "string", True) for c in more)
+        return Table(self.name, (*self.fields, *texts), self.key)
 
 
 def _table(name: str, key: Iterable[str], *fields: tuple) -> Table:
@@ -162,11 +174,11 @@ ORDER_TOTALS = _table(
     ("id_order", "order_id", "string"),
     ("n_rows", "n_rows", "bigint"),
     ("n_items", "n_items", "bigint"),
-    ("items_sum", "items_sum", "decimal(38,6)"),
+    ("items_sum", "items_sum", TOTAL),
     ("items_counted", "items_counted", "bigint"),
-    ("price_sum", "price_sum", "decimal(38,6)"),
+    ("price_sum", "price_sum", TOTAL),
     ("prices_counted", "prices_counted", "bigint"),
-    ("paid_sum", "paid_sum", "decimal(38,6)"),
+    ("paid_sum", "paid_sum", TOTAL),
     ("n_paid", "n_paid", "bigint"),
 )
 COMPLETED_ORDERS = _table(
@@ -192,6 +204,24 @@ GOLD_SEGMENTS = _table(
     ("total_pembayaran", "total_payment", "double"),
 )
 
+# The flat order view and the segment table under the names existing reports use.
+SOURCE_VIEWS = {
+    "flat_orders": "bronze_pelanggan",
+    "gold_segments": "gold_segmentasi_pelanggan",
+}
+FLAT_ORDERS = _table(
+    "flat_orders", ["order_id", "product_id"],
+    *((f.source, f.name, f.type) for f in COMPLETED_ORDERS.fields),
+)
+
+LOAD_COUNTS = _table(
+    "load_counts", ["table_name", "problem"],
+    ("table_name", "table_name", "string"),
+    ("problem", "problem", "string"),
+    ("n_checked", "n_checked", "bigint"),
+    ("n_found", "n_found", "bigint"),
+)
+
 GOLD = {
     t.name: t
     for t in (

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 MB = 1 << 20
+MAX_PARTITIONS = 40_000
+# Without a size, shuffles start with this many partitions, which adaptive execution merges.
+DEFAULT_SHUFFLED_BYTES = 4096 * 256 * MB
 
 
 def shuffle_settings(shuffled_bytes: int) -> dict[str, str]:
@@ -19,9 +22,10 @@ def shuffle_settings(shuffled_bytes: int) -> dict[str, str]:
     files a job writes.
     """
     target = 256 * MB
-    partitions = min(max(200, -(-shuffled_bytes // target)), 40_000)
+    partitions = min(max(200, -(-shuffled_bytes // target)), MAX_PARTITIONS)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
         "spark.sql.files.maxPartitionBytes": str(target),
     }
@@ -37,15 +41,15 @@ def create_session(
 ) -> SparkSession:
     """A session; master, memory and catalog address are left to the deployment.
 
-    ``shuffled_bytes`` sizes partitions for large inputs, see ``shuffle_settings``.
+    ``shuffled_bytes`` sizes partitions for large inputs, see ``shuffle_settings``. Without it
+    shuffles start with 4,096 partitions; steps that know their input call ``size_shuffles``.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
-    if shuffled_bytes is not None:
-        config = {**shuffle_settings(shuffled_bytes), **(config or {})}
+    config = {**shuffle_settings(shuffled_bytes or DEFAULT_SHUFFLED_BYTES), **(config or {})}
     if warehouse_dir:
         builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     for key, value in (config or {}).items():
@@ -55,6 +59,27 @@ def create_session(
     return builder.getOrCreate()
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of files below the paths that exist, on any file system Spark reads."""
+    total = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(place):
+            total += system.getContentSummary(place).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, *paths: str, growth: float = 4.0) -> int:
+    """Size partitions for files below ``paths``, which shuffles may hold ``growth`` times over."""
+    shuffled = int(growth * input_bytes(spark, *paths))
+    for key, value in shuffle_settings(shuffled).items():
+        spark.conf.set(key, value)
+    if shuffled > MAX_PARTITIONS * 256 * MB:
+        print(f"{shuffled} bytes to shuffle: {MAX_PARTITIONS} partitions of over 256 MB each")
+    return shuffled
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 

@@ -23,18 +23,60 @@ def create_external_table(
     path: str,
     partition_by: Sequence[str] = (),
 ) -> str:
-    """Declare a table of fixed types over existing Parquet files, replacing an older declaration.
+    """Declare a table of fixed types over existing Parquet files.
 
-    Dropping an external table leaves its files alone.
+    A declaration that says the same already stays, so readers always find the table and its
+    grants; another one is replaced. Dropping an external table leaves its files alone.
     """
     name = f"{database}.{table.name}"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        if _declares(spark, name, table, path):
+            refresh(spark, name, partitioned=bool(partition_by))
+            return name
+        spark.sql(f"DROP TABLE {name}")
     partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE {name} ({table.ddl}) USING PARQUET{partitions} LOCATION '{path}'")
     refresh(spark, name, partitioned=bool(partition_by))
     return name
 
 
+def _declares(spark: SparkSession, name: str, table: Table, path: str) -> bool:
+    """Whether the stored table has the columns, types and place asked for."""
+    declared = spark.createDataFrame([], table.ddl).dtypes
+    if sorted(spark.table(name).dtypes) != sorted(declared):
+        return False
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    there = spark._jvm.org.apache.hadoop.fs.Path
+    return details is not None and there(details.data_type).toUri().getPath() == there(
+        path
+    ).toUri().getPath()
+
+
+def create_source_view(
+    spark: SparkSession, database: str, view: str, query: str, table: Table
+) -> str:
+    """A lasting view of a stored table, or of an SQL text, under the names of old reports."""
+    columns = ", ".join(f"`{f.name}` AS `{f.source}`" for f in table.fields)
+    name = f"{database}.{view}"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {query}")
+    return name
+
+
+def flat_orders_sql(paths: Mapping[str, str]) -> str:
+    """The join of ``operators.completed.flat_orders`` over files, for a lasting view.
+
+    ``paths`` names the silver tables' folders.
+    """
+    return f"""(
+        SELECT o.order_id, i.product_id, o.customer_id, c.province, i.price, o.total_payment,
+               p.category, o.order_status, o.purchased_at
+        FROM parquet.`{paths['transactions']}` o
+        JOIN parquet.`{paths['order_items']}` i ON o.order_id = i.order_id
+        LEFT JOIN parquet.`{paths['customers']}` c ON o.customer_id = c.customer_id
+        LEFT JOIN parquet.`{paths['products']}` p ON i.product_id = p.product_id
+    )"""
+
+
 def refresh(spark: SparkSession, name: str, partitioned: bool = False) -> None:
     """Make files written since the last look visible; partitions are looked up first."""
     if partitioned:

@@ -25,9 +25,18 @@ class Lake:
     def models(self) -> str:
         return f"{self.root}/models"
 
-    def read(self, spark: SparkSession, layer: str, table: Table) -> DataFrame:
-        """A Parquet table with its declared schema; no file is opened to find the schema."""
-        return spark.read.schema(table.ddl).parquet(self.path(layer, table.name))
+    def read(
+        self, spark: SparkSession, layer: str, table: Table, extras: bool = False
+    ) -> DataFrame:
+        """A Parquet table with its declared schema; no file is opened to find the schema.
+
+        With ``extras`` the columns that the files hold beyond the contract follow, as text; that
+        takes a look at the files.
+        """
+        path = self.path(layer, table.name)
+        if extras:
+            table = table.extended(spark.read.parquet(path).columns)
+        return spark.read.schema(table.ddl).parquet(path)
 
 
 def write_table(

@@ -32,7 +32,7 @@ def _read(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 def _places(spark: SparkSession, directory: str) -> DataFrame:
     nation, region = _read(spark, directory, "nation"), _read(spark, directory, "region")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
         "n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("province")
     )
 
@@ -40,7 +40,7 @@ def _places(spark: SparkSession, directory: str) -> DataFrame:
 def customers(spark: SparkSession, directory: str) -> DataFrame:
     return (
         _read(spark, directory, "customer")
-        .join(_places(spark, directory), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_places(spark, directory), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(
             F.col("c_custkey").alias("customer_id"),
             F.lit(None).cast("string").alias("postal_code"),
@@ -99,7 +99,7 @@ def order_items(spark: SparkSession, directory: str) -> DataFrame:
 def sellers(spark: SparkSession, directory: str) -> DataFrame:
     return (
         _read(spark, directory, "supplier")
-        .join(_places(spark, directory), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(_places(spark, directory), F.col("s_nationkey") == F.col("n_nationkey"), "left")
         .select(F.col("s_suppkey").alias("seller_id"), "city", "province")
     )
 
@@ -134,9 +134,29 @@ def raw_text(spark: SparkSession, directory: str, table: Table) -> DataFrame:
     )
 
 
+def _extra(spark: SparkSession, directory: str, table: str) -> DataFrame | None:
+    """A column that no contract names, by key."""
+    if table == "customers":
+        source = spark.read.parquet(f"{directory}/customer.parquet")
+        return source.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("market"))
+    if table == "products":
+        source = spark.read.parquet(f"{directory}/part.parquet")
+        return source.select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("brand"))
+    return None
+
+
 def write_raw_csv(spark: SparkSession, directory: str, target: str) -> None:
-    """All raw tables as CSV directories with the header names of source files."""
+    """All raw tables as CSV directories with the header names of source files.
+
+    Customers and products carry a column that no contract names.
+    """
     for table in BRONZE.values():
-        raw_text(spark, directory, table).select(
-            *(F.col(f.name).alias(f.source) for f in table.fields)
-        ).write.mode("overwrite").option("header", True).csv(f"{target}/{table.name}")
+        raw = raw_text(spark, directory, table)
+        names = [F.col(f.name).alias(f.source) for f in table.fields]
+        extra = _extra(spark, directory, table.name)
+        if extra is not None:
+            raw = raw.join(extra, F.col(table.key[0]) == F.col("key").cast("string"))
+            names.append(F.col(extra.columns[1]))
+        raw.select(*names).write.mode("overwrite").option("header", True).csv(
+            f"{target}/{table.name}"
+        )

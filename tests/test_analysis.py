@@ -56,6 +56,21 @@ def test_top_customers_of_every_segment(segmented, rows):
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
+def test_many_top_customers_are_ranked_without_sorting_a_segment_in_one_task(spark, rows):
+    """Beyond the size that Spark limits by group no window over a whole segment is planned."""
+    df = spark.range(5000).selectExpr(
+        "concat('C', id) AS customer_id", "cast(id % 900 AS double) AS total_spend",
+        "cast(id % 2 AS int) AS segment",
+    )
+    few = analysis.top_customers_per_segment(df, 1000)
+    many = analysis.top_customers_per_segment(df, 2000)
+    plan = many._jdf.queryExecution().toString()
+    assert "total_spend" not in plan.split("windowspecdefinition", 1)[-1].split("\n")[0]
+    assert "WindowGroupLimit" in few._jdf.queryExecution().toString()
+    assert many.count() == 4000
+    assert rows(many.filter("place <= 1000"), *few.columns) == rows(few)
+
+
 def test_spend_by_province(spark, rows):
     gold = spark.createDataFrame(
         [("a", 0, 0.1), ("a", 0, 0.2), ("b", 1, 5.0), ("b", 1, None)],

@@ -156,7 +156,7 @@ def test_csv_columns_are_found_by_header_name(spark, tmp_path, rows):
     folder.mkdir()
     (folder / "a.csv").write_text('kategori_produk,extra,harga,id_produk\n"a, b",1,07,P1\n,2,,P2\n')
     raw = read_bronze(spark, str(folder), schemas.PRODUCTS)
-    assert rows(raw) == [("P1", "07", "a, b"), ("P2", None, None)]
+    assert rows(raw) == [("P1", "07", "a, b", "1", None), ("P2", None, None, "2", None)]
 
 
 def test_csv_with_another_header_order_fails_instead_of_shifting(spark, tmp_path):

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import csv
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,11 +158,46 @@ def test_views_under_the_names_of_old_reports(spark, shop):
 
 def test_malformed_values_are_reported(spark, tmp_path):
     fill_bronze(tmp_path, n_customers=10)
-    rejected = bronze_to_silver(spark, Lake(str(tmp_path)))
-    found = {(r.table_name, r.column_name): (r.n_values, r.n_rejected) for r in rejected.collect()}
-    assert found["transactions", "approved_at"] == (40, 40)
-    assert found["transactions", "purchased_at"] == (40, 0)
-    assert found["order_items", "price"] == (125, 0)
+    counts = bronze_to_silver(spark, Lake(str(tmp_path)))
+    found = {(r.table_name, r.problem): (r.n_checked, r.n_found) for r in counts.collect()}
+    assert found["transactions", "malformed approved_at"] == (40, 40)
+    assert found["transactions", "malformed purchased_at"] == (40, 0)
+    assert found["order_items", "malformed price"] == (125, 0)
+    assert found["customers", "broken record"] == (13, 0)
+
+
+def test_broken_records_and_null_keys_are_counted_and_extra_columns_kept(spark, tmp_path, rows):
+    fill_bronze(tmp_path, n_customers=10)
+    folder = tmp_path / "bronze" / "products"
+    for file in folder.glob("*.csv"):
+        file.unlink()
+    lines = [
+        "id_produk,harga,kategori_produk,berat,rank_in_category",
+        "P0,1.5,A,10,x",
+        "P1,2.5,A,20,x,too,many",
+        "P2,3.5",
+        'P3,4.5,"broken',
+        'line",30,x',
+        ",5.5,B,40,x",
+        ",6.5,B,50,x",
+    ]
+    (folder / "part.csv").write_text("\n".join(lines) + "\n")
+    lake = Lake(str(tmp_path), "extra", str(tmp_path / "catalog"))
+    found = {
+        r.problem: (r.n_checked, r.n_found)
+        for r in bronze_to_silver(spark, lake).filter("table_name = 'products'").collect()
+    }
+    assert found["broken record"] == (8 - 1, 4)
+    assert found["null key"] == (7, 2)
+    kept = lake.read(spark, "silver", schemas.PRODUCTS, extras=True)
+    assert kept.columns == [*schemas.PRODUCTS.columns, "berat", "rank_in_category"]
+    assert ("P0", "10", "x") in rows(kept, "product_id", "berat", "rank_in_category")
+    gold = silver_to_gold(spark, lake)["product_metrics"]
+    # a column that bears the name of a measure is marked
+    assert gold.columns[-2:] == ["berat", "product_rank_in_category"]
+    assert spark.table("extra.product_metrics").columns == gold.columns
+    whole = bronze_to_silver(spark, lake, multi_line=True).filter("problem = 'broken record'")
+    assert {r.table_name: r.n_found for r in whole.collect()}["products"] == 2
 
 
 def test_steps_run_from_the_command_line(spark, tmp_path, capsys):
@@ -172,6 +211,54 @@ def test_steps_run_from_the_command_line(spark, tmp_path, capsys):
     assert spark.table("cli.customer_segments").count() == 15
 
 
+def test_each_step_runs_in_a_process_of_its_own(tmp_path):
+    fill_bronze(tmp_path, n_customers=15)
+    shown = ""
+    for step in ("silver", "gold", "segments", "report"):
+        command = [sys.executable, "-m", "orderlake", step, f"--root={tmp_path}", "--max-k=3"]
+        command.append(f"--database-location={tmp_path}/catalog")
+        run = subprocess.run(
+            command,
+            cwd=tmp_path,
+            env=os.environ
+            | {
+                "PYTHONPATH": str(Path(__file__).resolve().parent.parent),
+                "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false "
+                f"--conf spark.checkpoint.dir={tmp_path}/shared pyspark-shell",
+            },
+            capture_output=True,
+            text=True,
+            timeout=300,
+        )
+        assert run.returncode == 0, run.stderr[-2000:]
+        shown += run.stdout
+    assert "null key" in shown and "spend_by_province" in shown
+
+
+def test_lasting_views_of_old_reports(spark, shop):
+    view = spark.table("shop.gold_segmentasi_pelanggan")
+    assert view.columns == [f.source for f in schemas.GOLD_SEGMENTS.fields]
+    assert view.agg(F.sum("total_pembayaran")).first()[0] == 20_500.0
+    flat = spark.table("shop.bronze_pelanggan")
+    assert flat.columns == [f.source for f in schemas.FLAT_ORDERS.fields]
+    assert flat.count() == spark.table("shop.completed_orders").count() + flat.filter(
+        "status_order <> 'Selesai' OR status_order IS NULL OR NOT harga > 0"
+    ).count()
+
+
+def test_a_declaration_that_still_holds_stays(spark, tmp_path):
+    lake = Lake(str(tmp_path), "stay", str(tmp_path / "catalog"))
+    catalog.create_database(spark, lake.database, lake.database_location)
+    path, table = lake.path("gold", "city_metrics"), schemas.CITY_METRICS
+    for n in (1, 2):
+        write_table(spark.createDataFrame([("p", "c", 1, 1.0, 1.0)] * n, table.ddl), path, table)
+        name = catalog.create_external_table(spark, lake.database, table, path)
+        if n == 1:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('owner_note' = 'kept')")
+    assert spark.table(name).count() == 2
+    assert "owner_note" in str(spark.sql(f"SHOW TBLPROPERTIES {name}").collect())
+
+
 def test_create_session_joins_the_running_one(spark):
     same = session.create_session("other", config={"spark.sql.ansi.doubleQuotedIdentifiers": "false"})
     assert same.sparkContext is spark.sparkContext

@@ -195,6 +195,29 @@ def test_identical_customers_score_minus_one(spark):
     assert [t.score for t in trials] == [-1.0, -1.0]
 
 
+def test_errors_that_are_not_about_the_data_are_raised(fitted, monkeypatch):
+    from pyspark.errors import PySparkRuntimeError
+
+    prepared, model, _ = fitted
+
+    def lost(*args, **kwargs):
+        raise PySparkRuntimeError("executor lost")
+
+    monkeypatch.setattr(segments, "silhouette", lost)
+    with pytest.raises(PySparkRuntimeError):
+        segments.sweep_k(prepared, max_k=3)
+
+
+def test_a_cluster_without_members_has_a_segment(spark, fitted):
+    """Customers of one cluster only: the labels of the others follow from their centres."""
+    prepared, model, _ = fitted
+    far = model.assign(prepared).filter("segment = 2").select("customer_id", *FEATURES)
+    assert {r.segment for r in model.assign(far).collect()} == {2}
+    labels = segments.label_by_spend(model.preprocessing, model.clusters)
+    every = spark.createDataFrame([(0,), (1,), (2,)], "cluster int")
+    assert sorted(r.segment for r in labels.transform(every).collect()) == [0, 1, 2]
+
+
 def test_trial_table(spark, rows):
     table = segments.trial_table(spark, [Trial(2, 0.5, None), Trial(3, 0.25, None)])
     assert rows(table) == [(2, 0.5, True), (3, 0.25, False)]
