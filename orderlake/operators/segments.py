@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 
-from orderlake.operators.analysis import segment_profile
 from orderlake.schemas import require_columns
 
 # The four features, the seed, the number of segments when no score is usable, the
@@ -237,14 +236,6 @@ def fit_segments(
     return SegmentModel(preprocessing, clusters, label_by_spend(preprocessing, clusters)), trials
 
 
-def interpret_segments(
-    prepared: DataFrame, model: SegmentModel, features: Sequence[str] = FEATURES
-) -> tuple[DataFrame, DataFrame]:
-    """Customers with their segment, and the profile of each segment."""
-    assigned = model.assign(prepared)
-    return assigned, segment_profile(assigned, features=features)
-
-
 def trial_table(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:
     """One row per tried k."""
     best = choose_k(trials)

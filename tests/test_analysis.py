@@ -99,7 +99,7 @@ def test_gate_sees_repeated_keys_missing_columns_and_emptiness(spark):
 
 def test_gate_on_a_table_without_a_key(spark):
     df = spark.createDataFrame([("S", "c", "p")] * 2, SELLERS.ddl)
-    assert gates.check_tables({"sellers": df}, {"sellers": SELLERS}).first().ready
+    assert gates.check_table(df, SELLERS).first().ready
 
 
 def test_require_ready(spark):

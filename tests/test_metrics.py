@@ -239,6 +239,35 @@ def test_segmented_customer_without_completed_order(silver, spark, rows):
     ]
 
 
+def test_a_giant_order_is_split_when_items_are_joined_one_by_one(spark):
+    """With low thresholds adaptive execution splits the hot key's partition on the items' side."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        items = spark.range(0, 60_000, 1, 8).selectExpr(
+            "if(id < 50000, 'hot', concat('O', id % 3000)) AS order_id",
+            "uuid() AS product_id", "1.0D AS price", "1 AS quantity", "1.0D AS item_total",
+        )
+        orders = spark.range(3000).selectExpr(
+            "if(id = 0, 'hot', concat('O', id)) AS order_id", "concat('C', id) AS customer_id",
+            "1.0D AS total_payment", "timestamp '2024-01-01 00:00:00' AS purchased_at",
+        )
+        joined = metrics.transaction_items(orders, items)
+        assert len(joined.collect()) > 50_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_large_sums_are_the_nearest_double(spark):
     rng = random.Random(3)
     cents = [rng.randrange(10 ** rng.randrange(2, 15)) for _ in range(4000)]

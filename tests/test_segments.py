@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from orderlake.operators import segments
+from orderlake.operators.analysis import segment_profile
 from orderlake.operators.segments import FEATURES, Trial
 
 DDL = (
@@ -107,7 +108,7 @@ def test_centres_are_the_means_of_their_customers(fitted):
 
 def test_segments_are_numbered_by_falling_spend(fitted):
     prepared, model, _ = fitted
-    _, profile = segments.interpret_segments(prepared, model)
+    profile = segment_profile(model.assign(prepared))
     found = profile.collect()
     assert [r.segment for r in found] == [0, 1, 2]
     assert [r.n_customers for r in found] == [40, 40, 40]
@@ -159,7 +160,7 @@ def test_cluster_centers_on_both_scales(spark, fitted):
     prepared, model, _ = fitted
     centers = segments.cluster_centers(spark, model)
     assert centers.count() == 3 * len(FEATURES)
-    _, profile = segments.interpret_segments(prepared, model)
+    profile = segment_profile(model.assign(prepared))
     means = {r.segment: r.avg_total_spend for r in profile.collect()}
     for r in centers.filter("feature = 'total_spend'").collect():
         assert math.isclose(r.center, means[r.segment], rel_tol=1e-9)
