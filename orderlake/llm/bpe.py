@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from orderlake.llm.common import narrowed
+from orderlake.llm.common import narrowed, pieces
 
 NONE = np.int32(2**31 - 1)  # the rank of a pair that does not merge
 LONGEST_ROW = 256
-_CACHED_PIECES = 300_000
+_CACHED_PIECES = 200_000
 _CHUNK_CHARS = 1_000_000
 _IDS = ArrayType(IntegerType())
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -237,7 +237,7 @@ def encoded(
 ) -> Iterator[pa.RecordBatch]:
     """Replace the text column of Arrow batches by ``ids``; a few batches for each that comes."""
     encoder = Encoder(vocabulary(rank_file), pattern)
-    for batch in batches:
+    for batch in pieces(batches):
         place = batch.schema.get_field_index(text)
         rest = [i for i in range(batch.num_columns) if i != place]
         at = 0

@@ -51,6 +51,13 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def bit_filter(keys: DataFrame, key: str, n_keys: int) -> Callable[[np.ndarray], np.ndarray]:
     """A test whether non-negative numbers may be among ``keys``; never false for one that is.
 
@@ -85,7 +92,7 @@ def split_by_filter(
 
     def part(wanted: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in pieces(batches):
                 yield batch.filter(pa.array(among(batch.column(key).to_numpy()) == wanted))
 
         return rows.mapInArrow(run, rows.schema)

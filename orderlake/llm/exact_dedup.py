@@ -272,7 +272,8 @@ def deduplicated(
         F.col(f"`{text}`").alias("text"),
     )
     hashed = _fingerprints(whole, "doc_id", "text", key_bits, "whole")
-    clear, likely = split_by_filter(hashed.select("whole", "key", "doc_id", "text"), "key", among)
+    clear = split_by_filter(hashed.select("whole", "key"), "key", among)[0]
+    likely = split_by_filter(hashed.select("whole", "key", "doc_id", "text"), "key", among)[1]
     unmatched = likely.join(keys, "key", "left_anti")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("whole"))
     chosen = (

@@ -21,13 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import narrowed
+from orderlake.llm.common import narrowed, pieces
 
 EXACT, LIKE = 8, 128
 SHORT = 8  # words; a shorter paragraph has few trigrams
 _LANE_BITS = np.uint64(7)
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 200_000
 
 
 class _Hashes(dict):
@@ -109,7 +109,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             prints = [as_text(fingerprint(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(prints, pa.string())], ["doc_id", "fingerprint"]
@@ -199,7 +199,7 @@ def with_next(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the row that still waits for the next one of its range
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for doc_id, current, part, tail in zip(
                 batch.column("doc_id"),

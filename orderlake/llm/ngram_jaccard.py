@@ -27,14 +27,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import bit_filter, components, narrowed, split_by_filter, stored
+from orderlake.llm.common import bit_filter, components, narrowed, pieces, split_by_filter, stored
 
 # n-grams ordered by their frequency; the rest of the order is by hash
 MAX_FREQUENT = 1 << 19
 _FREQUENT = 32
-_BATCH_TOKENS = 4_000_000
-_CACHED_WORDS = 500_000
-_BITMAP_BITS = 256
+_BATCH_TOKENS = 2_000_000
+_CACHED_WORDS = 200_000
+_BITMAP_BITS, _WIDE_BITS = 256, 2048
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,8 +67,8 @@ def shingles(text: str | None, k: int, hashes: dict[bytes, int]) -> np.ndarray:
     width = min(k, len(h))
     grams = np.full(len(h) - width + 1, width, np.uint64)
     for i in range(width):
-        grams = _mixed(grams * _ODD + h[i : len(h) - width + 1 + i])
-    return np.unique(grams)
+        grams = grams * _ODD + h[i : len(h) - width + 1 + i]
+    return np.unique(_mixed(grams))
 
 
 def _row_key(id_column: str, text: str) -> Column:
@@ -80,140 +80,162 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, row_key, n, class_key, key, grams): the sets of all documents, made on each use.
+def _sets(
+    batches: Iterator[pa.RecordBatch], k: int
+) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[str]]]:
+    """(rows, their sets, a key for each whole set), a few rows at a time.
 
-    Sets take more room than their texts, so they are not stored. ``class_key`` stands for the
-    whole set, ``key`` is its first 60 bits as a number.
+    Sets take more room than their texts, so they are made anew in each pass and not stored.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    hashes = _Hashes()
+    for batch in pieces(batches):
+        sets = [shingles(t, k, hashes) for t in batch.column("text").to_pylist()]
+        yield batch, sets, [xxhash.xxh128_hexdigest(s.tobytes()) for s in sets]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            sets = [shingles(t, k, hashes) for t in batch.column("text").to_pylist()]
-            blobs = [s.tobytes() for s in sets]
-            keys = [xxhash.xxh128_hexdigest(b) for b in blobs]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("row_key"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(keys, pa.string()),
-                    pa.array([int(key[:15], 16) for key in keys], pa.int64()),
-                    pa.array(blobs, pa.binary()),
-                ],
-                ["doc_id", "row_key", "n", "class_key", "key", "grams"],
-            )
-
-    return docs.select("doc_id", "text", _row_key("doc_id", "text").alias("row_key")).mapInArrow(
-        run,
-        f"doc_id {kind}, row_key long, n long, class_key string, key long, grams binary",
-    )
 
+def _keys_and_counts(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row_key, n, class_key) per document, and (gram, times): counts of n-grams.
 
-def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent n-grams and their places from the end of the order, sorted by n-gram.
-
-    All sets are counted, a few million members at a time; a member found once in such a batch
-    adds nothing, so a count is at most the number of batches too low.
+    One pass makes both. All sets are counted, a few million members at a time; a member found
+    once in such a batch is left out, so a count is at most the number of batches too low.
     """
+    kind = docs.schema["doc_id"].dataType
+    names = ["doc_id", "row_key", "n", "class_key", "gram", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        size = 0
+        size, id_type = 0, None
 
         def counted() -> pa.RecordBatch:
             grams, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts > 1
+            often = np.flatnonzero(counts > 1)
+            types = (id_type, pa.int64(), pa.int64(), pa.string())
+            columns = [pa.nulls(len(often), t) for t in types]
+            columns.append(pa.array(grams[often].view(np.int64)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(grams[often].view(np.int64)), pa.array(counts[often].astype(np.int64))],
-                ["gram", "n"],
+                [*columns, pa.array(counts[often].astype(np.int64))], names
             )
 
-        for batch in batches:
-            for blob in batch.column("grams"):
-                held.append(np.frombuffer(blob.as_buffer(), np.uint64))
-                size += len(held[-1])
+        for batch, sets, class_keys in _sets(batches, k):
+            id_type = batch.column("doc_id").type
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("row_key"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(class_keys, pa.string()),
+                    pa.nulls(len(sets), pa.int64()),
+                    pa.nulls(len(sets), pa.int64()),
+                ],
+                names,
+            )
+            for grams in sets:
+                held.append(grams)
+                size += len(grams)
                 if size >= _BATCH_TOKENS:
                     yield counted()
                     held, size = [], 0
         if held:
             yield counted()
 
-    rows = (
-        sets.select("grams")
-        .mapInArrow(run, "gram long, n long")
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n"))
+    rows = docs.select("doc_id", "text", _row_key("doc_id", "text").alias("row_key")).mapInArrow(
+        run,
+        f"doc_id {kind.simpleString()}, row_key long, n long, class_key string, gram long, "
+        "times long",
+    )
+    both = stored(rows, "set_keys")
+    keys = both.filter("class_key IS NOT NULL").select("doc_id", "row_key", "n", "class_key")
+    return keys, both.filter("gram IS NOT NULL").select("gram", "times")
+
+
+class Frequent:
+    """The most frequent n-grams with their counts."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        order = np.argsort(grams)
+        self.grams, self.counts = grams[order], counts[order]
+        # by leading bits, so that few others are looked up
+        self.may_be = np.zeros(1 << 22, bool)
+        self.may_be[self.grams >> np.uint64(42)] = True
+
+    def counts_of(self, grams: np.ndarray) -> np.ndarray:
+        """The count of each n-gram, 0 for the others."""
+        found = np.zeros(len(grams), np.int64)
+        maybe = np.flatnonzero(self.may_be[grams >> np.uint64(42)])
+        if len(maybe):
+            place = np.searchsorted(self.grams, grams[maybe])
+            place[place == len(self.grams)] = 0
+            hit = self.grams[place] == grams[maybe]
+            found[maybe[hit]] = self.counts[place[hit]]
+        return found
+
+
+def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``MAX_FREQUENT`` n-grams and their counts."""
+    found = (
+        counts.groupBy("gram")
+        .agg(F.sum("times").alias("n"))
         .filter(F.col("n") > _FREQUENT)
         .orderBy(F.desc("n"), "gram")
         .limit(MAX_FREQUENT)
+        .toPandas()
     )
-    found = rows.toPandas()
-    grams = found["gram"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(grams)
-    return grams[order], found["n"].to_numpy(np.int64)[order]
+    return found["gram"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
 
 
-def _bitmap(grams: np.ndarray) -> np.ndarray:
-    """The parity of members per hash class, as four 64-bit numbers.
+def _bitmap(grams: np.ndarray, size: int) -> np.ndarray:
+    """The parity of members per hash class, as 64-bit numbers.
 
     Two bitmaps differ in at most as many bits as their sets differ in members.
     """
-    place = (grams >> np.uint64(20)).astype(np.int64) & (_BITMAP_BITS - 1)
-    odd = np.bincount(place, minlength=_BITMAP_BITS) & 1
+    place = (grams >> np.uint64(20)).astype(np.int64) & (size - 1)
+    odd = np.bincount(place, minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _classes(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, class_key, n, group_key, prefix, bits): one row per set of at least one member."""
-    spark = sets.sparkSession
-    frequent = spark.sparkContext.broadcast(_frequent(sets))
+def _number_lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0] + [len(r) for r in rows])
+    values = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+
+def _classes(docs: DataFrame, counts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, class_key, n, group_key, prefix, bits, wide): a row per set of at least a member."""
+    sent = docs.sparkSession.sparkContext.broadcast(_frequent(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, counts = frequent.value
-        for batch in batches:
-            prefixes, keys, bits = [], [], []
-            for blob, n in zip(batch.column("grams"), batch.column("n").to_pylist()):
-                grams = np.frombuffer(blob.as_buffer(), np.uint64)
-                p = prefix_length(n, percent)
+        frequent = Frequent(*sent.value)
+        for _, sets, class_keys in _sets(batches, k):
+            class_keys = [key for key, grams in zip(class_keys, sets) if len(grams)]
+            sets = [grams for grams in sets if len(grams)]
+            prefixes, keys, bits, wide = [], [], [], []
+            for grams in sets:
+                p = prefix_length(len(grams), percent)
                 prefix = grams[:p]
-                if len(often):
-                    place = np.searchsorted(often, grams)
-                    place[place == len(often)] = 0
-                    known = often[place] == grams
-                    if known[:p].any():
-                        rank = np.where(known, counts[place], 0)
-                        prefix = grams[np.lexsort((grams, rank))[:p]]
-                prefixes.append(np.sort(prefix).view(np.int64))
-                key = n.to_bytes(8, "little") + prefixes[-1].tobytes()
+                if frequent.counts_of(prefix).any():
+                    prefix = np.sort(grams[np.lexsort((grams, frequent.counts_of(grams)))[:p]])
+                prefixes.append(prefix.view(np.int64))
+                key = len(grams).to_bytes(8, "little") + prefix.tobytes()
                 keys.append(hashlib.blake2b(key, digest_size=16).hexdigest())
-                bits.append(_bitmap(grams))
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0] + [len(p) for p in prefixes]), pa.int32()),
-                pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)),
-            )
-            bit_lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(bits) + 1) * 4, pa.int32()),
-                pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)),
-            )
+                bits.append(_bitmap(grams, _BITMAP_BITS))
+                wide.append(_bitmap(grams, _WIDE_BITS))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("n"), batch.column("class_key"), pa.array(keys, pa.string()),
-                 lists, bit_lists],
-                ["n", "class_key", "group_key", "prefix", "bits"],
-            )
-
-    rows = (
-        sets.filter("n > 0")
-        .select("n", "class_key", "grams")
-        .mapInArrow(
-            run,
-            "n long, class_key string, group_key string, prefix array<long>, bits array<long>",
-        )
+                [
+                    pa.array([len(grams) for grams in sets], pa.int64()),
+                    pa.array(class_keys, pa.string()),
+                    pa.array(keys, pa.string()),
+                    *map(_number_lists, (prefixes, bits, wide)),
+                ],
+                ["n", "class_key", "group_key", "prefix", "bits", "wide"],
+            )
+
+    rows = docs.select("text").mapInArrow(
+        run,
+        "n long, class_key string, group_key string, prefix array<long>, bits array<long>, "
+        "wide array<long>",
     )
     first = rows.groupBy("class_key").agg(
-        *(F.first(c).alias(c) for c in ("n", "group_key", "prefix", "bits"))
+        *(F.first(c).alias(c) for c in ("n", "group_key", "prefix", "bits", "wide"))
     )
     return stored(first.withColumn("node", F.monotonically_increasing_id()), "classes")
 
@@ -222,18 +244,31 @@ def _long_enough(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _may_match(x: str, y: str, percent: int) -> Column:
-    """Length and bitmap filter for rows aliased ``x`` and ``y`` that hold n and bits."""
+def _may_match(x: str, y: str, percent: int, bits: str = "bits", size: int = _BITMAP_BITS) -> Column:
+    """Length and bitmap filter for rows aliased ``x`` and ``y`` that hold n and a bitmap."""
     differ = F.lit(0)
-    for i in range(_BITMAP_BITS // 64):
-        differ += F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i]))
+    for i in range(size // 64):
+        differ += F.bit_count(F.col(f"{x}.{bits}")[i].bitwiseXOR(F.col(f"{y}.{bits}")[i]))
     a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
     close = differ * (100 + percent) <= (a + b) * (100 - percent)
     return _long_enough(a, b, percent) & close
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Those of the distinct pairs (a, b) of nodes whose whole sets reach the threshold."""
+def _verified(
+    pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int
+) -> DataFrame:
+    """Those of the distinct pairs (a, b) of nodes whose whole sets reach the threshold.
+
+    Wide bitmaps leave few others, so few sets are moved.
+    """
+    known = classes.select("node", "n", "wide")
+    pairs = stored(
+        pairs.join(known.alias("p"), F.col("a") == F.col("p.node"))
+        .join(known.alias("q"), F.col("b") == F.col("q.node"))
+        .filter(_may_match("p", "q", percent, "wide", _WIDE_BITS))
+        .select("a", "b"),
+        "near_pairs",
+    )
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     needed = stored(
         classes.select("node", "class_key")
@@ -244,11 +279,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: in
     among = bit_filter(needed, "key", needed.count())
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(among(batch.column("key").to_numpy())))
+        for _, sets, class_keys in _sets(batches, k):
+            numbers = np.array([int(key[:15], 16) for key in class_keys], np.int64)
+            hits = np.flatnonzero(among(numbers))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([class_keys[i] for i in hits], pa.string()),
+                    pa.array([sets[i].tobytes() for i in hits], pa.binary()),
+                ],
+                ["class_key", "grams"],
+            )
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             hits = []
             for x, y in zip(batch.column("grams_a"), batch.column("grams_b")):
                 a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
@@ -257,8 +300,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: in
             yield batch.select(["a", "b"]).filter(pa.array(hits, pa.bool_()))
 
     chosen = stored(
-        sets.select("class_key", "key", "grams")
-        .mapInArrow(likely, "class_key string, key long, grams binary")
+        docs.select("text")
+        .mapInArrow(likely, "class_key string, grams binary")
         .join(needed.select("class_key", "node"), "class_key")
         .groupBy("node")
         .agg(F.first("grams").alias("grams")),
@@ -275,7 +318,7 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def linked_classes(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Rows (node, component) of the nodes that have a link."""
     leads = classes.groupBy("group_key").agg(F.min("node").alias("lead"))
     members = stored(
@@ -304,14 +347,7 @@ def linked_classes(sets: DataFrame, classes: DataFrame, percent: int) -> DataFra
             members.filter("node <> lead").select("node", "lead")
         )
     )
-    known = members.select("node", "n", "bits")
-    near = (
-        star.join(known.alias("p"), F.col("a") == F.col("p.node"))
-        .join(known.alias("q"), F.col("b") == F.col("q.node"))
-        .filter(_may_match("p", "q", percent))
-        .select("a", "b")
-    )
-    links = stored(_verified(stored(near, "star_pairs"), sets, classes, percent), "star_links")
+    links = stored(_verified(star, docs, classes, k, percent), "star_links")
     found = components(links)
 
     # Lists whose members are not connected yet
@@ -357,16 +393,15 @@ def linked_classes(sets: DataFrame, classes: DataFrame, percent: int) -> DataFra
         & (~right_stray | (F.col("s.node") < F.col("r.node")))
         & _may_match("s", "r", percent),
     ).select(F.col("s.node").alias("x"), F.col("r.node").alias("y"))
-    more = stored(_verified(stored(_pairs(cross), "cross_pairs"), sets, classes, percent), "cross_links")
+    more = stored(_verified(_pairs(cross), docs, classes, k, percent), "cross_links")
     return components(links.unionByName(more))
 
 
 def _labelled(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, row_key, n, component, component_id); no component without a set."""
-    sets = _sets(docs, words)
-    rows = stored(sets.select("doc_id", "row_key", "n", "class_key"), "set_keys")
-    classes = _classes(sets, percent)
-    linked = linked_classes(sets, classes, percent)
+    rows, counts = _keys_and_counts(docs, words)
+    classes = _classes(docs, counts, words, percent)
+    linked = linked_classes(docs, classes, words, percent)
     class_ids = (
         rows.filter("n > 0").groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
     )

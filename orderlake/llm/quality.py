@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import narrowed
+from orderlake.llm.common import narrowed, pieces
 
 PASSAGE_WORDS = 64
 HIDDEN, GATE = 12, 8
@@ -188,7 +188,7 @@ def fit(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             bags = [bag(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -224,7 +224,7 @@ def score(
     narrow = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("_scored_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column("_scored_text").to_pylist()
             scores = model.scores([bag(t) for t in texts])
             yield pa.RecordBatch.from_arrays(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import narrowed
+from orderlake.llm.common import narrowed, pieces
 
 KINDS = ("assign", "access", "hex")
 # Only ASCII letters ignore case.
@@ -247,7 +247,7 @@ RUNS_SCHEMA = "place bigint, shapes array<array<int>>, contexts array<array<int>
 
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         out: list[list] = [[], [], [], []]
         for text in batch.column("text").to_pylist():
             for shapes, contexts, states in labelled_runs(text):
@@ -335,7 +335,7 @@ def scan(
         fields = [("start", pa.int32()), ("end", pa.int32())]
         fields += [("kind", pa.string()), ("value", pa.string())]
         span_type = pa.list_(pa.struct(fields))
-        for batch in batches:
+        for batch in pieces(batches):
             spans = []
             for text_value in batch.column("text").to_pylist():
                 if not text_value:

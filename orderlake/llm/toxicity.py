@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import narrowed
+from orderlake.llm.common import narrowed, pieces
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 STEMS = (4, 5, 6, 7)
@@ -194,7 +194,7 @@ def fit(
     )
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             names, marks = [], []
             for value, mark in zip(
                 batch.column("text").to_pylist(), batch.column("label").to_pylist()
@@ -234,7 +234,7 @@ def fit(
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(names)
-        for batch in batches:
+        for batch in pieces(batches):
             rows = [lexicon.features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("place"), pa.array(rows, pa.list_(pa.int32()))], ["place", "features"]
@@ -262,7 +262,7 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.names)
-        for batch in batches:
+        for batch in pieces(batches):
             scores = [model.score(lexicon.features(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"]
