@@ -9,7 +9,8 @@ the order changes only how many candidates there are, never the result.
 
 Classes with the same size and prefix are one group, and prefixes are joined group by group. The
 candidates of a prefix member are first verified as a star: each group against the smallest group
-of that list, and each member of a group against the group's first. What the stars connect needs
+of that list (a longer list has further pivots), and each member of a group against the group's
+first. What the stars connect needs
 no further check. Then only rows of a list outside its largest component meet the other
 components, as expanded members; length and a bitmap bound on the symmetric difference filter the
 pairs inside the join, and what is left is verified on whole sets. A pair that is never verified
@@ -35,6 +36,7 @@ _FREQUENT = 32
 _BATCH_TOKENS = 2_000_000
 _CACHED_WORDS = 200_000
 _BITMAP_BITS, _WIDE_BITS = 256, 2048
+_SHORT_LIST, _MORE_PIVOTS = 8, 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -326,24 +328,40 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
     )
     groups = classes.join(members.filter("node = lead").select("node"), "node", "left_semi")
     posts = groups.select("node", "n", F.explode("prefix").alias("gram"))
+    # A list has the smallest group as its pivot; a longer one has more, which differ by list.
+    # Lists of the same groups, as the n-grams of one shared passage make them, are one list.
+    own = F.struct("n", "node")
     lists = (
         posts.groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("n", "node")).alias("first"))
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.bit_xor(F.xxhash64("node")).alias("mark"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("other_mark"),
+            F.min(own).alias("first"),
+            *(
+                F.min(F.struct(F.xxhash64("node", "gram", F.lit(i)), own.alias("own"))).alias(f"p{i}")
+                for i in range(_MORE_PIVOTS)
+            ),
+        )
         .filter("size > 1")
-        .select("gram", "first")
     )
+    alike = ["size", "mark", "other_mark"]
+    more = [F.when(F.col("size") > _SHORT_LIST, F.col(f"p{i}.own")) for i in range(_MORE_PIVOTS)]
+    pivots = F.array_compact(F.array("first", *more)).alias("pivots")
+    lists = lists.select("gram", *alike, pivots)
+    chosen = lists.groupBy(*alike).agg(F.min_by(F.struct("gram", "pivots"), "gram").alias("list"))
     posted = stored(
-        posts.join(lists, "gram").select(
-            "gram", "node", "n", F.col("first.node").alias("pivot"), F.col("first.n").alias("pn")
-        ),
-        "posted",
+        posts.join(chosen.select("list.*"), "gram").select("gram", "node", "n", "pivots"), "posted"
     )
 
     # Stars
-    starred = posted.filter((F.col("node") != F.col("pivot")))
-    starred = starred.filter(_long_enough(F.col("n"), F.col("pn"), percent))
+    starred = posted.select("node", "n", F.explode("pivots").alias("pivot"))
+    starred = starred.filter(
+        (F.col("node") != F.col("pivot.node"))
+        & _long_enough(F.col("n"), F.col("pivot.n"), percent)
+    )
     star = _pairs(
-        starred.select(F.col("node").alias("x"), F.col("pivot").alias("y")).union(
+        starred.select(F.col("node").alias("x"), F.col("pivot.node").alias("y")).union(
             members.filter("node <> lead").select("node", "lead")
         )
     )
