@@ -337,21 +337,24 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
             F.count(F.lit(1)).alias("size"),
             F.bit_xor(F.xxhash64("node")).alias("mark"),
             F.bit_xor(F.xxhash64("node", F.lit(1))).alias("other_mark"),
-            F.min(own).alias("first"),
-            *(
-                F.min(F.struct(F.xxhash64("node", "gram", F.lit(i)), own.alias("own"))).alias(f"p{i}")
-                for i in range(_MORE_PIVOTS)
-            ),
         )
         .filter("size > 1")
     )
     alike = ["size", "mark", "other_mark"]
     more = [F.when(F.col("size") > _SHORT_LIST, F.col(f"p{i}.own")) for i in range(_MORE_PIVOTS)]
     pivots = F.array_compact(F.array("first", *more)).alias("pivots")
-    lists = lists.select("gram", *alike, pivots)
-    chosen = lists.groupBy(*alike).agg(F.min_by(F.struct("gram", "pivots"), "gram").alias("list"))
+    chosen = lists.groupBy(*alike).agg(F.min("gram").alias("gram")).select("gram", "size")
+    listed = stored(posts.join(chosen, "gram"), "listed")
+    seeds = listed.groupBy("gram", "size").agg(
+        F.min(own).alias("first"),
+        *(
+            F.min(F.struct(F.xxhash64("node", "gram", F.lit(i)), own.alias("own"))).alias(f"p{i}")
+            for i in range(_MORE_PIVOTS)
+        ),
+    )
     posted = stored(
-        posts.join(chosen.select("list.*"), "gram").select("gram", "node", "n", "pivots"), "posted"
+        listed.join(seeds.select("gram", pivots), "gram").select("gram", "node", "n", "pivots"),
+        "posted",
     )
 
     # Stars
