@@ -48,6 +48,39 @@ SELECT doc_id,
 FROM words LEFT JOIN scored USING (doc_id)
 """
 
+OP4_WORDS = r"""
+WITH words AS (
+    SELECT doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS spoken
+    FROM documents
+),
+places AS (
+    SELECT doc_id, spoken[i] AS v, CASE WHEN i > 1 THEN spoken[i - 1] END AS u
+    FROM words, unnest(range(1, len(spoken) + 1)) AS t(i)
+),
+uni AS (SELECT v AS w, count(*) AS c FROM places GROUP BY v),
+bi AS (SELECT u, v, count(*) AS c FROM places WHERE u IS NOT NULL GROUP BY u, v HAVING count(*) >= 2),
+total AS (SELECT sum(c) AS n FROM uni),
+scored AS (
+    SELECT p.doc_id,
+           count(bi.c) AS n_seen,
+           sum(CASE WHEN p.u IS NULL THEN ln(uv.c / n)
+                    WHEN bi.c IS NULL THEN ln(0.4 * uv.c / n)
+                    ELSE ln(bi.c / uu.c) END) AS s
+    FROM places p
+    CROSS JOIN total
+    JOIN uni uv ON uv.w = p.v
+    LEFT JOIN uni uu ON uu.w = p.u
+    LEFT JOIN bi ON bi.u = p.u AND bi.v = p.v
+    GROUP BY p.doc_id
+)
+SELECT doc_id,
+       len(spoken)::BIGINT AS n_words,
+       coalesce(n_seen, 0)::BIGINT AS n_seen,
+       round(s / len(spoken), 6) AS lm_score
+FROM words LEFT JOIN scored USING (doc_id)
+"""
+
 OP6 = r"""
 WITH captures AS (
     SELECT page_id,
@@ -106,6 +139,7 @@ FROM captures LEFT JOIN matches USING (page_id)
 
 ORACLES: dict[str, str] = {
     "op4_lm_score": OP4,
+    "op4_lm_score_words": OP4_WORDS,
     "op5_exact_dedup": OP5,
     "op6_url_filter": OP6,
 }

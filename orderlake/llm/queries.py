@@ -39,6 +39,11 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.backoff_scores(documents(spark, sf_dir))
 
 
+def op4_lm_score_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``op4_lm_score``, but every word counts for itself."""
+    return lm_score.backoff_scores(documents(spark, sf_dir), word_key=lm_score.word_hash)
+
+
 def dated_lists(hosts: DataFrame) -> DataFrame:
     """List entries (list, key, dated, active) that follow from the hosts by fixed arithmetic.
 
@@ -133,6 +138,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_lm_score": op4_lm_score,
+    "op4_lm_score_words": op4_lm_score_words,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,

@@ -126,3 +126,39 @@ def test_captures_meet_the_entries_of_their_day(spark):
 def test_no_python_in_the_url_filter(spark):
     plan = QUERIES["op6_url_filter"](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def word_scores(texts, cutoff=2):
+    """As ``brute_scores``, on the words themselves."""
+    docs = [brute.WORD.findall(t or "") for t in texts]
+    uni = Counter(w for d in docs for w in d)
+    bi = Counter(p for d in docs for p in zip(d, d[1:]))
+    total = sum(uni.values())
+    out = []
+    for d in docs:
+        parts = [math.log(uni[d[0]] / total)] if d else []
+        for u, v in zip(d, d[1:]):
+            seen = bi[u, v] >= cutoff
+            parts.append(math.log(bi[u, v] / uni[u] if seen else 0.4 * uni[v] / total))
+        seen = sum(bi[p] >= cutoff for p in zip(d, d[1:]))
+        out.append((len(d), seen, round(math.fsum(parts) / len(d), 6) if d else None))
+    return out
+
+
+@pytest.mark.parametrize("hot, frequent", [(1 << 17, 1 << 17), (100, 3), (0, 0)])
+def test_words_of_one_class_count_apart(spark, hot, frequent, monkeypatch):
+    """Also when few words and bigrams are hot, or none."""
+    monkeypatch.setattr(lm_score, "MAX_WORDS", hot)
+    monkeypatch.setattr(lm_score, "MAX_FREQUENT", frequent)
+    classes = {}
+    for i in range(10_000):
+        classes.setdefault(word_class(f"n{i}"), []).append(f"n{i}")
+    alike = [words[:2] for words in classes.values() if len(words) > 1]
+    assert len(alike) > 20
+    texts = [t for _, t, _ in edge_rows()]
+    texts += [f"the {w}" for words in alike for w in words]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lm_score.backoff_scores(docs, word_key=lm_score.word_hash).collect()
+    want = [(i, *w) for i, w in enumerate(word_scores(texts))]
+    assert sorted(map(tuple, rows)) == want
+    assert brute_scores(texts) != word_scores(texts)
