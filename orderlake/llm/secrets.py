@@ -291,8 +291,24 @@ def fit(docs: DataFrame, text: str = "text", max_runs: int = 4000) -> Field | No
 # Scan
 
 
+def _uncovered(text: str, start: int, end: int, base: list[Span]) -> list[tuple[int, int]]:
+    """What base spans leave of a token: all of it, or the parts that are tokens themselves."""
+    meeting = [(s, e) for s, e, _ in base if s < end and start < e]
+    if not meeting:
+        return [(start, end)]
+    left, at = [], start
+    for s, e in [*meeting, (end, end)]:
+        if at < s:
+            left += [m.span() for m in TOKEN.finditer(text, at, s) if DIGIT.search(m[0])]
+        at = max(at, e)
+    return left
+
+
 def crf_spans(text: str, field: Field | None, base: list[Span]) -> list[Span]:
-    """Spans the field adds: a B token with the I tokens after it, unless it meets a base span."""
+    """Spans the field adds: a B token with the I tokens after it, less what base spans hold.
+
+    Tokens that meet a base span cut such a span; those before and after it stay.
+    """
     if field is None:
         return []
     runs = runs_of_tokens(text)
@@ -305,17 +321,18 @@ def crf_spans(text: str, field: Field | None, base: list[Span]) -> list[Span]:
         for start, end in run:
             shape, context = token_features(text, start, end)
             features.append(shape + context + shared)
-        open_span: list[int] | None = None
+        joins = False
         for (start, end), state in zip(run, field.viterbi(features)):
-            if state == I and open_span:
-                open_span[1] = end
+            if state == O:
+                joins = False
                 continue
-            if open_span:
-                added.append((*open_span, "crf"))
-            open_span = [start, end] if state != O else None
-        if open_span:
-            added.append((*open_span, "crf"))
-    return [a for a in added if not any(s < a[1] and a[0] < e for s, e, _ in base)]
+            left = _uncovered(text, start, end, base)
+            if joins and state == I and left == [(start, end)]:
+                added[-1] = (added[-1][0], end, "crf")
+            else:
+                added += [(s, e, "crf") for s, e in left]
+            joins = left == [(start, end)]
+    return added
 
 
 SPAN = "struct<start:int,end:int,kind:string,value:string>"
