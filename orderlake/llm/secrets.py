@@ -4,13 +4,17 @@ Three patterns find the base spans. A conditional random field then tags tokens
 inside or outside (B, I, O) and adds what the patterns miss: long random-looking strings without a
 known key in front, or continued over a line break.
 
-A token is a run of 10 or more characters of the secret alphabet that holds a digit. Every other
-stretch of text is outside by definition, so the chain falls apart into short runs of neighbouring
-tokens, and decoding each run by Viterbi equals decoding the whole text. Features are the token's
-shape, the word and the separator before it, what follows, and counts over the whole file.
+A token is a run of the secret alphabet. Tokens enter the chain if a key word stands before them,
+whatever they look like, or if they are more than a plain word or number: mixed case, letters with
+digits, punctuation inside, or 10 digits and more. Plain words without a key word before them are
+outside by definition, so the chain falls apart into short runs of neighbouring tokens, and
+decoding each run by Viterbi equals decoding the whole text. Features are the token's shape
+(digits and length among it), the word and the separator before it, what follows, and counts over
+the whole file.
 
 The field is trained by penalised likelihood (forward-backward) on tokens labelled by the base
 spans. So that shape alone must also do, half of the training runs lose their context features.
+Those spans hold no secret of under 12 characters, so the field rarely takes shorter tokens.
 """
 
 from __future__ import annotations
@@ -38,13 +42,22 @@ ASSIGN = re.compile(
 # Greedy runs: asking for the least length in the pattern equals dropping short matches.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_.=-]{8,})[A-Za-z0-9+/_=-]")
-DIGIT = re.compile(r"[0-9]")
-KEY_WORD = re.compile(
+_START = r"(?<![A-Za-z0-9+/_=-])"
+_RUN = r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=-])?"
+# More than a plain word, a short number or a rule of punctuation.
+TOKEN = re.compile(
+    _START
+    + r"(?!(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,9}|[+/_.=-]+)\.*(?![A-Za-z0-9+/_.=-]))"
+    + _RUN
+)
+_KEY = (
     r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|key|bearer|auth\w*|credentials?|private|signature)"
-    r"[\"']?[\x20\t]*[:=]?[\x20\t]*[\"']?$",
-    re.IGNORECASE | re.ASCII,
+    r"[\"']?[\x20\t]*[:=]?[\x20\t]*[\"']?"
 )
+KEYED = re.compile(f"{_KEY}{_START}(?=({_RUN}))", re.IGNORECASE | re.ASCII)
+KEY_WORD = re.compile(f"{_KEY}$", re.IGNORECASE | re.ASCII)
+INSIDE_KEY = re.compile(f"{_KEY}[=]", re.IGNORECASE | re.ASCII)
+PUNCTUATION = re.compile(r"[+/_.=-]")
 
 O, B, I = 0, 1, 2
 N_FEATURES = 64
@@ -76,10 +89,9 @@ def runs_of_tokens(text: str) -> list[list[tuple[int, int]]]:
     """Tokens grouped into runs that only a short gap separates."""
     runs: list[list[tuple[int, int]]] = []
     last_end = -1
-    for m in TOKEN.finditer(text):
-        start, end = m.span()
-        if not DIGIT.search(text, start, end):
-            continue
+    found = {m.span() for m in TOKEN.finditer(text)}
+    found |= {m.span(1) for m in KEYED.finditer(text)}
+    for start, end in sorted(found):
         if runs and start - last_end <= 4 and _GAP.fullmatch(text, last_end, start):
             runs[-1].append((start, end))
         else:
@@ -118,7 +130,12 @@ def token_features(text: str, start: int, end: int) -> tuple[list[int], list[int
         25 if digits == len(token) else 26,
         27 if "." in token else 28,
         29 if token.count("/") > 1 else 30,
+        56 if digits else 57,
+        58 if end - start < 6 else 59 if end - start < 10 else 60,
+        61 if INSIDE_KEY.match(token) else 62,
     ]
+    if PUNCTUATION.search(token):
+        shape.append(63)
     before = text[max(0, start - 24) : start]
     after = text[end : end + 1]
     context = [31 if KEY_WORD.search(before) else 32]
@@ -269,8 +286,6 @@ def fit(docs: DataFrame, text: str = "text", max_runs: int = 4000) -> Field | No
     Runs are chosen by a hash of their features, so the same documents give the same field.
     """
     texts = narrowed(docs, text=text).filter("text is not null")
-    # only texts with a long enough run of the alphabet and a digit can hold a token
-    texts = texts.filter(F.col("text").rlike("[A-Za-z0-9+/_.=-]{10}"))
     runs = texts.mapInArrow(_training_rows, RUNS_SCHEMA).groupBy("place").agg(
         *(F.first(c).alias(c) for c in ("shapes", "contexts", "states"))
     )
@@ -299,7 +314,8 @@ def _uncovered(text: str, start: int, end: int, base: list[Span]) -> list[tuple[
     left, at = [], start
     for s, e in [*meeting, (end, end)]:
         if at < s:
-            left += [m.span() for m in TOKEN.finditer(text, at, s) if DIGIT.search(m[0])]
+            # a stretch on its own, so that what stands before it does not matter
+            left += [(at + m.start(), at + m.end()) for m in TOKEN.finditer(text[at:s])]
         at = max(at, e)
     return left
 
