@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from orderlake.llm import (
     bpe,
+    decontaminate,
     exact_dedup,
     fingerprint,
     lm_score,
+    merkle,
     mixing,
     ngram_jaccard,
     quality,
     secrets,
+    spelling,
     toxicity,
     url_filter,
 )
@@ -133,6 +136,21 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(documents(spark, sf_dir))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.digests(
+        decontaminate.contamination(documents(spark, sf_dir), benchmark)
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(documents(spark, sf_dir))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_rows(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_secret_scan": op2_secret_scan,
@@ -145,4 +163,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_decontamination": op11_decontamination,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
