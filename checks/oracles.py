@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 PLACES = """
 places AS (
   SELECT n_nationkey, n_name AS city, r_name AS province
@@ -245,6 +247,43 @@ SELLERS = f"""WITH {PLACES}
 SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, city, province
 FROM supplier LEFT JOIN places ON s_nationkey = n_nationkey"""
 
+# The star tables after the second batch of the refresh: in the last month orders with a number
+# divisible by three are gone and prices have doubled.
+_CHANGED = """
+last_month AS (SELECT strftime(max(o_orderdate), '%Y-%m') AS month FROM orders),
+new_orders AS (
+  SELECT orders.* FROM orders, last_month
+  WHERE strftime(o_orderdate, '%Y-%m') <> month OR o_orderkey % 3 <> 0
+),
+new_lines AS (
+  SELECT l_orderkey, l_partkey, l_quantity,
+         CASE WHEN strftime(o_orderdate, '%Y-%m') = month THEN 2 * l_extendedprice
+              ELSE l_extendedprice END AS l_extendedprice
+  FROM lineitem JOIN new_orders ON l_orderkey = o_orderkey, last_month
+)"""
+
+
+def _after_refresh(sql: str) -> str:
+    """The SQL of a full run over the changed tables."""
+    changed = re.sub(r"\borders\b", "new_orders", re.sub(r"\blineitem\b", "new_lines", sql))
+    return changed.replace("WITH ", f"WITH {_CHANGED},", 1)
+
+
+_RAW_ITEMS = """
+raw_items AS (
+  SELECT CASE WHEN l_orderkey % 17 <> 0 THEN l_orderkey END AS order_id, l_partkey AS product_id,
+         CASE WHEN l_orderkey % 13 <> 0 THEN l_extendedprice END AS price,
+         CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS item_total,
+         concat_ws(', ', CASE WHEN l_orderkey % 17 = 0 THEN 'null key' END,
+                   CASE WHEN l_orderkey % 13 = 0 THEN 'malformed price' END) AS problems
+  FROM lineitem
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY order_id, product_id
+                               ORDER BY price NULLS LAST, quantity, item_total) AS place
+  FROM raw_items
+)"""
+
 ORACLES = {
     "clean_customers": f"""WITH {CUSTOMERS}
 SELECT CAST(customer_id AS VARCHAR) AS customer_id, '00000' AS postal_code, city, province
@@ -466,4 +505,165 @@ counts AS (
 )
 SELECT table_name, n_rows, n_keys, '' AS missing_columns, n_rows = n_keys AS ready, layer
 FROM counts""",
+    "region_metrics": " UNION ALL ".join(
+        f"SELECT 'province' AS level, province, {city} AS city, n_customers, total_spend, avg_spend "
+        f"FROM ({_region('province')})"
+        if level == "province"
+        else "SELECT 'city', province, city, n_customers, total_spend, avg_spend "
+        f"FROM ({_region('province', 'city')})"
+        for level, city in (("province", "CAST(NULL AS VARCHAR)"), ("city", "city"))
+    ),
+    "refreshed_customer_metrics": _after_refresh(
+        f"""WITH {CUSTOMERS}, {_tiers("CAST(customer_id AS VARCHAR)")}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, n_transactions, total_spend, avg_spend,
+       n_distinct_products, n_orders, spend_value, last_purchase, '00000' AS postal_code, city,
+       province, segment AS tier_no, tier
+FROM tiers LEFT JOIN customers USING (customer_id)"""
+    ),
+    "refreshed_product_metrics": _after_refresh(
+        f"SELECT * EXCLUDE (brand) FROM ({_product_metrics(as_text=True)})"
+    ),
+    "refreshed_city_metrics": _after_refresh(_region("province", "city")),
+    "refreshed_transactions": _after_refresh(f"""WITH {ITEMS}
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+       o_orderdate AS purchased_at,
+       CAST(sum(CAST(item_total AS DECIMAL(18,2))) AS DOUBLE) AS order_total,
+       count(product_id) AS n_items,
+       CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avg_item_price,
+       strftime(o_orderdate, '%Y-%m-%d') AS purchase_day,
+       CAST(month(o_orderdate) AS INTEGER) AS month, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS day_of_week,
+       strftime(o_orderdate, '%Y-%m') AS period
+FROM orders JOIN items ON o_orderkey = order_id
+GROUP BY order_id, o_custkey, o_orderdate"""),
+    "lake_two_months": f"""WITH {ITEMS}
+SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderstatus AS order_status,
+       count(*) AS n_items, count(DISTINCT order_id) AS n_orders,
+       CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS price
+FROM items JOIN orders ON o_orderkey = order_id
+WHERE strftime(o_orderdate, '%Y-%m') IN ('1995-01', '1995-02')
+GROUP BY ALL""",
+    "lake_quarter_items": f"""WITH {ITEMS},
+first_days AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS period, CAST(min(o_orderdate) AS DATE) AS first_day
+  FROM orders GROUP BY ALL
+)
+SELECT '1996-Q3' AS quarter, period, first_day, count(*) AS n_items,
+       CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS price
+FROM items JOIN orders ON o_orderkey = order_id
+JOIN first_days ON period = strftime(o_orderdate, '%Y-%m')
+WHERE period IN ('1996-07', '1996-08', '1996-09')
+GROUP BY ALL""",
+    "bucketed_customer_totals": f"""WITH {TOTALS}
+SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id) FROM customer_totals""",
+    "bucketed_completed_orders": _completed(as_text=True),
+    "quarantined_items": f"""WITH {_RAW_ITEMS}
+SELECT 'order_items' AS table_name,
+       concat_ws(', ', CASE WHEN problems <> '' THEN problems END,
+                 CASE WHEN place > 1 THEN 'dropped copy' END) AS problems,
+       place > 1 AS dropped, count(*) AS n_rows
+FROM placed WHERE problems <> '' OR place > 1
+GROUP BY ALL""",
+    "quarantine_balance": f"""WITH {ITEMS},
+counts AS (
+  SELECT 'customers' AS table_name, count(*) AS n_raw, count(*) AS n_silver FROM customer
+  UNION ALL SELECT 'products', count(*), count(*) FROM part
+  UNION ALL SELECT 'transactions', count(*), count(*) FROM orders
+  UNION ALL SELECT 'order_items', (SELECT count(*) FROM lineitem), count(*) FROM items
+  UNION ALL SELECT 'reviews', (SELECT count(*) FROM events), count(*)
+            FROM (SELECT DISTINCT user_id, event_type FROM events)
+  UNION ALL SELECT 'sellers', count(*), count(*) FROM supplier
+)
+SELECT *, n_raw - n_silver AS n_dropped, true AS balanced FROM counts""",
+    "full_gates": f"""WITH {ITEMS},
+n AS (SELECT count(*) AS n, count(CASE WHEN order_id % 10 = 0 THEN 1 END) AS lost FROM items),
+c AS (SELECT count(*) AS n FROM customer)
+SELECT 'orphaned' AS place, 'order_items' AS table_name, 'orphans' AS state, n AS n_rows,
+       n AS n_keys, '' AS missing_columns, '' AS wrong_types, lost AS n_orphans, false AS ready
+FROM n
+UNION ALL SELECT 'good', 'order_items', 'ready', n, n, '', '', 0, true FROM n
+UNION ALL SELECT 'retyped', 'order_items', 'wrong types', n, n, '', 'price:string', 0, false FROM n
+UNION ALL SELECT 'cut', 'order_items', 'wrong columns', n, n, 'price,quantity', '', 0, false FROM n
+UNION ALL SELECT 'empty', 'order_items', 'empty', 0, 0, '', '', 0, false
+UNION ALL SELECT 'repeated', 'customers', 'repeated keys', 2 * n, n, '', '', 0, false FROM c
+UNION ALL SELECT 'absent', 'reviews', 'absent', NULL, NULL, NULL, NULL, NULL, false
+UNION ALL SELECT 'unreadable', 'reviews', 'unreadable', NULL, NULL, NULL, NULL, NULL, false""",
+    "spend_chart_by_tier": f"""WITH {GOLD},
+spent AS (
+  SELECT province, segment, CAST(sum(CAST(total_payment AS DECIMAL(18,2))) AS DOUBLE) AS s
+  FROM gold GROUP BY province, segment
+)
+SELECT province, """
+    + ", ".join(
+        f"coalesce(max(CASE WHEN segment = {s} THEN s END), 0.0)::DOUBLE AS segment_{s}"
+        for s in (1, 2, 3, 4, 9)
+    )
+    + """
+FROM spent GROUP BY province""",
+    "customer_recency": """
+SELECT c_custkey AS customer_id,
+       CAST(date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '1998-12-31') AS INTEGER)
+         AS recency_days
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""",
+    "recency_features": f"""WITH {TOTALS},
+rated AS (
+  SELECT customer_id, total_spend,
+         date_diff('day', CAST(last_purchase AS DATE), DATE '1998-12-31') AS recency_days
+  FROM customer_totals JOIN customer ON c_custkey = customer_id
+)
+SELECT customer_id, """
+    + ", ".join(
+        f"round(({f} - avg({f}) OVER ()) / stddev_samp({f}) OVER (), 6) + 0.0 AS {f}"
+        for f in ("total_spend", "recency_days")
+    )
+    + """
+FROM rated""",
+    "sweep_scores": """
+SELECT CAST(k AS INTEGER) AS k, true AS evaluator_agrees, true AS best_is_chosen
+FROM range(2, 9) AS t(k)""",
+    "run_segments": f"""WITH {TOTALS}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, n_transactions, total_spend, avg_spend,
+       n_distinct_products, true AS has_segment
+FROM customer_totals""",
+    "run_gold_segments": f"""WITH {GOLD}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, avg_price, n_orders, last_purchase, province,
+       total_payment
+FROM gold""",
+    "stored_model_segments": f"""WITH {TOTALS}
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, true AS same_segment FROM customer_totals""",
+    "report_by_province": f"""WITH {GOLD}
+SELECT province, round(CAST(sum(CAST(total_payment AS DECIMAL(18,2))) AS DOUBLE), 2)
+         AS total_purchases
+FROM gold GROUP BY province""",
+    "report_counts": f"""WITH {TOTALS}
+SELECT count(*) AS n_customers, true AS averages_complete, true AS tops_complete,
+       true AS top_is_short
+FROM customer_totals""",
+    "session_views": f"""WITH {CUSTOMERS}, {TOTALS},
+known AS (SELECT * FROM customer_totals JOIN customers USING (customer_id))
+SELECT 'transaction_metrics_view' AS view, count(DISTINCT order_id) AS n_rows
+FROM items JOIN orders ON order_id = o_orderkey
+UNION ALL SELECT 'customer_metrics_view', count(*) FROM customer_totals
+UNION ALL SELECT 'product_metrics_view', count(DISTINCT product_id) FROM items
+UNION ALL SELECT 'province_metrics_view', count(DISTINCT province) FROM known
+UNION ALL SELECT 'city_metrics_view', count(*) FROM (SELECT DISTINCT province, city FROM known)
+UNION ALL SELECT 'customer_segments_view', count(*) FROM customer_totals""",
+    "features_without_nulls": f"""WITH {TOTALS}
+SELECT customer_id, n_transactions, total_spend, avg_spend, n_distinct_products
+FROM customer_totals WHERE customer_id % 5 <> 0 AND customer_id % 7 <> 0""",
+    "refused_inputs": """
+WITH known(table_name, last_column) AS (
+  VALUES ('customers', 'province'), ('products', 'category'),
+         ('transactions', 'estimated_arrival'), ('order_items', 'item_total'),
+         ('reviews', 'review_date'), ('sellers', 'province')
+)
+SELECT table_name, 'whole' AS given, 'ready' AS said FROM known
+UNION ALL SELECT table_name, 'emptied', table_name || ' is empty' FROM known
+UNION ALL SELECT table_name, 'cut', table_name || ' lacks columns [' || chr(39) || last_column || chr(39) || ']'
+          FROM known""",
+    "fallback_profile": f"""WITH {_tiers()}
+SELECT segment, count(DISTINCT customer_id) AS n_customers,
+       round(avg(n_transactions), 4) AS avg_n_transactions,
+       round(avg(total_spend), 4) AS avg_total_spend
+FROM tiers GROUP BY segment""",
 }

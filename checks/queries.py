@@ -16,13 +16,23 @@ from pyspark.sql import functions as F
 
 from orderlake import schemas
 from orderlake.functions import money
-from orderlake.operators import analysis, clean, completed, gates, metrics, segments
+from orderlake.operators import (
+    analysis,
+    clean,
+    completed,
+    gates,
+    metrics,
+    quarantine,
+    segments,
+)
+from orderlake.plans import refresh, storage
 from orderlake.plans.etl import bronze_to_silver, publish, read_silver, silver_to_gold
-from orderlake.plans.segmentation import publish_segment_view
+from orderlake.plans.report import segment_report
+from orderlake.plans.segmentation import publish_segment_view, run_segmentation
 from orderlake.session import checkpointed, scratch_path
 from orderlake.sources import catalog, starschema as star
 from orderlake.sources.bronze import read_bronze
-from orderlake.sources.lake import Lake, write_table
+from orderlake.sources.lake import Lake, publish_files, write_table
 
 
 def _zoneless(df: DataFrame) -> DataFrame:
@@ -535,6 +545,388 @@ def layer_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
+# Refresh by period, storage by order, quarantine
+
+
+_REFRESHED: dict[tuple[str, str], tuple[str, Lake]] = {}
+
+
+def _as_silver(df: DataFrame, table: schemas.Table) -> DataFrame:
+    """With the contract's columns and types; those that the star tables lack are null."""
+    missing = [f.name for f in table.fields if f.name not in df.columns]
+    return schemas.conform(df.withColumns({c: F.lit(None) for c in missing}), table)
+
+
+def _orders_and_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return (
+        _as_silver(star.transactions(spark, sf_dir), schemas.TRANSACTIONS),
+        _as_silver(star.order_items(spark, sf_dir), schemas.ORDER_ITEMS),
+    )
+
+
+def _dimensions(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
+    for name in ("customers", "products"):
+        raw = star.raw_text(spark, sf_dir, schemas.BRONZE[name])
+        publish_files(
+            spark, clean.CLEANERS[name](raw), lake.folder("silver", name), schemas.BRONZE[name]
+        )
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake loaded by month, and then refreshed with another last month.
+
+    In the second batch the orders of that month with a number divisible by three are gone and
+    prices have doubled.
+    """
+    key, state = (spark.sparkContext.applicationId, sf_dir), _state(spark, sf_dir)
+    known, lake = _REFRESHED.get(key, ("", None))
+    if known != state:
+        root = scratch_path(spark, "refreshed")
+        lake = Lake(root, f"refreshed_{uuid.uuid4().hex}", f"{root}/catalog")
+        _dimensions(spark, sf_dir, lake)
+        orders, items = _orders_and_items(spark, sf_dir)
+        refresh.refresh(spark, lake, orders, items, grain="month")
+        last = orders.agg(F.date_format(F.max("purchased_at"), "yyyy-MM")).first()[0]
+        month = orders.filter(F.date_format("purchased_at", "yyyy-MM") == last)
+        fewer = month.filter("order_id % 3 <> 0")
+        doubled = items.join(fewer.select("order_id"), "order_id", "left_semi").withColumns(
+            {c: F.col(c) * 2 for c in ("price", "item_total")}
+        )
+        refresh.refresh(spark, lake, fewer, doubled, grain="month")
+        _REFRESHED[key] = (state, lake)
+    return lake
+
+
+def _refreshed_table(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = _refreshed(spark, sf_dir)
+        return _zoneless(catalog.read_table(spark, f"{lake.database}.{name}"))
+
+    return query
+
+
+def lake_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and items of two stored months; no other folder is read."""
+    orders, items = refresh.read_periods(spark, _refreshed(spark, sf_dir), ["1995-01", "1995-02"])
+    return (
+        orders.join(items.drop("period"), "order_id")
+        .groupBy("period", "order_status")
+        .agg(
+            F.count(F.lit(1)).alias("n_items"),
+            F.count_distinct("order_id").alias("n_orders"),
+            money.to_double(money.exact_sum("price")).alias("price"),
+        )
+    )
+
+
+def lake_quarter_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of a quarter, picked in the calendar, whose months Spark finds out while it runs."""
+    lake = _refreshed(spark, sf_dir)
+    items = spark.table(f"{lake.database}.{schemas.PERIOD_ITEMS.name}")
+    months = spark.table(f"{lake.database}.{schemas.CALENDAR.name}").filter("quarter = '1996-Q3'")
+    return (
+        items.join(months, "period")
+        .groupBy("quarter", "period", "first_day")
+        .agg(
+            F.count(F.lit(1)).alias("n_items"),
+            money.to_double(money.exact_sum("price")).alias("price"),
+        )
+    )
+
+
+def _by_order(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and items in buckets by order."""
+    root = scratch_path(spark, "by_order")
+    lake = Lake(root, f"by_order_{uuid.uuid4().hex}", f"{root}/catalog")
+    return storage.store_by_order(spark, lake, *_orders_and_items(spark, sf_dir), buckets=8)
+
+
+def bucketed_customer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, items = _by_order(spark, sf_dir)
+    return _zoneless(metrics.customer_totals(orders, items, metrics.order_totals(items)))
+
+
+def bucketed_completed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, items = _by_order(spark, sf_dir)
+    customers = _as_silver(star.customers(spark, sf_dir), schemas.CUSTOMERS)
+    products = _as_silver(star.products(spark, sf_dir), schemas.PRODUCTS)
+    return _zoneless(
+        completed.completed_orders(orders, items, customers, products, star.COMPLETED)
+    )
+
+
+def _dirty_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw items with copies as the table has them, some prices misspelt and some orders missing."""
+    raw = star.raw_text(spark, sf_dir, schemas.ORDER_ITEMS)
+    number = F.col("order_id").cast("bigint")
+    return raw.withColumns(
+        {
+            "price": F.when(number % 13 == 0, F.concat("price", F.lit(" rupiah"))).otherwise(
+                F.col("price")
+            ),
+            "order_id": F.when(number % 17 == 0, F.lit(None)).otherwise(F.col("order_id")),
+        }
+    )
+
+
+def quarantined_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many raw items were rejected, by what was wrong with them."""
+    raw = _dirty_items(spark, sf_dir)
+    _, rejected = quarantine.cleaned_and_rejected(
+        raw, schemas.ORDER_ITEMS, clean.clean_order_items
+    )
+    return rejected.groupBy("table_name", "problems", "dropped").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+def quarantine_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows, silver rows and dropped rows of every table of a lake with a quarantine."""
+    root = scratch_path(spark, "quarantine")
+    lake = Lake(root, f"quarantine_{uuid.uuid4().hex}", f"{root}/catalog")
+    star.write_raw_csv(spark, sf_dir, f"{root}/bronze")
+    counts = bronze_to_silver(spark, lake, quarantine=True)
+    raw = counts.filter("problem = 'broken record'").select(
+        "table_name", F.col("n_checked").alias("n_raw")
+    )
+    silver = reduce(
+        DataFrame.unionByName,
+        (
+            lake.read(spark, "silver", t).agg(F.count(F.lit(1)).alias("n_silver")).select(
+                F.lit(t.name).alias("table_name"), "n_silver"
+            )
+            for t in schemas.BRONZE.values()
+        ),
+    )
+    dropped = lake.read(spark, "silver", schemas.QUARANTINE).filter("dropped").groupBy(
+        "table_name"
+    ).agg(F.count(F.lit(1)).alias("n_dropped"))
+    return raw.join(silver, "table_name").join(dropped, "table_name", "left").select(
+        "table_name",
+        "n_raw",
+        "n_silver",
+        F.coalesce("n_dropped", F.lit(0)).cast("bigint").alias("n_dropped"),
+        (F.col("n_raw") == F.col("n_silver") + F.coalesce("n_dropped", F.lit(0))).alias("balanced"),
+    )
+
+
+def full_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored tables as a run may find them: good, retyped, cut, empty, repeated, absent, orphaned."""
+    root = scratch_path(spark, "gates")
+    orders = star.raw_text(spark, sf_dir, schemas.TRANSACTIONS)
+    items = clean.clean_order_items(star.raw_text(spark, sf_dir, schemas.ORDER_ITEMS))
+    customers = clean.clean_customers(star.raw_text(spark, sf_dir, schemas.CUSTOMERS))
+    some_orders = orders.filter("cast(order_id as bigint) % 10 <> 0")
+    products = clean.clean_products(star.raw_text(spark, sf_dir, schemas.PRODUCTS))
+    frames = {
+        "orphaned": (items, schemas.ORDER_ITEMS),
+        "good": (items, schemas.ORDER_ITEMS),
+        "retyped": (items.withColumn("price", F.col("price").cast("string")), schemas.ORDER_ITEMS),
+        "cut": (items.drop("price", "quantity"), schemas.ORDER_ITEMS),
+        "empty": (items.limit(0), schemas.ORDER_ITEMS),
+        "repeated": (customers.unionByName(customers), schemas.CUSTOMERS),
+    }
+    known = {"transactions": orders, "products": products}
+    rows = []
+    for name, (df, table) in frames.items():
+        write_table(df, f"{root}/{name}")
+        tables = known | ({"transactions": some_orders} if name == "orphaned" else {})
+        parents = gates.known_parents(table, tables, schemas.BRONZE)
+        rows.append(
+            gates.gate(spark, f"{root}/{name}", table, parents).withColumn("place", F.lit(name))
+        )
+    absent = gates.gate(spark, f"{root}/absent", schemas.REVIEWS)
+    items.limit(1).select("order_id").write.text(f"{root}/unreadable")
+    unreadable = gates.gate(spark, f"{root}/unreadable", schemas.REVIEWS)
+    rows += [absent.withColumn("place", F.lit("absent"))]
+    rows += [unreadable.withColumn("place", F.lit("unreadable"))]
+    return reduce(DataFrame.unionByName, rows)
+
+
+# Charts, recency, all k at once
+
+
+def spend_chart_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analysis.spend_chart(_gold_by_tier(spark, sf_dir), [1, 2, 3, 4, 9])
+
+
+def customer_recency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = star.customers(spark, sf_dir).select("customer_id")
+    latest = metrics.latest_purchase(star.transactions(spark, sf_dir))
+    return metrics.with_recency(customers, latest, F.lit("1998-12-31").cast("date"))
+
+
+def recency_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with recency as a feature beside spend, scaled; those without a purchase fall out."""
+    totals = _customer_totals(spark, sf_dir).select("customer_id", "total_spend")
+    customers = star.customers(spark, sf_dir).select("customer_id").join(
+        totals, "customer_id", "left"
+    )
+    latest = metrics.latest_purchase(star.transactions(spark, sf_dir))
+    rated = checkpointed(
+        metrics.with_recency(customers, latest, F.lit("1998-12-31").cast("date"))
+    )
+    features = ("total_spend", "recency_days")
+    prepared, _ = segments.prepare_features(rated, features)
+    scaled = vector_to_array("scaled_features")
+    return prepared.select(
+        "customer_id", *((F.round(scaled[i], 6) + 0.0).alias(f) for i, f in enumerate(features))
+    )
+
+
+def sweep_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each k of the sweep: whether Spark's evaluator agrees, and that one best k is chosen."""
+    prepared, _ = _prepared(spark, sf_dir)
+    trials = segments.sweep_k(prepared, max_k=8)
+    scores = {t.k: segments.silhouette(t.model.transform(prepared)) for t in trials}
+    prepared.unpersist()
+    best = segments.choose_k(trials)
+    rows = [
+        (t.k, abs(t.score - scores[t.k]) < 1e-9, (t.k == best) == (scores[t.k] == max(scores.values())))
+        for t in trials
+    ]
+    return spark.createDataFrame(rows, "k int, evaluator_agrees boolean, best_is_chosen boolean")
+
+
+# The segmentation run and what it stores
+
+
+_SEGMENTED: dict[tuple[str, str], tuple[str, Lake]] = {}
+
+
+def _segmented(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake of its own on which the segmentation has run."""
+    key, state = (spark.sparkContext.applicationId, sf_dir), _state(spark, sf_dir)
+    known, lake = _SEGMENTED.get(key, ("", None))
+    if known != state:
+        base = _lake(spark, sf_dir)
+        root = scratch_path(spark, "segmented")
+        lake = Lake(root, f"segmented_{uuid.uuid4().hex}", f"{root}/catalog")
+        needed = [("silver", t) for t in (*schemas.BRONZE.values(), schemas.ORDER_TOTALS)]
+        for layer, table in [*needed, ("gold", schemas.CUSTOMER_METRICS)]:
+            publish_files(
+                spark, base.read(spark, layer, table), lake.folder(layer, table.name), table
+            )
+        run_segmentation(spark, lake, completed_status=star.COMPLETED)
+        _SEGMENTED[key] = (state, lake)
+    return lake
+
+
+def run_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored segment table: every customer with the features, in one of the segments."""
+    lake = _segmented(spark, sf_dir)
+    stored = spark.table(f"{lake.database}.{schemas.CUSTOMER_SEGMENTS.name}")
+    n_segments = len(segments.SegmentModel.load(lake.models).clusters.clusterCenters())
+    return stored.select(
+        "customer_id",
+        *segments.FEATURES,
+        F.col("segment").between(0, n_segments - 1).alias("has_segment"),
+    )
+
+
+def run_gold_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored gold segment table without the segment numbers."""
+    lake = _segmented(spark, sf_dir)
+    table = spark.table(f"{lake.database}.{schemas.GOLD_SEGMENTS.name}")
+    return _zoneless(table.drop("segment"))
+
+
+def stored_model_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the stored models put every stored customer into the stored segment again."""
+    lake = _segmented(spark, sf_dir)
+    model = segments.SegmentModel.load(lake.models)
+    again = model.assign(lake.read(spark, "gold", schemas.CUSTOMER_METRICS))
+    known = lake.read(spark, "gold", schemas.CUSTOMER_SEGMENTS).select(
+        "customer_id", F.col("segment").alias("known")
+    )
+    return again.join(known, "customer_id", "full").select(
+        "customer_id", F.col("segment").eqNullSafe(F.col("known")).alias("same_segment")
+    )
+
+
+def report_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's spend by province, added up over the segments."""
+    report = segment_report(spark, _segmented(spark, sf_dir))
+    return report["spend_by_province"].groupBy("province").agg(
+        F.round(F.sum("total_purchases"), 2).alias("total_purchases")
+    )
+
+
+def report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's customers per segment, added up, and how many top customers it lists."""
+    report = segment_report(spark, _segmented(spark, sf_dir))
+    n_segments = report["segment_counts"].count()
+    top = report["top_customers_per_segment"]
+    return report["segment_counts"].agg(F.sum("n_customers").alias("n_customers")).select(
+        "n_customers",
+        F.lit(report["segment_averages"].count() == n_segments).alias("averages_complete"),
+        F.lit(top.filter("place = 1").count() == n_segments).alias("tops_complete"),
+        F.lit(report["top_customers"].count() <= 5).alias("top_is_short"),
+    )
+
+
+def session_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session views of the gold tables, by their rows."""
+    lake = _lake(spark, sf_dir)
+    tables = {
+        t.name: lake.read(spark, "gold", t)
+        for t in (
+            schemas.TRANSACTION_METRICS, schemas.CUSTOMER_METRICS, schemas.PRODUCT_METRICS,
+            schemas.PROVINCE_METRICS, schemas.CITY_METRICS,
+        )
+    }
+    tables["customer_segments"] = _segmented(spark, sf_dir).read(
+        spark, "gold", schemas.CUSTOMER_SEGMENTS
+    )
+    views = catalog.register_views(tables)
+    return reduce(
+        DataFrame.unionByName,
+        (
+            spark.table(v).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("view", F.lit(v))
+            for v in views
+        ),
+    )
+
+
+def features_without_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with a missing feature are left out before scaling."""
+    totals = _customer_totals(spark, sf_dir)
+    holes = totals.withColumns(
+        {
+            "avg_spend": F.when(F.col("customer_id") % 5 != 0, F.col("avg_spend")),
+            "total_spend": F.when(
+                F.col("customer_id") % 7 == 0, F.lit(float("nan"))
+            ).otherwise(F.col("total_spend")),
+        }
+    )
+    prepared, _ = segments.prepare_features(checkpointed(holes))
+    return prepared.select("customer_id", *segments.FEATURES)
+
+
+def refused_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards say to each silver table as it is, emptied, and without a column."""
+    lake = _lake(spark, sf_dir)
+    rows = []
+    for table in schemas.BRONZE.values():
+        df = lake.read(spark, "silver", table)
+        last = [f.name for f in table.fields if not f.optional][-1]
+        for case, given in (("whole", df), ("emptied", df.limit(0)), ("cut", df.drop(last))):
+            try:
+                gates.require_ready(given, table)
+                schemas.require_columns(given, [last], table.name)
+                said = "ready"
+            except gates.NotReady as error:
+                said = str(error)
+            rows.append((table.name, case, said))
+    return spark.createDataFrame(rows, "table_name string, given string, said string")
+
+
+def fallback_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of a segment table that lacks two of the four measures."""
+    tiers = _tiers(spark, sf_dir).drop("avg_spend", "n_distinct_products")
+    return _rounded(analysis.segment_profile(tiers), 4)
+
+
 QUERIES = {
     "clean_customers": _cleaned("customers"),
     "clean_products": _cleaned("products"),
@@ -590,4 +982,29 @@ QUERIES = {
     "lake_segment_table": lake_segment_table,
     "catalog_overview": catalog_overview,
     "layer_gates": layer_gates,
+    "region_metrics": _region(metrics.region_metrics),
+    "refreshed_customer_metrics": _refreshed_table("customer_metrics"),
+    "refreshed_product_metrics": _refreshed_table("product_metrics"),
+    "refreshed_city_metrics": _refreshed_table("city_metrics"),
+    "refreshed_transactions": _refreshed_table("period_transactions"),
+    "lake_two_months": lake_two_months,
+    "lake_quarter_items": lake_quarter_items,
+    "bucketed_customer_totals": bucketed_customer_totals,
+    "bucketed_completed_orders": bucketed_completed_orders,
+    "quarantined_items": quarantined_items,
+    "quarantine_balance": quarantine_balance,
+    "full_gates": full_gates,
+    "spend_chart_by_tier": spend_chart_by_tier,
+    "customer_recency": customer_recency,
+    "recency_features": recency_features,
+    "sweep_scores": sweep_scores,
+    "run_segments": run_segments,
+    "run_gold_segments": run_gold_segments,
+    "stored_model_segments": stored_model_segments,
+    "report_by_province": report_by_province,
+    "report_counts": report_counts,
+    "session_views": session_views,
+    "features_without_nulls": features_without_nulls,
+    "refused_inputs": refused_inputs,
+    "fallback_profile": fallback_profile,
 }

@@ -28,6 +28,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     parser.add_argument("--max-k", type=int, default=8)
     parser.add_argument("--shuffled-bytes", type=int, help="size of the largest shuffle")
     parser.add_argument("--multi-line", action="store_true", help="line breaks within CSV quotes")
+    parser.add_argument("--quarantine", action="store_true", help="silver: keep rejected rows")
+    parser.add_argument("--by-order", action="store_true", help="gold: store by order first")
     parser.add_argument("--hive", action="store_true", help="use the Hive catalog")
     options = parser.parse_args(arguments)
 
@@ -40,9 +42,9 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             size_shuffles(spark, f"{options.root}/{layer}")
     lake = Lake(options.root, options.database, options.database_location)
     if options.step == "silver":
-        bronze_to_silver(spark, lake, options.multi_line).show(1000, truncate=False)
+        bronze_to_silver(spark, lake, options.multi_line, options.quarantine).show(1000, truncate=False)
     elif options.step == "gold":
-        silver_to_gold(spark, lake, options.completed_status)
+        silver_to_gold(spark, lake, options.completed_status, options.by_order)
     elif options.step == "segments":
         run_segmentation(spark, lake, options.max_k, options.completed_status)
     else:

@@ -7,7 +7,7 @@ starts from orders. Only the distinct products of a customer need items joined o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.money import exact_sum, mean, mean_cents, sum_of, to_double
@@ -97,9 +97,13 @@ def customer_totals(
             F.count("n_rows").alias("n_orders"),
             F.max("purchased_at").alias("last_purchase"),
         )
-        .filter("n_orders > 0")
     )
-    return by_customer.select(
+    return customer_measures(by_customer)
+
+
+def customer_measures(by_customer: DataFrame) -> DataFrame:
+    """Totals of customers with at least one order that has items, as the measures users see."""
+    return by_customer.filter("n_orders > 0").select(
         "customer_id",
         "n_transactions",
         to_double(F.col("spend")).alias("total_spend"),
@@ -157,8 +161,13 @@ def product_totals(order_items: DataFrame) -> DataFrame:
 
 def product_metrics(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Product totals with list price, category and rank by units within the category."""
+    return with_product_details(product_totals(order_items), products)
+
+
+def with_product_details(by_product: DataFrame, products: DataFrame) -> DataFrame:
+    """Add list price, category, further product columns and the rank by units in the category."""
     details = _details(products, PRODUCTS, PRODUCT_METRICS, "product_")
-    sold = product_totals(order_items).join(details, "product_id", "left")
+    sold = by_product.join(details, "product_id", "left")
     ranked = with_rank(
         sold,
         [F.desc("units_sold"), F.asc("product_id")],
@@ -182,6 +191,38 @@ def province_metrics(customer_metrics: DataFrame, customers: DataFrame) -> DataF
     return _by_region(customer_metrics, customers, "province")
 
 
+def region_metrics(customer_metrics: DataFrame, customers: DataFrame) -> DataFrame:
+    """Both of the tables above from one aggregation: a row per ``level``, province and city.
+
+    ``level`` is ``province`` (with a null city) or ``city``. Grouping sets send a customer's
+    amounts to both levels within a task, and partial sums per region are all that is shuffled.
+    """
+    known = customer_metrics.join(customers.select("customer_id"), "customer_id", "left_semi")
+    place = [F.col("province"), F.col("city")]
+    return (
+        known.select("customer_id", "province", "city", "total_spend", "spend_value")
+        .groupingSets([place[:1], place], *place)
+        .agg(
+            F.when(F.grouping("city") == 1, "province").otherwise("city").alias("level"),
+            F.count("customer_id").alias("n_customers"),
+            to_double(exact_sum("total_spend")).alias("total_spend"),
+            mean_cents(exact_sum("spend_value"), F.count("spend_value")).alias("avg_spend"),
+        )
+    )
+
+
+def with_recency(customers: DataFrame, latest: DataFrame, as_of: Column) -> DataFrame:
+    """Customers with ``recency_days``: whole days from the last purchase to a given date.
+
+    ``latest`` is the result of ``latest_purchase``. Null for customers without a purchase; negative
+    if the purchase lies after the date.
+    """
+    bought = latest.filter("customer_id IS NOT NULL").select(
+        "customer_id", F.datediff(as_of, F.col("last_purchase")).alias("recency_days")
+    )
+    return customers.join(bought, "customer_id", "left")
+
+
 def city_metrics(customer_metrics: DataFrame, customers: DataFrame) -> DataFrame:
     """Customers and spend per province and city, over customers that have a dimension row."""
     return _by_region(customer_metrics, customers, "province", "city")

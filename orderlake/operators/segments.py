@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -13,6 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
@@ -88,11 +89,80 @@ def kmeans(
     )
 
 
-def silhouette(assigned: DataFrame, prediction: str = "cluster") -> float:
-    """Silhouette score on squared Euclidean distance."""
-    return ClusteringEvaluator(
-        predictionCol=prediction, featuresCol="scaled_features", metricName="silhouette"
-    ).evaluate(assigned)
+def silhouette(
+    assigned: DataFrame, prediction: str | Sequence[str] = "cluster"
+) -> float | list[float]:
+    """Silhouette score on squared Euclidean distance, of one column or of several at once.
+
+    Several columns, such as the clusters of several k, are scored in two jobs however many they are;
+    a column with rows of one cluster only has no score and gives NaN.
+    """
+    if isinstance(prediction, str):
+        return ClusteringEvaluator(
+            predictionCol=prediction, featuresCol="scaled_features", metricName="silhouette"
+        ).evaluate(assigned)
+    return _silhouettes(assigned, list(prediction))
+
+
+def _vector_size(assigned: DataFrame) -> int:
+    """How many features there are, which the column says itself; else the first row does."""
+    known = assigned.schema["scaled_features"].metadata.get("ml_attr", {}).get("num_attrs")
+    if known is None:
+        row = assigned.select("scaled_features").first()
+        known = 0 if row is None else len(row[0])
+    return known
+
+
+def _silhouettes(assigned: DataFrame, predictions: list[str]) -> list[float]:
+    """The mean squared distance of x to a cluster is |x|^2 + mean |y|^2 - 2 x . mean y.
+
+    So the first job sums rows, features and norms per column and cluster, a row for each of which
+    comes back, and the second one averages every column's score over all rows.
+    """
+    points = assigned.select(vector_to_array("scaled_features").alias("x"), *predictions)
+    n_features = _vector_size(assigned)
+    norm = sum((F.col("x")[i] * F.col("x")[i] for i in range(n_features)), F.lit(0.0))
+    pairs = F.explode(
+        F.array(
+            *(
+                F.struct(F.lit(i).alias("column"), F.col(p).alias("cluster"))
+                for i, p in enumerate(predictions)
+            )
+        )
+    )
+    sums = (
+        points.select("x", norm.alias("norm"), pairs.alias("own"))
+        .groupBy("own")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg("norm").alias("norm"),
+            *(F.avg(F.col("x")[i]).alias(f"x{i}") for i in range(n_features)),
+        )
+        .collect()
+    )
+    scores = []
+    for i, p in enumerate(predictions):
+        clusters = [r for r in sums if r.own.column == i]
+        own, others = F.lit(None).cast("double"), []
+        for c in clusters:
+            dot = sum((F.col("x")[f] * float(c[f"x{f}"]) for f in range(n_features)), F.lit(0.0))
+            gap = norm + float(c.norm) - 2 * dot
+            inside = F.col(p) == c.own.cluster
+            # a cluster of one row scores zero
+            scale = c.n / (c.n - 1) if c.n > 1 else None
+            own = F.when(inside, gap * F.lit(scale).cast("double")).otherwise(own)
+            others.append(F.when(~inside, gap))
+        if len(clusters) < 2:
+            scores.append(F.lit(math.nan))
+            continue
+        nearest = F.least(*others)
+        score = (
+            F.when(own < nearest, 1 - own / nearest)
+            .when(own > nearest, nearest / own - 1)
+            .otherwise(0.0)
+        )
+        scores.append(F.avg(score))
+    return list(points.agg(*(s.alias(f"s{i}") for i, s in enumerate(scores))).first())
 
 
 @dataclass(frozen=True)
@@ -121,18 +191,34 @@ def _about_the_data(error: Exception) -> bool:
     )
 
 
-def _try_k(prepared: DataFrame, k: int, seed: int) -> Trial:
+def _try_k(prepared: DataFrame, k: int, seed: int) -> KMeansModel | str:
+    """The fitted model, or why the data cannot be fitted."""
     try:
-        model = kmeans(k, seed=seed).fit(prepared)
-        score = silhouette(model.transform(prepared))
+        return kmeans(k, seed=seed).fit(prepared)
     except (PySparkException, Py4JJavaError) as error:
         # a lost executor or too little memory must not pass for a bad k
         if not _about_the_data(error):
             raise
-        return Trial(k, FAILED_SCORE, None, str(error))
-    if math.isnan(score):
-        return Trial(k, FAILED_SCORE, model, "the score is not a number")
-    return Trial(k, score, model)
+        return str(error)
+
+
+def _scored(prepared: DataFrame, models: Mapping[int, KMeansModel]) -> list[Trial]:
+    """The models with their scores, all of them in the same two jobs."""
+    assigned = prepared
+    for k, model in models.items():
+        assigned = model.transform(assigned).withColumnRenamed("cluster", f"cluster_{k}")
+    try:
+        scores = silhouette(assigned, [f"cluster_{k}" for k in models])
+    except (PySparkException, Py4JJavaError) as error:
+        if not _about_the_data(error):
+            raise
+        return [Trial(k, FAILED_SCORE, None, str(error)) for k in models]
+    return [
+        Trial(k, FAILED_SCORE, model, "the score is not a number")
+        if math.isnan(score)
+        else Trial(k, score, model)
+        for (k, model), score in zip(models.items(), scores)
+    ]
 
 
 def sweep_k(
@@ -141,15 +227,21 @@ def sweep_k(
     """Fit and score every k from 2 to ``max_k``; a k that fails scores -1.
 
     Fits are independent; ``parallelism`` of them share the cluster, which hides the driver-side
-    steps of each behind the tasks of the others.
+    steps of each behind the tasks of the others. All k are scored together.
     """
     spark = prepared.sparkSession
 
-    def run(k: int) -> Trial:
+    def run(k: int) -> KMeansModel | str:
         return _try_k(prepared, k, seed)
 
+    ks = range(2, max_k + 1)
     with ThreadPool(max(1, min(parallelism, max_k - 1))) as pool:
-        return pool.map(inheritable_thread_target(spark)(run), range(2, max_k + 1), chunksize=1)
+        fitted = dict(zip(ks, pool.map(inheritable_thread_target(spark)(run), ks, chunksize=1)))
+    models = {k: m for k, m in fitted.items() if not isinstance(m, str)}
+    failed = [Trial(k, FAILED_SCORE, None, m) for k, m in fitted.items() if isinstance(m, str)]
+    return sorted(
+        failed + (_scored(prepared, models) if models else []), key=lambda trial: trial.k
+    )
 
 
 def choose_k(trials: Sequence[Trial], default: int = DEFAULT_K) -> int:

@@ -18,7 +18,13 @@ from orderlake.operators.segments import (
 )
 from orderlake.plans.etl import publish, read_silver
 from orderlake.sources.catalog import create_database, create_source_view, register_views
-from orderlake.sources.lake import Lake
+from orderlake.sources.lake import (
+    Lake,
+    clean_versions,
+    commit_version,
+    next_version,
+    version_path,
+)
 
 
 @dataclass(frozen=True)
@@ -37,6 +43,19 @@ def publish_segment_view(spark: SparkSession, lake: Lake) -> str:
     return create_source_view(spark, lake.database, view, f"{lake.database}.{table.name}", table)
 
 
+def store_models(
+    spark: SparkSession, lake: Lake, model: SegmentModel, partitions: int
+) -> None:
+    """The artefacts of a model and its layout as one version, which becomes current at once."""
+    version = next_version(spark, lake.models_folder)
+    path = version_path(lake.models_folder, version)
+    model.save(path)
+    layout = spark.createDataFrame([(partitions,)], "partitions int")
+    layout.write.mode("overwrite").parquet(f"{path}/layout")
+    commit_version(spark, lake.models_folder, version)
+    clean_versions(spark, lake.models_folder)
+
+
 def run_segmentation(
     spark: SparkSession,
     lake: Lake,
@@ -62,9 +81,7 @@ def run_segmentation(
         )
     finally:
         prepared.unpersist()
-    model.save(lake.models)
-    layout = spark.createDataFrame([(partitions,)], "partitions int")
-    layout.write.mode("overwrite").parquet(f"{lake.models}/layout")
+    store_models(spark, lake, model, partitions)
 
     silver = read_silver(spark, lake)
     totals = lake.read(spark, "silver", schemas.ORDER_TOTALS)

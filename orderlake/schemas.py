@@ -204,6 +204,69 @@ GOLD_SEGMENTS = _table(
     ("total_pembayaran", "total_payment", "double"),
 )
 
+# Tables by period: the orders and items of a day or month, and what can be added up from them.
+_PERIOD = ("period", "period", "string")
+
+
+def _by_period(name: str, table: Table) -> Table:
+    fields = ((f.source, f.name, f.type, f.optional) for f in table.fields if f.name != "period")
+    return _table(name, table.key, *fields, _PERIOD)
+
+
+PERIOD_ORDERS = _by_period("period_orders", TRANSACTIONS)
+PERIOD_ITEMS = _by_period("period_items", ORDER_ITEMS)
+PERIOD_TRANSACTIONS = _by_period("period_transactions", TRANSACTION_METRICS)
+CUSTOMER_PARTIALS = _table(
+    "customer_partials", ["period", "customer_id"],
+    ("customer_id", "customer_id", "string"),
+    ("n_rows", "n_rows", "bigint"),
+    ("items_sum", "items_sum", TOTAL),
+    ("items_counted", "items_counted", "bigint"),
+    ("n_orders", "n_orders", "bigint"),
+    ("last_purchase", "last_purchase", "timestamp"),
+    _PERIOD,
+)
+CUSTOMER_PRODUCTS = _table(
+    "customer_products", ["period", "customer_id", "product_id"],
+    ("customer_id", "customer_id", "string"),
+    ("product_id", "product_id", "string"),
+    _PERIOD,
+)
+PRODUCT_PARTIALS = _table(
+    "product_partials", ["period", "product_id"],
+    ("product_id", "product_id", "string"),
+    ("units_sold", "units_sold", "bigint"),
+    ("sales", "sales", TOTAL),
+    ("prices", "prices", TOTAL),
+    ("n_prices", "n_prices", "bigint"),
+    _PERIOD,
+)
+
+CALENDAR = _table(
+    "calendar", ["period"],
+    ("period", "period", "string"),
+    ("first_day", "first_day", "date"),
+    ("year", "year", "int"),
+    ("quarter", "quarter", "string"),
+)
+TRANSACTIONS_BY_ORDER = Table("transactions_by_order", TRANSACTIONS.fields, TRANSACTIONS.key)
+ITEMS_BY_ORDER = Table("items_by_order", ORDER_ITEMS.fields, ORDER_ITEMS.key)
+
+QUARANTINE = _table(
+    "quarantine", [],
+    ("table_name", "table_name", "string"),
+    ("problems", "problems", "string"),
+    ("dropped", "dropped", "boolean"),
+    ("record", "record", "string"),
+)
+
+# Which column of a table names a row of which other table.
+FOREIGN_KEYS = {
+    "transactions": (("customer_id", "customers"),),
+    "order_items": (("order_id", "transactions"), ("product_id", "products")),
+    "reviews": (("customer_id", "customers"), ("product_id", "products")),
+}
+
 # The flat order view and the segment table under the names existing reports use.
 SOURCE_VIEWS = {
     "flat_orders": "bronze_pelanggan",

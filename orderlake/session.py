@@ -105,3 +105,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and stored in the shared folder, so a lost executor costs no recompute."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back.
+
+    Unlike ``checkpointed`` the columns can be read one by one.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -25,31 +25,76 @@ def create_external_table(
 ) -> str:
     """Declare a table of fixed types over existing Parquet files.
 
-    A declaration that says the same already stays, so readers always find the table and its
-    grants; another one is replaced. Dropping an external table leaves its files alone.
+    A declaration that says the same already stays, and one of the same columns is switched to the
+    new place in one step, so readers always find the table and its grants; another one is replaced.
+    Dropping an external table leaves its files alone.
     """
-    name = f"{database}.{table.name}"
+    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    return switch_table(
+        spark, f"{database}.{table.name}", table, path, partitions, partition_by=partition_by
+    )
+
+
+def switch_table(
+    spark: SparkSession,
+    name: str,
+    table: Table,
+    path: str,
+    layout: str = "",
+    *,
+    partition_by: Sequence[str] = (),
+) -> str:
+    """Make the table ``name`` show the files at ``path``, which lie there as ``layout`` says."""
     if spark.catalog.tableExists(name):
-        if _declares(spark, name, table, path):
+        if _same_columns(spark, name, table, partition_by) and _same_buckets(spark, name, layout):
+            if not _lies_at(spark, name, path):
+                spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+                if partition_by:
+                    _forget_partitions(spark, name)
             refresh(spark, name, partitioned=bool(partition_by))
             return name
         spark.sql(f"DROP TABLE {name}")
-    partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({table.ddl}) USING PARQUET{partitions} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({table.ddl}) USING PARQUET {layout} LOCATION '{path}'")
     refresh(spark, name, partitioned=bool(partition_by))
     return name
 
 
-def _declares(spark: SparkSession, name: str, table: Table, path: str) -> bool:
-    """Whether the stored table has the columns, types and place asked for."""
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    return {
+        r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    }
+
+
+def _same_columns(
+    spark: SparkSession, name: str, table: Table, partition_by: Sequence[str]
+) -> bool:
     declared = spark.createDataFrame([], table.ddl).dtypes
     if sorted(spark.table(name).dtypes) != sorted(declared):
         return False
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return parts == list(partition_by)
+
+
+def _same_buckets(spark: SparkSession, name: str, layout: str) -> bool:
+    known = _details(spark, name).get("Num Buckets")
+    return f" INTO {known} BUCKETS" in layout if known else " BUCKETS" not in layout
+
+
+def _lies_at(spark: SparkSession, name: str, path: str) -> bool:
     there = spark._jvm.org.apache.hadoop.fs.Path
-    return details is not None and there(details.data_type).toUri().getPath() == there(
-        path
-    ).toUri().getPath()
+    known = _details(spark, name).get("Location")
+    return known is not None and (
+        there(known).toUri().getPath() == there(path).toUri().getPath()
+    )
+
+
+def _forget_partitions(spark: SparkSession, name: str) -> None:
+    """Drop the partitions that a table of another place knew; its files stay."""
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        spec = ", ".join(
+            "{}='{}'".format(*part.split("=", 1)) for part in row.partition.split("/")
+        )
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
 
 
 def create_source_view(
@@ -62,18 +107,18 @@ def create_source_view(
     return name
 
 
-def flat_orders_sql(paths: Mapping[str, str]) -> str:
-    """The join of ``operators.completed.flat_orders`` over files, for a lasting view.
+def flat_orders_sql(tables: Mapping[str, str]) -> str:
+    """The join of ``operators.completed.flat_orders`` over catalog tables, for a lasting view.
 
-    ``paths`` names the silver tables' folders.
+    ``tables`` has the full name of each silver table.
     """
     return f"""(
         SELECT o.order_id, i.product_id, o.customer_id, c.province, i.price, o.total_payment,
                p.category, o.order_status, o.purchased_at
-        FROM parquet.`{paths['transactions']}` o
-        JOIN parquet.`{paths['order_items']}` i ON o.order_id = i.order_id
-        LEFT JOIN parquet.`{paths['customers']}` c ON o.customer_id = c.customer_id
-        LEFT JOIN parquet.`{paths['products']}` p ON i.product_id = p.product_id
+        FROM {tables['transactions']} o
+        JOIN {tables['order_items']} i ON o.order_id = i.order_id
+        LEFT JOIN {tables['customers']} c ON o.customer_id = c.customer_id
+        LEFT JOIN {tables['products']} p ON i.product_id = p.product_id
     )"""
 
 
