@@ -58,14 +58,16 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def bit_filter(keys: DataFrame, key: str, n_keys: int) -> Callable[[np.ndarray], np.ndarray]:
+def bit_filter(
+    keys: DataFrame, key: str, n_keys: int, most_bits: int | None = None
+) -> Callable[[np.ndarray], np.ndarray]:
     """A test whether non-negative numbers may be among ``keys``; never false for one that is.
 
-    One bit per hash class, at least 16 classes per key, but at most ``FILTER_BITS`` bits, which
-    bounds what the driver collects and sends out. Beyond that bound more numbers pass, so a join
-    has to follow.
+    One bit per hash class, at least 16 classes per key, but at most ``most_bits`` bits
+    (``FILTER_BITS`` by default), which bounds what the driver collects and sends out. Beyond that
+    bound more numbers pass, so a join has to follow.
     """
-    bits = min(FILTER_BITS, max(1 << 10, 1 << (16 * n_keys).bit_length()))
+    bits = min(most_bits or FILTER_BITS, max(1 << 10, 1 << (16 * n_keys).bit_length()))
     words = np.zeros(bits // 32, np.uint32)
     rows = (
         keys.selectExpr(
@@ -75,8 +77,8 @@ def bit_filter(keys: DataFrame, key: str, n_keys: int) -> Callable[[np.ndarray],
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
     )
-    for row in rows.collect():
-        words[row.word] = row.bits
+    found = rows.toArrow()
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().astype(np.uint32)
 
     def among(values: np.ndarray) -> np.ndarray:
         place = values % bits

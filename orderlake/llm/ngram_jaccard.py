@@ -10,17 +10,21 @@ the order changes only how many candidates there are, never the result.
 Classes with the same size and prefix are one group, and prefixes are joined group by group. The
 candidates of a prefix member are first verified as a star: each group against the smallest group
 of that list (a longer list has further pivots), and each member of a group against the group's
-first. What the stars connect needs
-no further check. Then only rows of a list outside its largest component meet the other
-components, as expanded members; length and a bitmap bound on the symmetric difference filter the
-pairs inside the join, and what is left is verified on whole sets. A pair that is never verified
-lies within one component already, so the components are those of all links.
+first. What the stars connect needs no further check. Then only rows of a list outside its largest
+component meet the other components, as expanded members, within classes of similar size.
+
+Three bounds drop pairs inside a join, before a set is moved: sizes too far apart; too few members
+left behind the shared one in either order (if it is the first that the two share; every pair is
+also met there); and bitmaps of a bit per member, which differ in no more bits than the sets differ
+in members. What is left is verified on whole sets. A pair that is never verified lies within one
+component already, so the components are those of all links.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +37,10 @@ from orderlake.llm.common import bit_filter, components, narrowed, pieces, split
 # n-grams ordered by their frequency; the rest of the order is by hash
 MAX_FREQUENT = 1 << 19
 _FREQUENT = 32
-_BATCH_TOKENS = 2_000_000
+_BATCH_TOKENS = 1_000_000
 _CACHED_WORDS = 200_000
-_BITMAP_BITS, _WIDE_BITS = 256, 2048
+_LEAST_BITS = 64
+_FILTER_BITS = 1 << 26
 _SHORT_LIST, _MORE_PIVOTS = 8, 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -185,14 +190,16 @@ def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found["gram"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
 
 
-def _bitmap(grams: np.ndarray, size: int) -> np.ndarray:
-    """The parity of members per hash class, as 64-bit numbers.
+def _bitmap(grams: np.ndarray) -> np.ndarray:
+    """The parity of members per hash class, as 64-bit numbers; as many classes as members, or more.
 
-    Two bitmaps differ in at most as many bits as their sets differ in members.
+    Two bitmaps differ in at most as many bits as their sets differ in members. The number of
+    classes is a power of two, so the larger bitmap of a pair folds onto the smaller one.
     """
+    size = max(_LEAST_BITS, 1 << (len(grams) - 1).bit_length())
     place = (grams >> np.uint64(20)).astype(np.int64) & (size - 1)
     odd = np.bincount(place, minlength=size) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _number_lists(rows: list[np.ndarray]) -> pa.ListArray:
@@ -201,150 +208,238 @@ def _number_lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
-def _classes(docs: DataFrame, counts: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, class_key, n, group_key, prefix, bits, wide): a row per set of at least a member."""
+def _classes(docs: DataFrame, rows: DataFrame, counts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(node, class_key, row_key, n, group_key, prefix, bits): a row per set of at least a member.
+
+    Only one row of each class has to be read, so the others are kept back by a bit filter where it
+    can tell them apart; copies that pass it are reduced to one by the aggregation.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(_frequent(counts))
+    first_rows = rows.filter("n > 0").groupBy("class_key").agg(F.min("row_key").alias("row_key"))
+    first_rows = stored(first_rows, "first_rows")
+    among = bit_filter(first_rows, "row_key", first_rows.count(), _FILTER_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = Frequent(*sent.value)
-        for _, sets, class_keys in _sets(batches, k):
-            class_keys = [key for key, grams in zip(class_keys, sets) if len(grams)]
-            sets = [grams for grams in sets if len(grams)]
-            prefixes, keys, bits, wide = [], [], [], []
-            for grams in sets:
+        for batch, sets, class_keys in _sets(_picked(batches, among), k):
+            full = [i for i, grams in enumerate(sets) if len(grams)]
+            prefixes, keys, bits = [], [], []
+            for grams in (sets[i] for i in full):
                 p = prefix_length(len(grams), percent)
                 prefix = grams[:p]
                 if frequent.counts_of(prefix).any():
-                    prefix = np.sort(grams[np.lexsort((grams, frequent.counts_of(grams)))[:p]])
+                    prefix = grams[np.lexsort((grams, frequent.counts_of(grams)))[:p]]
                 prefixes.append(prefix.view(np.int64))
                 key = len(grams).to_bytes(8, "little") + prefix.tobytes()
                 keys.append(hashlib.blake2b(key, digest_size=16).hexdigest())
-                bits.append(_bitmap(grams, _BITMAP_BITS))
-                wide.append(_bitmap(grams, _WIDE_BITS))
+                bits.append(_bitmap(grams))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([len(grams) for grams in sets], pa.int64()),
-                    pa.array(class_keys, pa.string()),
+                    pa.array([class_keys[i] for i in full], pa.string()),
+                    batch.column("row_key").take(pa.array(full, pa.int64())),
+                    pa.array([len(sets[i]) for i in full], pa.int64()),
                     pa.array(keys, pa.string()),
-                    *map(_number_lists, (prefixes, bits, wide)),
+                    *map(_number_lists, (prefixes, bits)),
                 ],
-                ["n", "class_key", "group_key", "prefix", "bits", "wide"],
+                ["class_key", "row_key", "n", "group_key", "prefix", "bits"],
             )
 
-    rows = docs.select("text").mapInArrow(
+    found = _keyed_texts(docs).mapInArrow(
         run,
-        "n long, class_key string, group_key string, prefix array<long>, bits array<long>, "
-        "wide array<long>",
-    )
-    first = rows.groupBy("class_key").agg(
-        *(F.first(c).alias(c) for c in ("n", "group_key", "prefix", "bits", "wide"))
+        "class_key string, row_key long, n long, group_key string, prefix array<long>, "
+        "bits array<long>",
     )
+    names = ("row_key", "n", "group_key", "prefix", "bits")
+    first = found.groupBy("class_key").agg(*(F.first(c).alias(c) for c in names))
     return stored(first.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
+def _keyed_texts(docs: DataFrame) -> DataFrame:
+    return docs.select("text", _row_key("doc_id", "text").alias("row_key"))
+
+
+def _picked(
+    batches: Iterator[pa.RecordBatch], among: Callable[[np.ndarray], np.ndarray]
+) -> Iterator[pa.RecordBatch]:
+    """The rows whose ``row_key`` passes a filter."""
+    for batch in batches:
+        yield batch.filter(pa.array(among(batch.column("row_key").to_numpy())))
+
+
 def _long_enough(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _may_match(x: str, y: str, percent: int, bits: str = "bits", size: int = _BITMAP_BITS) -> Column:
-    """Length and bitmap filter for rows aliased ``x`` and ``y`` that hold n and a bitmap."""
-    differ = F.lit(0)
-    for i in range(size // 64):
-        differ += F.bit_count(F.col(f"{x}.{bits}")[i].bitwiseXOR(F.col(f"{y}.{bits}")[i]))
+def _enough_behind(x: str, y: str, percent: int) -> Column:
+    """Whether the members from the shared one on can make the overlap that is needed."""
+    left = F.least(F.col(f"{x}.n") - F.col(f"{x}.pos"), F.col(f"{y}.n") - F.col(f"{y}.pos"))
+    return left * (100 + percent) >= (F.col(f"{x}.n") + F.col(f"{y}.n")) * percent
+
+
+def _close(x: str, y: str, percent: int) -> Column:
+    """Length and bitmap filter for rows aliased ``x`` and ``y`` that hold n and bits.
+
+    Sets that are long enough for each other have bitmaps of one size, or one is twice the other.
+    """
+    differ = (
+        f"aggregate(sequence(0, least(size({x}.bits), size({y}.bits)) - 1), 0, (total, word) -> total + "
+        f"bit_count({{0}} ^ {{1}}))"
+    ).format(*(_folded(a, b) for a, b in ((x, y), (y, x))))
     a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
-    close = differ * (100 + percent) <= (a + b) * (100 - percent)
+    close = F.expr(differ) * (100 + percent) <= (a + b) * (100 - percent)
     return _long_enough(a, b, percent) & close
 
 
+def _folded(x: str, y: str) -> str:
+    """SQL for one ``word`` of the bitmap of ``x``, folded onto that of ``y`` if it is longer."""
+    more = f"size({x}.bits) > size({y}.bits)"
+    return f"({x}.bits[word] ^ IF({more}, {x}.bits[word + size({y}.bits)], 0L))"
+
+
 def _verified(
     pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int
 ) -> DataFrame:
     """Those of the distinct pairs (a, b) of nodes whose whole sets reach the threshold.
 
-    Wide bitmaps leave few others, so few sets are moved.
+    Bitmaps leave few others. Only the texts of classes that are in a pair are cut into n-grams
+    again, and a set is moved once for itself and once for each pair it is the second of.
     """
-    known = classes.select("node", "n", "wide")
+    known = classes.select("node", "n", "bits", "class_key", "row_key")
     pairs = stored(
         pairs.join(known.alias("p"), F.col("a") == F.col("p.node"))
         .join(known.alias("q"), F.col("b") == F.col("q.node"))
-        .filter(_may_match("p", "q", percent, "wide", _WIDE_BITS))
-        .select("a", "b"),
+        .filter(_close("p", "q", percent))
+        .select(
+            "a",
+            "b",
+            *(F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in "pq" for c in ("class_key", "row_key")),
+        ),
         "near_pairs",
     )
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    needed = stored(
-        classes.select("node", "class_key")
-        .join(nodes, "node", "left_semi")
-        .withColumn("key", F.conv(F.substring("class_key", 1, 15), 16, 10).cast("bigint")),
-        "needed_sets",
+    needed = (
+        pairs.select(F.col("row_key_p").alias("row_key"))
+        .union(pairs.select("row_key_q"))
+        .distinct()
     )
-    among = bit_filter(needed, "key", needed.count())
+    needed = stored(needed, "needed_rows")
+    among = bit_filter(needed, "row_key", needed.count(), _FILTER_BITS)
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets, class_keys in _sets(batches, k):
-            numbers = np.array([int(key[:15], 16) for key in class_keys], np.int64)
-            hits = np.flatnonzero(among(numbers))
+        for _, sets, class_keys in _sets(_picked(batches, among), k):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([class_keys[i] for i in hits], pa.string()),
-                    pa.array([sets[i].tobytes() for i in hits], pa.binary()),
+                    pa.array(class_keys, pa.string()),
+                    _number_lists([grams.view(np.int64) for grams in sets]),
                 ],
                 ["class_key", "grams"],
             )
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            hits = []
-            for x, y in zip(batch.column("grams_a"), batch.column("grams_b")):
-                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                hits.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(hits, pa.bool_()))
-
-    chosen = stored(
-        docs.select("text")
-        .mapInArrow(likely, "class_key string, grams binary")
-        .join(needed.select("class_key", "node"), "class_key")
-        .groupBy("node")
-        .agg(F.first("grams").alias("grams")),
-        "chosen_sets",
+    sets = (
+        _keyed_texts(docs)
+        .mapInArrow(likely, "class_key string, grams array<long>")
+        .groupBy("class_key")
+        .agg(F.first("grams").alias("grams"))
     )
     side = {
-        x: chosen.select(F.col("node").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab"
+        x: sets.select(
+            F.col("class_key").alias(f"class_key_{x}"), F.col("grams").alias(f"grams_{x}")
+        )
+        for x in "pq"
     }
-    joined = pairs.join(side["a"], "a").join(side["b"], "b")
-    return joined.select("a", "b", "grams_a", "grams_b").mapInArrow(match, "a long, b long")
+    both = F.size(F.array_intersect("grams_p", "grams_q"))
+    union = F.size("grams_p") + F.size("grams_q") - both
+    return (
+        pairs.select("a", "b", "class_key_p", "class_key_q")
+        .join(side["q"], "class_key_q")
+        .join(side["p"], "class_key_p")
+        .filter(both * 100 >= union * percent)
+        .select("a", "b")
+    )
 
 
 def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _posts(classes: DataFrame, others: DataFrame) -> DataFrame:
+    """(gram, node, n, pos): the prefix members of the groups' first classes that are shared.
+
+    ``others`` are the nodes that are not the first of their group. Members that occur in one prefix
+    only are counted in a shuffle of the members alone, and most of them are left out of all that
+    follows by a bit filter; what it lets through makes lists of one row.
+    """
+    key = F.shiftrightunsigned("gram", 1)
+    grams = classes.select(F.explode("prefix").alias("gram")).groupBy("gram").count()
+    shared = stored(grams.filter("count > 1").select(key.alias("key")), "shared_members")
+    among = bit_filter(shared, "key", shared.count(), _FILTER_BITS)
+    node_key = F.shiftrightunsigned(F.xxhash64("node"), 1)
+    others = stored(others.select("node", node_key.alias("key")), "other_members")
+    is_other = bit_filter(others, "key", others.count(), _FILTER_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            prefix = batch.column("prefix")
+            grams = prefix.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(prefix.offsets.to_numpy())
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            pos = np.arange(len(grams)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            hit = among((grams.view(np.uint64) >> np.uint64(1)).view(np.int64))
+            row, columns = row[hit], {"gram": grams[hit], "pos": pos[hit]}
+            for name in ("node", "n", "doubtful"):
+                columns[name] = batch.column(name).to_numpy(zero_copy_only=False)[row]
+            yield pa.RecordBatch.from_pydict(columns)
+
+    # the first classes are found without moving prefixes; only rows in doubt are looked up
+    def doubt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doubtful = pa.array(is_other(batch.column("key").to_numpy()))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("node", "n", "prefix")), doubtful],
+                ["node", "n", "prefix", "doubtful"],
+            )
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(doubt(batches))
+
+    posts = classes.select("node", "n", "prefix", node_key.alias("key")).mapInArrow(
+        both, "gram long, pos long, node long, n long, doubtful boolean"
+    )
+    posts = stored(posts, "posts")
+    sure = posts.filter("NOT doubtful")
+    rest = posts.filter("doubtful").join(others.select("node"), "node", "left_anti")
+    return sure.unionByName(rest).select("gram", "node", "n", "pos")
+
+
 def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """Rows (node, component) of the nodes that have a link."""
     leads = classes.groupBy("group_key").agg(F.min("node").alias("lead"))
     members = stored(
-        classes.join(leads, "group_key").select("node", "lead", "n", "bits"), "members"
+        classes.select("node", "n", "group_key").join(leads, "group_key").select("node", "lead", "n"),
+        "members",
     )
-    groups = classes.join(members.filter("node = lead").select("node"), "node", "left_semi")
-    posts = groups.select("node", "n", F.explode("prefix").alias("gram"))
+    posts = _posts(classes, members.filter("node <> lead"))
     # A list has the smallest group as its pivot; a longer one has more, which differ by list.
-    # Lists of the same groups, as the n-grams of one shared passage make them, are one list.
-    own = F.struct("n", "node")
+    # Lists of the same groups, as the n-grams of one shared passage make them, are one list: that
+    # of the member which comes first in the order, and so stands first in every one of the groups.
+    own = F.struct("n", "node", "pos")
     lists = (
         posts.groupBy("gram")
         .agg(
             F.count(F.lit(1)).alias("size"),
             F.bit_xor(F.xxhash64("node")).alias("mark"),
             F.bit_xor(F.xxhash64("node", F.lit(1))).alias("other_mark"),
+            F.sum("pos").alias("places"),
         )
         .filter("size > 1")
     )
-    alike = ["size", "mark", "other_mark"]
-    more = [F.when(F.col("size") > _SHORT_LIST, F.col(f"p{i}.own")) for i in range(_MORE_PIVOTS)]
-    pivots = F.array_compact(F.array("first", *more)).alias("pivots")
-    chosen = lists.groupBy(*alike).agg(F.min("gram").alias("gram")).select("gram", "size")
+    chosen = (
+        lists.groupBy("size", "mark", "other_mark")
+        .agg(F.min(F.struct("places", "gram"))["gram"].alias("gram"))
+        .select("gram", "size")
+    )
     listed = stored(posts.join(chosen, "gram"), "listed")
+    more = [F.when(F.col("size") > _SHORT_LIST, F.col(f"p{i}.own")) for i in range(_MORE_PIVOTS)]
+    pivots = F.explode(F.array_distinct(F.array_compact(F.array("first", *more)))).alias("pivot")
     seeds = listed.groupBy("gram", "size").agg(
         F.min(own).alias("first"),
         *(
@@ -352,19 +447,18 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
             for i in range(_MORE_PIVOTS)
         ),
     )
-    posted = stored(
-        listed.join(seeds.select("gram", pivots), "gram").select("gram", "node", "n", "pivots"),
-        "posted",
-    )
 
     # Stars
-    starred = posted.select("node", "n", F.explode("pivots").alias("pivot"))
+    starred = listed.alias("row").join(
+        seeds.select(F.col("gram").alias("list"), pivots), F.col("gram") == F.col("list")
+    )
     starred = starred.filter(
-        (F.col("node") != F.col("pivot.node"))
-        & _long_enough(F.col("n"), F.col("pivot.n"), percent)
+        (F.col("row.node") != F.col("pivot.node"))
+        & _long_enough(F.col("row.n"), F.col("pivot.n"), percent)
+        & _enough_behind("row", "pivot", percent)
     )
     star = _pairs(
-        starred.select(F.col("node").alias("x"), F.col("pivot.node").alias("y")).union(
+        starred.select(F.col("row.node").alias("x"), F.col("pivot.node").alias("y")).union(
             members.filter("node <> lead").select("node", "lead")
         )
     )
@@ -373,46 +467,61 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
 
     # Lists whose members are not connected yet
     own = members.join(found, "node", "left").select(
-        "node", "lead", "n", "bits", F.coalesce("component", "node").alias("component")
+        "node", "lead", "n", F.coalesce("component", "node").alias("component")
     )
     split = (
         own.groupBy("lead")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .join(posted.select("gram", F.col("node").alias("lead")), "lead")
+        .join(listed.select("gram", F.col("node").alias("lead")), "lead")
         .groupBy("gram")
         .agg(F.min("low").alias("low"), F.max("high").alias("high"))
         .filter("low <> high")
         .select("gram")
     )
-    open_posts = posted.select("gram", F.col("node").alias("lead")).join(split, "gram")
+    open_posts = listed.select("gram", F.col("node").alias("lead"), "pos").join(split, "gram")
     # a group that is the only one with its prefix members is a list of its own
     within = own.groupBy("lead").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
-    within = within.filter("low <> high").select(F.col("lead").alias("gram"), "lead")
+    within = within.filter("low <> high").select(
+        F.col("lead").alias("gram"), "lead", F.lit(0).cast("long").alias("pos")
+    )
     open_lists = stored(
         open_posts.withColumn("kind", F.lit(0))
         .unionByName(within.withColumn("kind", F.lit(1)))
         .join(own, "lead")
-        .select("kind", "gram", "node", "n", "bits", "component"),
+        .join(classes.select("node", "bits"), "node")
+        .select(
+            "kind",
+            "gram",
+            "node",
+            "n",
+            "pos",
+            "bits",
+            "component",
+            # sizes that are long enough for each other lie in one band or in neighbouring ones
+            F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-4)).alias("band"),
+        ),
         "open_lists",
     )
     counted = open_lists.groupBy("kind", "gram", "component").agg(F.count(F.lit(1)).alias("size"))
     main = counted.groupBy("kind", "gram").agg(
         F.max(F.struct("size", "component")).alias("largest")
     )
-    strays = open_lists.join(main, ["kind", "gram"]).filter(
-        F.col("component") != F.col("largest.component")
+    rows = open_lists.join(main, ["kind", "gram"]).withColumn(
+        "stray", F.col("component") != F.col("largest.component")
     )
-    left, right = strays.alias("s"), open_lists.join(main, ["kind", "gram"]).alias("r")
-    right_stray = F.col("r.component") != F.col("r.largest.component")
+    near_bands = F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1))))
+    left = rows.filter("stray").withColumn("band", near_bands).alias("s")
     cross = left.join(
-        right,
+        rows.alias("r"),
         (F.col("s.kind") == F.col("r.kind"))
         & (F.col("s.gram") == F.col("r.gram"))
+        & (F.col("s.band") == F.col("r.band"))
         & (F.col("s.component") != F.col("r.component"))
-        & (~right_stray | (F.col("s.node") < F.col("r.node")))
-        & _may_match("s", "r", percent),
+        & (~F.col("r.stray") | (F.col("s.node") < F.col("r.node")))
+        & _enough_behind("s", "r", percent)
+        & _close("s", "r", percent),
     ).select(F.col("s.node").alias("x"), F.col("r.node").alias("y"))
     more = stored(_verified(_pairs(cross), docs, classes, k, percent), "cross_links")
     return components(links.unionByName(more))
@@ -421,7 +530,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
 def _labelled(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, row_key, n, component, component_id); no component without a set."""
     rows, counts = _keys_and_counts(docs, words)
-    classes = _classes(docs, counts, words, percent)
+    classes = _classes(docs, rows, counts, words, percent)
     linked = linked_classes(docs, classes, words, percent)
     class_ids = (
         rows.filter("n > 0").groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
