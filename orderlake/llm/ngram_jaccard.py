@@ -11,19 +11,18 @@ Classes with the same size and prefix are one group, and prefixes are joined gro
 candidates of a prefix member are first verified as a star: each group against the smallest group
 of that list (a longer list has further pivots), and each member of a group against the group's
 first. What the stars connect needs no further check. Then only rows of a list outside its largest
-component meet the other components, as expanded members, within classes of similar size.
+component meet the other components, as expanded members: first a few of the largest, then all.
 
 Three bounds drop pairs inside a join, before a set is moved: sizes too far apart; too few members
 left behind the shared one in either order (if it is the first that the two share; every pair is
-also met there); and bitmaps of a bit per member, which differ in no more bits than the sets differ
-in members. What is left is verified on whole sets. A pair that is never verified lies within one
+also met there); and bitmaps of about a bit per member, which differ in no more bits than the sets
+differ in members. What is left is verified on whole sets. A pair that is never verified lies within one
 component already, so the components are those of all links.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,7 +40,7 @@ _BATCH_TOKENS = 1_000_000
 _CACHED_WORDS = 200_000
 _LEAST_BITS = 64
 _FILTER_BITS = 1 << 26
-_SHORT_LIST, _MORE_PIVOTS = 8, 3
+_SHORT_LIST, _MORE_PIVOTS, _ROUNDS = 8, 3, 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -191,12 +190,13 @@ def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bitmap(grams: np.ndarray) -> np.ndarray:
-    """The parity of members per hash class, as 64-bit numbers; as many classes as members, or more.
+    """The parity of members per hash class, as 64-bit numbers; a class for one or two members.
 
-    Two bitmaps differ in at most as many bits as their sets differ in members. The number of
+    Two unrelated sets of n members differ in n / 4 bits or more, sets at a threshold of 0.8 in at
+    most n / 4.5. Two bitmaps differ in at most as many bits as their sets differ in members. The number of
     classes is a power of two, so the larger bitmap of a pair folds onto the smaller one.
     """
-    size = max(_LEAST_BITS, 1 << (len(grams) - 1).bit_length())
+    size = max(_LEAST_BITS, 1 << (len(grams).bit_length() - 1))
     place = (grams >> np.uint64(20)).astype(np.int64) & (size - 1)
     odd = np.bincount(place, minlength=size) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
@@ -465,66 +465,95 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
     links = stored(_verified(star, docs, classes, k, percent), "star_links")
     found = components(links)
 
-    # Lists whose members are not connected yet
+    # What the stars have missed is mostly near some other member of the largest component; a few
+    # members chosen by hash connect most of it, before all members are tried.
+    for round in range(_ROUNDS):
+        strays, rows = _open_lists(listed, members, found)
+        seeds = rows.filter("NOT stray").groupBy("kind", "gram").agg(
+            *(
+                F.min(F.struct(F.xxhash64("node", "gram", F.lit(round), F.lit(i)), "n", "node", "pos"))
+                .alias(f"p{i}")
+                for i in range(_MORE_PIVOTS)
+            )
+        )
+        pivots = F.explode(F.array(*(F.col(f"p{i}") for i in range(_MORE_PIVOTS)))).alias("pivot")
+        tried = strays.alias("s").join(
+            seeds.select("kind", "gram", pivots).alias("p"),
+            (F.col("s.kind") == F.col("p.kind")) & (F.col("s.gram") == F.col("p.gram")),
+        )
+        tried = tried.filter(
+            _long_enough(F.col("s.n"), F.col("pivot.n"), percent)
+            & _enough_behind("s", "pivot", percent)
+        ).select(F.col("s.node").alias("x"), F.col("pivot.node").alias("y"))
+        more = stored(_verified(_pairs(tried), docs, classes, k, percent), "round_links")
+        links = links.unionByName(more)
+        found = components(links)
+
+    strays, rows = _open_lists(listed, members, found)
+    bits = classes.select("node", "bits")
+    cross = (
+        strays.join(bits, "node").alias("s")
+        .join(
+            rows.join(bits, "node").alias("r"),
+            (F.col("s.kind") == F.col("r.kind"))
+            & (F.col("s.gram") == F.col("r.gram"))
+            & (F.col("s.component") != F.col("r.component"))
+            & (~F.col("r.stray") | (F.col("s.node") < F.col("r.node")))
+            & _enough_behind("s", "r", percent)
+            & _close("s", "r", percent),
+        )
+        .select(F.col("s.node").alias("x"), F.col("r.node").alias("y"))
+    )
+    more = stored(_verified(_pairs(cross), docs, classes, k, percent), "cross_links")
+    return components(links.unionByName(more))
+
+
+def _open_lists(
+    listed: DataFrame, members: DataFrame, found: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(strays, all rows) of the lists whose members are not connected yet.
+
+    Rows (kind, gram, node, n, pos, component, stray); groups are expanded into their members, and a
+    group whose members are not connected is a list of its own, of kind 1. A stray is outside its
+    list's largest component. The two rows of a list of two have met in the star already.
+    """
     own = members.join(found, "node", "left").select(
         "node", "lead", "n", F.coalesce("component", "node").alias("component")
     )
+    ends = own.groupBy("lead").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count(F.lit(1)).alias("size"),
+    )
     split = (
-        own.groupBy("lead")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .join(listed.select("gram", F.col("node").alias("lead")), "lead")
+        ends.join(listed.select("gram", F.col("node").alias("lead")), "lead")
         .groupBy("gram")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .filter("low <> high")
+        .agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), F.sum("size").alias("size")
+        )
+        .filter("low <> high AND size > 2")
         .select("gram")
     )
     open_posts = listed.select("gram", F.col("node").alias("lead"), "pos").join(split, "gram")
     # a group that is the only one with its prefix members is a list of its own
-    within = own.groupBy("lead").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    within = within.filter("low <> high").select(
+    within = ends.filter("low <> high AND size > 2").select(
         F.col("lead").alias("gram"), "lead", F.lit(0).cast("long").alias("pos")
     )
     open_lists = stored(
         open_posts.withColumn("kind", F.lit(0))
         .unionByName(within.withColumn("kind", F.lit(1)))
         .join(own, "lead")
-        .join(classes.select("node", "bits"), "node")
-        .select(
-            "kind",
-            "gram",
-            "node",
-            "n",
-            "pos",
-            "bits",
-            "component",
-            # sizes that are long enough for each other lie in one band or in neighbouring ones
-            F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-4)).alias("band"),
-        ),
+        .select("kind", "gram", "node", "n", "pos", "component"),
         "open_lists",
     )
     counted = open_lists.groupBy("kind", "gram", "component").agg(F.count(F.lit(1)).alias("size"))
     main = counted.groupBy("kind", "gram").agg(
-        F.max(F.struct("size", "component")).alias("largest")
+        F.max(F.struct("size", "component"))["component"].alias("main")
     )
     rows = open_lists.join(main, ["kind", "gram"]).withColumn(
-        "stray", F.col("component") != F.col("largest.component")
+        "stray", F.col("component") != F.col("main")
     )
-    near_bands = F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1))))
-    left = rows.filter("stray").withColumn("band", near_bands).alias("s")
-    cross = left.join(
-        rows.alias("r"),
-        (F.col("s.kind") == F.col("r.kind"))
-        & (F.col("s.gram") == F.col("r.gram"))
-        & (F.col("s.band") == F.col("r.band"))
-        & (F.col("s.component") != F.col("r.component"))
-        & (~F.col("r.stray") | (F.col("s.node") < F.col("r.node")))
-        & _enough_behind("s", "r", percent)
-        & _close("s", "r", percent),
-    ).select(F.col("s.node").alias("x"), F.col("r.node").alias("y"))
-    more = stored(_verified(_pairs(cross), docs, classes, k, percent), "cross_links")
-    return components(links.unionByName(more))
+    return rows.filter("stray"), rows
 
 
 def _labelled(docs: DataFrame, words: int, percent: int) -> DataFrame:
