@@ -16,13 +16,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import narrowed, pieces
+from orderlake.llm.common import narrowed, pieces, stored
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 STEMS = (4, 5, 6, 7)
@@ -75,39 +76,52 @@ class Lexicon:
 # The label model
 
 
-def label_model(votes: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior P(toxic) per row and accuracy per voter; votes are 1, -1 or 0 (abstains).
+def correlations(votes: np.ndarray, posterior: np.ndarray) -> np.ndarray:
+    """How much of two voters' casting the label leaves unexplained in both, 1 on the diagonal.
 
-    Correlations come first: what the majority label leaves unexplained in two voters' votes. A
-    voter shares its weight with those it moves together with. Expectation maximisation then
-    estimates how often each voter votes which way given the true label, started at the majority.
+    What is left of a voter is whether it votes less how often it does given the label, which
+    ``posterior`` holds as P(toxic) per row. Below 0.2 it counts as chance.
     """
-    n, m = votes.shape
-    majority = np.clip(0.5 + 0.4 * np.sign(votes.sum(axis=1)), 0.1, 0.9)
     cast = np.abs(votes).astype(np.float64)
-    toxic, clean = majority[:, None], 1 - majority[:, None]
-    expected = toxic * (cast * toxic).sum(0) / toxic.sum() + clean * (cast * clean).sum(
-        0
-    ) / clean.sum()
-    left = cast - expected
+    toxic, clean = posterior[:, None], 1 - posterior[:, None]
+    given_toxic = (cast * toxic).sum(0) / (toxic.sum() + 1e-9)
+    given_clean = (cast * clean).sum(0) / (clean.sum() + 1e-9)
+    left = cast - toxic * given_toxic - clean * given_clean
     left /= np.sqrt((left**2).sum(axis=0)) + 1e-9
     related = left.T @ left
     related[related < 0.2] = 0
     np.fill_diagonal(related, 1)
-    share = 1 / related.sum(axis=1)
+    return related
+
 
+def label_model(
+    votes: np.ndarray, rounds: int = 30, passes: int = 3
+) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior P(toxic) per row and accuracy per voter; votes are 1, -1 or 0 (abstains).
+
+    Expectation maximisation estimates how often each voter votes which way given the true label,
+    started at the majority. A voter shares its weight with those it moves together with beyond
+    what the label explains; these correlations are estimated anew in each of the ``passes``, first
+    from the majority and then from the model's own posterior.
+    """
+    n, m = votes.shape
+    majority = np.clip(0.5 + 0.4 * np.sign(votes.sum(axis=1)), 0.1, 0.9)
+    cast = np.abs(votes).astype(np.float64)
     kinds = np.stack([votes == v for v in (-1, 0, 1)]).astype(np.float64)  # by vote, row, voter
     posterior = majority
-    for _ in range(rounds):
-        rate = np.clip(posterior.mean(), 0.01, 0.99)
-        odds = np.full(n, np.log(rate / (1 - rate)))
-        given = []
-        for weight in (posterior, 1 - posterior):
-            times = np.einsum("vnm,n->vm", kinds, weight) + 0.2
-            given.append(times / times.sum(axis=0))
-        step = np.log(given[0] / given[1]) * share
-        odds += np.einsum("vnm,vm->n", kinds, step)
-        posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+    for _ in range(passes):
+        share = 1 / correlations(votes, posterior).sum(axis=1)
+        posterior = majority
+        for _ in range(rounds):
+            rate = np.clip(posterior.mean(), 0.01, 0.99)
+            odds = np.full(n, np.log(rate / (1 - rate)))
+            given = []
+            for weight in (posterior, 1 - posterior):
+                times = np.einsum("vnm,n->vm", kinds, weight) + 0.2
+                given.append(times / times.sum(axis=0))
+            step = np.log(given[0] / given[1]) * share
+            odds += np.einsum("vnm,vm->n", kinds, step)
+            posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     right = ((votes > 0) * posterior[:, None] + (votes < 0) * (1 - posterior)[:, None]).sum(0)
     return posterior, (right + 1) / (cast.sum(axis=0) + 2)
 
@@ -135,11 +149,17 @@ def pattern_votes(held: np.ndarray, strong: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Classifier:
-    """Linear weights of features; ``bias`` alone if nothing was learnt."""
+    """Linear weights of features; ``bias`` alone if nothing was learnt.
+
+    ``voters`` names the lexicon voters and ``accuracies`` holds how often the label model found each
+    of them right, followed by those of the pattern voters.
+    """
 
     names: list[str] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     bias: float = -2.0
+    voters: list[str] = field(default_factory=list)
+    accuracies: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def score(self, numbers: list[int]) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.weights[numbers].sum() + self.bias, -30, 30))))
@@ -175,6 +195,9 @@ def fit(
 
     ``allowed`` is an expression over the labels' id column; other rows, and rows without id or
     label, are never read. Without both labels there is nothing to learn and every score is low.
+    At most ``max_documents`` different texts of each label are learnt from: repeated rows of
+    ``docs`` count once, and among different texts of the labelled ids the smallest hashes stay. An id
+    with both labels teaches both.
     """
     usable = labels.filter(allowed & F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("label_id"), F.col(label).cast("int").alias("label")
@@ -187,10 +210,22 @@ def fit(
             .limit(max_documents)
         )
         sample = part if sample is None else sample.unionByName(part)
-    training = (
+    labelled = (
         narrowed(docs, doc_id=id_column, text=text)
         .join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
         .select(F.xxhash64("doc_id", "text").alias("place"), "label", "text")
+        .dropDuplicates(["place", "label"])
+    )
+    # read by three jobs, and bounded however often an id occurs
+    training = stored(
+        reduce(
+            DataFrame.unionByName,
+            (
+                labelled.filter(F.col("label") == value).orderBy("place").limit(max_documents)
+                for value in (0, 1)
+            ),
+        ),
+        "labelled_texts",
     )
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,16 +277,16 @@ def fit(
 
     rows = training.select("place", "text").mapInArrow(held, "place long, features array<int>")
     rows = sorted(rows.collect(), key=lambda r: (r.place, r.features))
-    x = np.zeros((len(rows), len(names)), np.float32)
+    x = np.zeros((len(rows), len(names)))
     for i, row in enumerate(rows):
         x[i, row.features] = 1
     if not len(voters):
         return Classifier()
     strong = np.array([names[i].startswith("=") for i in voters])
     votes = np.concatenate([x[:, voters], pattern_votes(x[:, voters], strong)], axis=1)
-    posterior, _ = label_model(votes)
+    posterior, accuracies = label_model(votes)
     w, b = _linear(x, posterior)
-    return Classifier(names, w, b)
+    return Classifier(names, w, b, [names[i] for i in voters], accuracies)
 
 
 def score(
