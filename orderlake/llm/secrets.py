@@ -1,27 +1,29 @@
 """Secret scan: patterns plus a linear-chain conditional random field.
 
-Three patterns find the base spans. A conditional random field then tags tokens as secret begin,
-inside or outside (B, I, O) and adds what the patterns miss: long random-looking strings without a
-known key in front, or continued over a line break.
-
-A token is a run of the secret alphabet. Tokens enter the chain if a key word stands before them,
-whatever they look like, or if they are more than a plain word or number: mixed case, letters with
-digits, punctuation inside, or 10 digits and more. Plain words without a key word before them are
-outside by definition, so the chain falls apart into short runs of neighbouring tokens, and
-decoding each run by Viterbi equals decoding the whole text. Features are the token's shape
-(digits and length among it), the word and the separator before it, what follows, and counts over
-the whole file.
-
-The field is trained by penalised likelihood (forward-backward) on tokens labelled by the base
-spans. So that shape alone must also do, half of the training runs lose their context features.
-Those spans hold no secret of under 12 characters, so the field rarely takes shorter tokens.
+Three patterns find the base spans. A conditional random field then tags every token of a text as
+secret begin, inside or outside (B, I, O) and adds what the patterns miss: random-looking strings
+without a known key in front, values on the line after their key, secrets beside a base span.
+
+A token is a run of the secret alphabet with a letter or digit in it. Its features are its shape
+(length, digits, case, entropy, changes between kinds of letters), the words before and after it
+(hashed) and whether a key word stands before it, the characters in between, and counts over the
+whole file. Most tokens are plain words, whose best score as a secret, whatever stands around them,
+is below their score outside; no best path takes them, so Viterbi decoding runs on the stretches
+of other tokens between them and gives the path of the whole text.
+
+The field is trained by penalised likelihood (forward-backward) on windows around tokens that the
+base spans label. The corpus labels few kinds of secrets, so each labelled value is also taught
+respelt in other alphabets, behind other key words and without any. Unlabelled tokens that look
+like secrets are not taught as outside.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import narrowed, pieces
+from orderlake.llm.common import narrowed, pieces, stored
 
 KINDS = ("assign", "access", "hex")
 # Only ASCII letters ignore case.
@@ -39,45 +41,71 @@ ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
     re.IGNORECASE | re.ASCII,
 )
+_ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 # Greedy runs: asking for the least length in the pattern equals dropping short matches.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-_START = r"(?<![A-Za-z0-9+/_=-])"
-_RUN = r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_=-])?"
-# More than a plain word, a short number or a rule of punctuation.
-TOKEN = re.compile(
-    _START
-    + r"(?!(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,9}|[+/_.=-]+)\.*(?![A-Za-z0-9+/_.=-]))"
-    + _RUN
-)
-_KEY = (
-    r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|key|bearer|auth\w*|credentials?|private|signature)"
-    r"[\"']?[\x20\t]*[:=]?[\x20\t]*[\"']?"
-)
-KEYED = re.compile(f"{_KEY}{_START}(?=({_RUN}))", re.IGNORECASE | re.ASCII)
-KEY_WORD = re.compile(f"{_KEY}$", re.IGNORECASE | re.ASCII)
-INSIDE_KEY = re.compile(f"{_KEY}[=]", re.IGNORECASE | re.ASCII)
+
+# Every repeat below is of single characters and followed by nothing, so scans are linear.
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
+_BARE = re.compile(r"[+/_.=-]*")
+_KEY = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|key|bearer|auth[a-z]{0,12}|credentials?|private|signature)"
+KEY_END = re.compile(f"{_KEY}$", re.IGNORECASE | re.ASCII)
+INSIDE_KEY = re.compile(f"(?:[A-Za-z0-9]{{0,12}}_)?{_KEY}=", re.IGNORECASE | re.ASCII)
 PUNCTUATION = re.compile(r"[+/_.=-]")
+PLAIN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# A gap without these, and no quote or @ behind the token, is a plain place.
+_SPECIAL_GAP = re.compile(r"[:=\"'@]")
+_OTHER = re.compile(r"[^\x20\t\r\n.,;:=\"']")
 
 O, B, I = 0, 1, 2
-N_FEATURES = 64
-_GAP = re.compile(r"[\x20\x09-\x0D\"'\\,]{0,4}")
+_WORDS = 64
+_CACHED_TOKENS = 200_000
+# The groups of features, with how many of each; a token has at most one of a group.
+_SHAPE = {
+    "bias": 1, "length": 7, "short": 3, "digits": 5, "case": 4, "hex": 3, "entropy": 6, "number": 2,
+    "dots": 2, "slashes": 2, "any_digit": 2, "key_inside": 2, "punctuation": 2, "changes": 6,
+}
+_CONTEXT = {
+    "key": 2, "assigned": 2, "line": 2, "quoted": 2, "other": 2, "mail": 2, "closed": 2,
+    "base": 4, "tokens": 6, "size": 6, "before": _WORDS, "after": _WORDS,
+}
+_FIRST: dict[str, int] = {}
+for _name, _n in (_SHAPE | _CONTEXT).items():
+    _FIRST[_name] = sum((_SHAPE | _CONTEXT)[k] for k in _FIRST)
+N_FEATURES = sum((_SHAPE | _CONTEXT).values())
+# Words and files may tip the balance, but many of them occur in one window only.
+_WEAK_GROUPS, _WEAK = ("base", "tokens", "size", "before", "after"), 0.3
+# What tells a token that goes on from one that begins: the characters before it.
+_GAP_GROUPS = ("bias", "line")
 
 Span = tuple[int, int, str]
 
 
 def base_spans(text: str) -> list[Span]:
     """Pattern matches as (start, end, kind), leftmost and non-overlapping within a kind."""
-    found = [
-        (m.start(), m.end(), "assign")
-        for m in ASSIGN.finditer(text)
-        if m.end(2) - m.start(2) >= 12
-    ]
-    found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
+    found = []
+    # lower() maps ASCII letters as the pattern does; other letters only let more texts through
+    lower = text.lower()
+    if any(word in lower for word in _ASSIGN_WORDS):
+        found = [
+            (m.start(), m.end(), "assign")
+            for m in ASSIGN.finditer(text)
+            if m.end(2) - m.start(2) >= 12
+        ]
+    if "AKIA" in text:
+        found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _values(text: str, base: list[Span]) -> list[tuple[int, int]]:
+    """The base spans as places of secrets: of an assignment the value alone."""
+    return [
+        ASSIGN.match(text, s, e).span(2) if kind == "assign" else (s, e) for s, e, kind in base
+    ]
+
+
 def listed(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
@@ -85,19 +113,17 @@ def listed(spans: list[Span]) -> str:
 # Tokens and features
 
 
-def runs_of_tokens(text: str) -> list[list[tuple[int, int]]]:
-    """Tokens grouped into runs that only a short gap separates."""
-    runs: list[list[tuple[int, int]]] = []
-    last_end = -1
-    found = {m.span() for m in TOKEN.finditer(text)}
-    found |= {m.span(1) for m in KEYED.finditer(text)}
-    for start, end in sorted(found):
-        if runs and start - last_end <= 4 and _GAP.fullmatch(text, last_end, start):
-            runs[-1].append((start, end))
-        else:
-            runs.append([(start, end)])
-        last_end = end
-    return runs
+def tokens(text: str) -> list[tuple[int, int]]:
+    """(start, end) of every token: runs of the alphabet without dots at their ends."""
+    found = []
+    for m in _RUN.finditer(text):
+        run, start = m.group(), m.start()
+        if run[0] == "." or run[-1] == ".":
+            start += len(run) - len(run.lstrip("."))
+            run = run.strip(".")
+        if run and not _BARE.fullmatch(run):
+            found.append((start, start + len(run)))
+    return found
 
 
 def _entropy(token: str) -> float:
@@ -105,67 +131,90 @@ def _entropy(token: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(token).values())
 
 
-def file_features(text: str, n_base: int, n_tokens: int) -> list[int]:
-    """Features all tokens of a file share."""
-    return [
-        40 + min(n_base, 3),
-        44 + min(int(math.log2(n_tokens + 1)), 5),
-        50 + min(int(math.log10(len(text) + 1)), 5),
-    ]
+def _kind(c: str) -> str:
+    return "0" if c.isdigit() else "a" if c.islower() else "A"
+
+
+def _changes(token: str) -> float:
+    """How often a lower-case letter, capital or digit stands beside one of another kind.
+
+    A capital at the start of a word is no change, and words joined by signs have none.
+    """
+    turns = sum(
+        _kind(a) != _kind(b) and not (a.isupper() and b.islower())
+        for a, b in zip(token, token[1:])
+        if a.isalnum() and b.isalnum()
+    )
+    return turns / len(token)
+
+
+def _numbers(options: dict[str, int | None]) -> list[int]:
+    return [_FIRST[name] + value for name, value in options.items() if value is not None]
 
 
-def token_features(text: str, start: int, end: int) -> tuple[list[int], list[int]]:
-    """(shape features, context features) of a token, as feature numbers."""
-    token = text[start:end]
+def shape_features(token: str) -> list[int]:
+    n = len(token)
     digits = sum(c.isdigit() for c in token)
     upper, lower = token.upper() != token, token.lower() != token
-    hexlike = not token.strip("0123456789abcdef")
-    shape = [
-        0,
-        1 + min((end - start) // 8, 6),
-        8 + min(int(digits / len(token) * 5), 4),
-        13 + 2 * upper + lower,
-        17 if hexlike else 18,
-        19 + min(int(_entropy(token)), 5),
-        25 if digits == len(token) else 26,
-        27 if "." in token else 28,
-        29 if token.count("/") > 1 else 30,
-        56 if digits else 57,
-        58 if end - start < 6 else 59 if end - start < 10 else 60,
-        61 if INSIDE_KEY.match(token) else 62,
-    ]
-    if PUNCTUATION.search(token):
-        shape.append(63)
-    before = text[max(0, start - 24) : start]
-    after = text[end : end + 1]
-    context = [31 if KEY_WORD.search(before) else 32]
-    last = before[-1:]
-    context.append(33 if last in "=:" and last else 34 if last in "\"'" and last else 35)
-    context.append(36 if after == "@" or last == "@" else 37)
-    context.append(38 if after in "\"'" and after else 39)
-    return shape, context
+    low_hex = not token.strip("0123456789abcdef")
+    high_hex = not token.strip("0123456789ABCDEF")
+    return _numbers(
+        {
+            "bias": 0,
+            "length": min(n // 8, 6),
+            "short": 0 if n < 6 else 1 if n < 10 else 2,
+            "digits": min(int(digits / n * 5), 4),
+            "case": 2 * upper + lower,
+            "hex": 1 if low_hex else 2 if high_hex else 0,
+            "entropy": min(int(_entropy(token[:256])), 5),
+            "number": int(digits == n),
+            "dots": int("." in token),
+            "slashes": int(token.count("/") > 1),
+            "any_digit": int(digits > 0),
+            "key_inside": int(bool(INSIDE_KEY.match(token))),
+            "punctuation": int(bool(PUNCTUATION.search(token))),
+            "changes": min(int(_changes(token[:256]) * 10), 5),
+        }
+    )
 
 
-def labelled_runs(text: str) -> Iterator[tuple[list[list[int]], list[list[int]], list[int]]]:
-    """Runs with (shape, context and file features, states); states follow the base spans.
+def _bucket(word: str) -> int:
+    return zlib.crc32(word.lower().encode()) % _WORDS
 
-    A token is inside if it continues the same span as the token before it, or if both lie in
-    base spans of one run.
-    """
-    base = base_spans(text)
-    runs = runs_of_tokens(text)
-    if not runs:
-        return
-    shared = file_features(text, 0, sum(map(len, runs)))
-    for run in runs:
-        shapes, contexts, states = [], [], []
-        for start, end in run:
-            shape, context = token_features(text, start, end)
-            shapes.append(shape)
-            contexts.append(context + shared)
-            inside = any(s < end and start < e for s, e, _ in base)
-            states.append((I if states and states[-1] != O else B) if inside else O)
-        yield shapes, contexts, states
+
+def file_features(n_others: int, n_tokens: int, n_chars: int) -> list[int]:
+    """Features of the whole file: its base spans besides the token's own, its tokens, its length."""
+    return _numbers(
+        {
+            "base": min(n_others, 3),
+            "tokens": min(int(math.log10(n_tokens + 1)), 5),
+            "size": min(int(math.log10(n_chars + 1)), 5),
+        }
+    )
+
+
+def context_features(text: str, places: list[tuple[int, int]], i: int) -> list[int]:
+    """Features of what stands around token ``i``."""
+    start, end = places[i]
+    before = places[i - 1] if i else None
+    gap_from = before[1] if before else 0
+    # of a long gap both ends
+    gap = text[gap_from:start] if start - gap_from <= 16 else text[gap_from : gap_from + 8] + text[start - 8 : start]
+    after = text[end : end + 1]
+    word = text[before[0] : before[1]] if before else ""
+    return _numbers(
+        {
+            "key": int(bool(KEY_END.search(word[-24:]))),
+            "assigned": int(":" in gap or "=" in gap),
+            "line": int("\n" in gap),
+            "quoted": int('"' in gap or "'" in gap),
+            "other": int(bool(_OTHER.search(gap))),
+            "mail": int(after == "@" or gap[-1:] == "@"),
+            "closed": int(after in ("'", '"') and after != ""),
+            "before": _bucket(word[-32:]) if before else None,
+            "after": _bucket(text[slice(*places[i + 1])][:32]) if i + 1 < len(places) else None,
+        }
+    )
 
 
 # The field
@@ -182,13 +231,18 @@ class Field:
     def scores(self, features: list[list[int]]) -> np.ndarray:
         return np.array([self.emit[f].sum(axis=0) for f in features])
 
-    def viterbi(self, features: list[list[int]]) -> list[int]:
+    def viterbi(
+        self, features: list[list[int]], *, after_outside: bool = False, before_outside: bool = False
+    ) -> list[int]:
+        """The best states; of a stretch between tokens outside, as the flags say."""
         scores = self.scores(features)
-        best, back = self.start + scores[0], []
+        best, back = (self.move[O] if after_outside else self.start) + scores[0], []
         for row in scores[1:]:
             step = best[:, None] + self.move
             back.append(step.argmax(axis=0))
             best = step.max(axis=0) + row
+        if before_outside:
+            best = best + self.move[:, O]
         state = int(best.argmax())
         path = [state]
         for pointers in reversed(back):
@@ -202,11 +256,19 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def _emission(weights: np.ndarray, goes_on: np.ndarray) -> np.ndarray:
+    """Feature by state: nothing for O, a weight for B, and for I the same and what tells it apart."""
+    own, more = weights[:, 0], weights[:, 1] * goes_on
+    return np.stack([np.zeros_like(own), own, own + more], axis=1)
+
+
 def train(runs: list[tuple[list[list[int]], list[int]]], steps: int = 200) -> Field | None:
     """Fit the field by gradient steps (Adam) on the penalised log-likelihood; None without data.
 
     Runs of equal length are stacked, so each step is a forward and a backward pass over arrays.
-    Moving into I from O, and starting in I, is ruled out.
+    Moving into I from O, and starting in I, is ruled out. B and I share their weights but for those
+    of the characters in front, which tell a token that goes on from one that begins. Weights of
+    neighbouring words and of files stay small.
     """
     if not any(s != O for _, states in runs for s in states):
         return None
@@ -223,15 +285,19 @@ def train(runs: list[tuple[list[list[int]], list[int]]], steps: int = 200) -> Fi
     barred = np.zeros((3, 3))
     barred[O, I] = -30.0
     start_barred = np.array([0.0, 0.0, -30.0])
-    weights = [np.zeros((N_FEATURES, 3)), np.zeros((3, 3)), np.zeros(3)]
+    weights = [np.zeros((N_FEATURES, 2)), np.zeros((3, 3)), np.zeros(3)]
+    goes_on = np.zeros(N_FEATURES)
+    for group in _GAP_GROUPS:
+        goes_on[_FIRST[group] : _FIRST[group] + (_SHAPE | _CONTEXT)[group]] = 1
     first = [np.zeros_like(w) for w in weights]
     second = [np.zeros_like(w) for w in weights]
     total = sum(len(y) for _, y in stacks)
     for step in range(1, steps + 1):
-        grads = [0.02 * w / total for w in weights]
+        grads = [0.05 * w / total for w in weights]
+        emission = _emission(weights[0], goes_on)
         for x, y in stacks:
             n, length = y.shape
-            emit = x @ weights[0]
+            emit = x @ emission
             move, start = weights[1] + barred, weights[2] + start_barred
             alpha = np.empty((n, length, 3))
             beta = np.zeros((n, length, 3))
@@ -242,7 +308,9 @@ def train(runs: list[tuple[list[list[int]], list[int]]], steps: int = 200) -> Fi
                 beta[:, t] = _log_sum(move + (emit[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
             z = _log_sum(alpha[:, -1], 1)
             expected = np.exp(alpha + beta - z[:, None, None]) - np.eye(3)[y]
-            grads[0] += np.einsum("ntf,nts->fs", x, expected) / total
+            slope = np.einsum("ntf,nts->fs", x, expected) / total
+            grads[0][:, 0] += slope[:, B] + slope[:, I]
+            grads[0][:, 1] += slope[:, I] * goes_on
             grads[2] += expected[:, 0].sum(axis=0) / total
             for t in range(1, length):
                 pair = np.exp(
@@ -257,55 +325,308 @@ def train(runs: list[tuple[list[list[int]], list[int]]], steps: int = 200) -> Fi
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return Field(weights[0], weights[1] + barred, weights[2] + start_barred)
+        for group in _WEAK_GROUPS:
+            rows = weights[0][_FIRST[group] : _FIRST[group] + _CONTEXT[group]]
+            np.clip(rows, -_WEAK, _WEAK, out=rows)
+        np.clip(weights[0][:, 1], -1, 1, out=weights[0][:, 1])
+    return Field(_emission(weights[0], goes_on), weights[1] + barred, weights[2] + start_barred)
 
 
-RUNS_SCHEMA = "place bigint, shapes array<array<int>>, contexts array<array<int>>, states array<int>"
+# Training windows
 
+WINDOW = "place bigint, secret boolean, text string, spans array<array<int>>, n_others int, n_tokens int, n_chars int"
+_AROUND, _LONGEST, _PER_TEXT = 2, 400, 6
 
-def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
-        out: list[list] = [[], [], [], []]
-        for text in batch.column("text").to_pylist():
-            for shapes, contexts, states in labelled_runs(text):
-                key = repr((shapes, contexts, states)).encode()
-                place = int.from_bytes(hashlib.blake2b(key, digest_size=7).digest(), "little")
-                for column, value in zip(out, (place, shapes, contexts, states)):
-                    column.append(value)
-        numbers = pa.list_(pa.int32())
-        types = (pa.int64(), pa.list_(numbers), pa.list_(numbers), numbers)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(out, types)],
-            ["place", "shapes", "contexts", "states"],
-        )
 
+def _looks_secret(token: str) -> bool:
+    """Whether an unlabelled token is so random that it may well be a secret."""
+    return len(token) >= 12 and _entropy(token[:256]) >= 3 and _changes(token[:256]) >= 0.2
 
-def fit(docs: DataFrame, text: str = "text", max_runs: int = 4000) -> Field | None:
-    """Train on at most ``max_runs`` distinct runs with and as many without a base span.
 
-    Runs are chosen by a hash of their features, so the same documents give the same field.
+def _hash(*parts: object) -> int:
+    key = repr(parts).encode()
+    return int.from_bytes(hashlib.blake2b(key, digest_size=7).digest(), "little")
+
+
+def training_windows(text: str) -> Iterator[tuple]:
+    """(place, secret, text, spans, ...) of windows around some tokens of a text.
+
+    All tokens in base spans, and of the others a few: some that are no plain words, by hash, the
+    longest plain word and one more. A window reaches two tokens to either side; windows with very long tokens are left out.
+    """
+    base = _values(text, base_spans(text))
+    places = tokens(text)
+    if not places:
+        return
+    inside, odd, plain = [], [], []
+    for i, (start, end) in enumerate(places):
+        if base and any(s < end and start < e for s, e in base):
+            inside.append(i)
+            continue
+        token = text[start:end]
+        if PLAIN.fullmatch(token):
+            plain.append(i)
+        elif not _looks_secret(token):
+            odd.append(i)
+    by_hash = {i: _hash(text[slice(*places[i])][:64], i) for i in odd}
+    chosen = sorted(odd, key=by_hash.__getitem__)[:_PER_TEXT]
+    if plain:
+        longest = max(plain, key=lambda i: places[i][1] - places[i][0])
+        chosen += [longest, plain[len(text) // 7 % len(plain)]]
+    for i in [*inside, *chosen]:
+        low, high = max(0, i - _AROUND), min(len(places), i + _AROUND + 1)
+        begin, stop = places[low][0], places[high - 1][1]
+        if stop - begin > _LONGEST:
+            continue
+        own = [
+            (max(s, begin) - begin, min(e, stop) - begin)
+            for s, e in base
+            if s < stop and begin < e
+        ]
+        around = [text[slice(*places[j])] for j in range(low, high) if j not in inside]
+        if any(map(_looks_secret, around)):
+            continue
+        # up to the quote or bracket behind
+        snippet = text[begin : stop + 1]
+        yield (
+            _hash(snippet, own), bool(own), snippet, own,
+            len(base) - len(own), len(places), len(text),
+        )
+
+
+def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    spans = pa.list_(pa.list_(pa.int32()))
+    types = (pa.int64(), pa.bool_(), pa.string(), spans, pa.int32(), pa.int32(), pa.int32())
+    names = ["place", "secret", "text", "spans", "n_others", "n_tokens", "n_chars"]
+    for batch in pieces(batches):
+        rows = [row for t in batch.column("text").to_pylist() for row in training_windows(t)]
+        columns = zip(*rows) if rows else [[]] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+
+def labelled(
+    text: str, spans: list, n_others: int = 0, n_tokens: int = 100, n_chars: int = 1000
+) -> tuple[list[list[int]], list[int]]:
+    """(features, states) of a window. A token is inside if it goes on in a span of the one before."""
+    places = tokens(text)
+    features, states, last = [], [], set()
+    shared = file_features(n_others, n_tokens, n_chars)
+    for i, (start, end) in enumerate(places):
+        own = {tuple(s) for s in spans if s[0] < end and start < s[1]}
+        features.append(shape_features(text[start:end]) + context_features(text, places, i) + shared)
+        states.append(O if not own else I if own & last else B)
+        last = own
+    return features, states
+
+
+# How secrets of common services and tools are written.
+_HEX, _DIGITS, _LOWER = "0123456789abcdef", "0123456789", "abcdefghijklmnopqrstuvwxyz"
+_ALPHABETS = (
+    (_HEX, 32), (_HEX, 40), (_HEX.upper(), 32), (_HEX.upper(), 40), (_LOWER + _DIGITS, 24),
+    (_LOWER + _LOWER.upper() + _DIGITS, 16), (_LOWER + _LOWER.upper() + _DIGITS, 32),
+    (_LOWER + _LOWER.upper() + _DIGITS, 40), (_LOWER + _LOWER.upper() + _DIGITS + "+/", 40),
+    (_LOWER + _LOWER.upper(), 14), (_LOWER + _LOWER.upper(), 24), (_LOWER.upper() + _DIGITS, 20),
+)
+_KEYS = (
+    "password: ", "pwd: ", "pwd=", "passphrase = ", "secret:\n", "token:\n  ", "bearer ", "credentials ",
+    "private_key = ", "access_key = '", "api_key: \"", "auth_token=", "credentials: ", "signature ",
+)
+_PREFIXES = ("ghp_", "sk_live_", "xoxb-", "glpat-", "")
+
+
+def respelt(text: str, spans: list, seed: int) -> list[tuple[str, list]]:
+    """The window with its secret written in other ways, each with the span of the new value."""
+    r = random.Random(seed)
+    start, end = min(s[0] for s in spans), max(s[1] for s in spans)
+    before, after = text[:start], text[end:]
+    out = []
+
+    def value() -> str:
+        letters, n = r.choice(_ALPHABETS)
+        return r.choice(_PREFIXES) * (r.random() < 0.3) + "".join(r.choices(letters, k=n))
+
+    def add(parts: list[tuple[str, bool]]) -> None:
+        line, marks = before, []
+        for part, secret in parts:
+            if secret:
+                marks.append((len(line), len(line) + len(part)))
+            line += part
+        out.append((line + after, marks))
+
+    # plain in the text, behind a key word, words as a password, two secrets side by side
+    add([(value(), True)])
+    add([(r.choice(_KEYS), False), (value(), True)])
+    words = "-".join("".join(r.choices(_LOWER, k=r.randint(3, 8))) for _ in range(r.randint(2, 4)))
+    add([(r.choice([k for k in _KEYS if k[-1] in " =\n\"'"]), False), (words, True)])
+    add([(value(), True), (r.choice((" ", ",", ", ")), False), (value(), True)])
+    # a value that goes on in the next line
+    add([(r.choice(_KEYS), False), (f"{value()}\n{value()}", True)])
+    return out
+
+
+def fit(docs: DataFrame, text: str = "text", max_runs: int = 2000) -> Field | None:
+    """Train on at most ``max_runs`` distinct windows with and four times as many without a base span.
+
+    Windows are chosen by their hash, so the same documents give the same field; the texts are read
+    once. A window with a base span is taught as it stands and respelt (``respelt``). Null and blank
+    texts have no windows, and repeated rows give the same ones. None without a base span.
     """
     texts = narrowed(docs, text=text).filter("text is not null")
-    runs = texts.mapInArrow(_training_rows, RUNS_SCHEMA).groupBy("place").agg(
-        *(F.first(c).alias(c) for c in ("shapes", "contexts", "states"))
+    columns = ("secret", "text", "spans", "n_others", "n_tokens", "n_chars")
+    windows = stored(
+        texts.mapInArrow(_training_rows, WINDOW)
+        .groupBy("place")
+        .agg(*(F.first(c).alias(c) for c in columns)),
+        "training_windows",
     )
-    marked = runs.withColumn("secret", F.exists("states", lambda s: s != O))
-    sample = []
-    for secret in (True, False):
-        sample += (
-            marked.filter(F.col("secret") == secret).orderBy("place").limit(max_runs).collect()
-        )
-    both = []
-    for row in sample:
-        states = list(row.states)
-        both.append(([s + c for s, c in zip(row.shapes, row.contexts)], states))
-        both.append(([list(s) for s in row.shapes], states))
-    return train(both)
+    runs = []
+    for secret, most in ((True, max_runs), (False, 4 * max_runs)):
+        sample = windows.filter(F.col("secret") == secret).orderBy("place").limit(most)
+        for w in sample.collect():
+            counts = (w.n_others, w.n_tokens, w.n_chars)
+            spans = [list(x) for x in w.spans]
+            runs.append(labelled(w.text, spans, *counts))
+            if secret:
+                runs += [labelled(t, x, *counts) for t, x in respelt(w.text, spans, w.place)]
+    return train(runs)
 
 
 # Scan
 
 
+class Tagger:
+    """Decodes whole texts with a field.
+
+    For a token that is seen the first time it works out how much better than outside it could ever
+    score as a secret: with and without a key word before it, between plain words and elsewhere.
+    Where that is below zero no best path takes the token, and the chain falls apart there.
+    """
+
+    def __init__(self, field: Field):
+        self.field = field
+        self.known: dict[str, tuple[tuple[bool, ...] | None, bool]] = {}
+        self.gaps: dict[str, bool] = {}
+        self.plain: dict[tuple[int, bool, bool, bool], tuple[bool, ...]] = {}
+        over = field.emit[:, [B, I]] - field.emit[:, [O]]
+
+        def best(values: np.ndarray, name: str, only: int | None = None) -> np.ndarray:
+            rows = values[_FIRST[name] : _FIRST[name] + (_SHAPE | _CONTEXT)[name]]
+            # a group may be absent
+            return rows[only] if only is not None else np.maximum(rows.max(axis=0), 0)
+
+        at_words = ("assigned", "quoted", "mail", "closed")
+        rest = sum(best(over, n) for n in _CONTEXT if n != "key" and n not in at_words)
+        plain_place = rest + sum(best(over, n, only=0) for n in at_words)
+        any_place = rest + sum(best(over, n) for n in at_words)
+        # a token outside makes the one after it begin where it went on
+        on = field.emit[:, [I]] - field.emit[:, [B]]
+        switch = float(sum(best(on, name) for name in _SHAPE | _CONTEXT)[0])
+        move, start = field.move, field.start
+        switch += max(0.0, float((move[I] - move[B]).max()))
+        turn = np.full(2, -np.inf)
+        for j, s in enumerate((B, I)):
+            for first, instead in [(start[s], start[O]), *((move[a, s], move[a, O]) for a in (O, B, I))]:
+                ends = [0.0, move[s, O] - move[O, O], move[s, B] - move[O, B]]
+                ends.append(move[s, I] - move[O, B] + switch)
+                turn[j] = max(turn[j], first - instead + max(ends))
+        self.over, self.turn = over, turn
+        self.most = [
+            place + best(over, "key", only=key) + turn
+            for key in (0, 1)
+            for place in (plain_place, any_place)
+        ]
+
+    def _verdict(self, token: str) -> tuple[tuple[bool, ...] | None, bool]:
+        """(whether it may be a secret, by 2 * key word before it + special place; is a key word).
+
+        None instead of four times no.
+        """
+        if len(self.known) >= _CACHED_TOKENS:
+            self.known.clear()
+        if PLAIN.fullmatch(token):
+            may = self._of_plain(token)
+        else:
+            may = self._may(self.over[shape_features(token)].sum(axis=0))
+        found = (may if any(may) else None, bool(KEY_END.search(token[-24:])))
+        self.known[token] = found
+        return found
+
+    def _may(self, own: np.ndarray) -> tuple[bool, ...]:
+        return tuple(bool((own + most).max() >= 0) for most in self.most)
+
+    def _of_plain(self, word: str) -> tuple[bool, ...]:
+        """The same for all plain words of this length and case, whatever their letters.
+
+        Worked out once, as if their entropy were the one that suits secrets best.
+        """
+        low_hex = not word.strip("abcdef")
+        high_hex = not word.strip("ABCDEF")
+        kind = (min(len(word), 64), word.islower(), word.isupper(), low_hex or high_hex)
+        if kind not in self.plain:
+            features = [f for f in shape_features(word) if not 0 <= f - _FIRST["entropy"] < 6]
+            entropy = self.over[_FIRST["entropy"] : _FIRST["entropy"] + 6].max(axis=0)
+            self.plain[kind] = self._may(self.over[features].sum(axis=0) + entropy)
+        return self.plain[kind]
+
+    def _special(self, gap: str, after: str) -> bool:
+        if len(gap) > 16:
+            gap = gap[:8] + gap[-8:]
+        found = self.gaps.get(gap)
+        if found is None:
+            if len(self.gaps) >= _CACHED_TOKENS:
+                self.gaps.clear()
+            found = self.gaps[gap] = bool(_SPECIAL_GAP.search(gap))
+        return found or after in ("'", '"', "@")
+
+    def possible(
+        self, text: str, places: list[tuple[int, int]], base: list[Span]
+    ) -> dict[int, list[int]]:
+        """The tokens that a best path may take, with their features.
+
+        Those that may be secrets somewhere are looked at with what really stands around them.
+        """
+        out, after_key, last, known = {}, 0, 0, self.known
+        for i, (start, end) in enumerate(places):
+            token = text[start:end]
+            may, is_key = known.get(token) or self._verdict(token)
+            if may and may[2 * after_key + self._special(text[last:start], text[end : end + 1])]:
+                features = self.features(text, places, i, base)
+                if (self.over[features].sum(axis=0) + self.turn).max() >= 0:
+                    out[i] = features
+            after_key, last = int(is_key), end
+        return out
+
+    def states(self, text: str, base: list[Span]) -> list[tuple[int, int, int, int]]:
+        """(number, start, end, state) of the tokens that are not outside."""
+        places = tokens(text)
+        found = self.possible(text, places, base)
+        chosen, out, at = list(found), [], 0
+        while at < len(chosen):
+            stop = at + 1
+            while stop < len(chosen) and chosen[stop] == chosen[stop - 1] + 1:
+                stop += 1
+            stretch = chosen[at:stop]
+            states = self.field.viterbi(
+                [found[i] for i in stretch],
+                after_outside=stretch[0] > 0,
+                before_outside=stretch[-1] < len(places) - 1,
+            )
+            out += [(i, *places[i], s) for i, s in zip(stretch, states) if s != O]
+            at = stop
+        return out
+
+    def features(
+        self, text: str, places: list[tuple[int, int]], i: int, base: list[Span]
+    ) -> list[int]:
+        start, end = places[i]
+        others = sum(not (s < end and start < e) for s, e, _ in base)
+        return (
+            shape_features(text[start:end])
+            + context_features(text, places, i)
+            + file_features(others, len(places), len(text))
+        )
+
+
 def _uncovered(text: str, start: int, end: int, base: list[Span]) -> list[tuple[int, int]]:
     """What base spans leave of a token: all of it, or the parts that are tokens themselves."""
     meeting = [(s, e) for s, e, _ in base if s < end and start < e]
@@ -314,40 +635,33 @@ def _uncovered(text: str, start: int, end: int, base: list[Span]) -> list[tuple[
     left, at = [], start
     for s, e in [*meeting, (end, end)]:
         if at < s:
-            # a stretch on its own, so that what stands before it does not matter
-            left += [(at + m.start(), at + m.end()) for m in TOKEN.finditer(text[at:s])]
+            left += [
+                (at + b, at + e)
+                for b, e in tokens(text[at:s])
+                if not PLAIN.fullmatch(text, at + b, at + e)
+            ]
         at = max(at, e)
     return left
 
 
-def crf_spans(text: str, field: Field | None, base: list[Span]) -> list[Span]:
+def crf_spans(text: str, field: Field | Tagger | None, base: list[Span]) -> list[Span]:
     """Spans the field adds: a B token with the I tokens after it, less what base spans hold.
 
     Tokens that meet a base span cut such a span; those before and after it stay.
     """
     if field is None:
         return []
-    runs = runs_of_tokens(text)
-    if not runs:
-        return []
-    shared = file_features(text, 0, sum(map(len, runs)))
+    tagger = field if isinstance(field, Tagger) else Tagger(field)
     added: list[Span] = []
-    for run in runs:
-        features = []
-        for start, end in run:
-            shape, context = token_features(text, start, end)
-            features.append(shape + context + shared)
-        joins = False
-        for (start, end), state in zip(run, field.viterbi(features)):
-            if state == O:
-                joins = False
-                continue
-            left = _uncovered(text, start, end, base)
-            if joins and state == I and left == [(start, end)]:
-                added[-1] = (added[-1][0], end, "crf")
-            else:
-                added += [(s, e, "crf") for s, e in left]
-            joins = left == [(start, end)]
+    joins = -2  # the token that the next one may go on from
+    for i, start, end, state in tagger.states(text, base):
+        left = _uncovered(text, start, end, base)
+        whole = left == [(start, end)]
+        if joins == i - 1 and state == I and whole:
+            added[-1] = (added[-1][0], end, "crf")
+        else:
+            added += [(s, e, "crf") for s, e in left]
+        joins = i if whole else -2
     return added
 
 
@@ -368,6 +682,7 @@ def scan(
         fields = [("start", pa.int32()), ("end", pa.int32())]
         fields += [("kind", pa.string()), ("value", pa.string())]
         span_type = pa.list_(pa.struct(fields))
+        tagger = None if field is None else Tagger(field)
         for batch in pieces(batches):
             spans = []
             for text_value in batch.column("text").to_pylist():
@@ -376,7 +691,7 @@ def scan(
                     continue
                 base = base_spans(text_value)
                 found = sorted(
-                    base + crf_spans(text_value, field, base),
+                    base + crf_spans(text_value, tagger, base),
                     key=lambda s: (s[0], (*KINDS, "crf").index(s[2])),
                 )
                 spans.append(
