@@ -40,7 +40,8 @@ _BATCH_TOKENS = 1_000_000
 _CACHED_WORDS = 200_000
 _LEAST_BITS = 64
 _FILTER_BITS = 1 << 26
-_SHORT_LIST, _MORE_PIVOTS, _ROUNDS = 8, 3, 2
+_SHORT_LIST, _MORE_PIVOTS = 8, 3
+_ROUNDS, _TRIED = 1, 6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -473,10 +474,10 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
             *(
                 F.min(F.struct(F.xxhash64("node", "gram", F.lit(round), F.lit(i)), "n", "node", "pos"))
                 .alias(f"p{i}")
-                for i in range(_MORE_PIVOTS)
+                for i in range(_TRIED)
             )
         )
-        pivots = F.explode(F.array(*(F.col(f"p{i}") for i in range(_MORE_PIVOTS)))).alias("pivot")
+        pivots = F.explode(F.array(*(F.col(f"p{i}") for i in range(_TRIED)))).alias("pivot")
         tried = strays.alias("s").join(
             seeds.select("kind", "gram", pivots).alias("p"),
             (F.col("s.kind") == F.col("p.kind")) & (F.col("s.gram") == F.col("p.gram")),
@@ -486,8 +487,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
             & _enough_behind("s", "pivot", percent)
         ).select(F.col("s.node").alias("x"), F.col("pivot.node").alias("y"))
         more = stored(_verified(_pairs(tried), docs, classes, k, percent), "round_links")
-        links = links.unionByName(more)
-        found = components(links)
+        found = _joined_components(found, more)
 
     strays, rows = _open_lists(listed, members, found)
     bits = classes.select("node", "bits")
@@ -505,7 +505,13 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
         .select(F.col("s.node").alias("x"), F.col("r.node").alias("y"))
     )
     more = stored(_verified(_pairs(cross), docs, classes, k, percent), "cross_links")
-    return components(links.unionByName(more))
+    return _joined_components(found, more)
+
+
+def _joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links; those that were found go in as stars, which settle at once."""
+    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(stars.unionByName(links))
 
 
 def _open_lists(
