@@ -100,6 +100,41 @@ def test_label_model_weighs_voters():
     assert accuracy[:4].min() > 0.9 > accuracy[4:7].max()
 
 
+def test_label_model_recovers_accuracies_and_a_correlated_pair():
+    """Five voters of known accuracy, two of which repeat each other's mistakes."""
+    r = np.random.default_rng(9)
+    n = 6000
+    truth = r.random(n) < 0.3
+    rates = (0.9, 0.85, 0.8, 0.8)
+    votes = [np.where(r.random(n) < rate, 1, -1) * np.where(truth, 1, -1) for rate in rates]
+    # half of the time a voter abstains, so that casting can be told apart from voting
+    votes = [np.where(r.random(n) < 0.5, v, 0) for v in votes]
+    copy = np.where(r.random(n) < 0.9, votes[3], 0)
+    posterior, accuracy = toxicity.label_model(np.stack([*votes, copy], axis=1))
+    assert np.abs(accuracy[:4] - rates).max() < 0.05
+    related = toxicity.correlations(np.stack([*votes, copy], axis=1), posterior)
+    assert related[3, 4] > 0.8
+    assert (np.triu(related[:4, :4], 1) == 0).all()
+
+
+def test_toxicity_returns_its_voters_and_reads_repeated_rows_once(spark):
+    texts, truth = [], []
+    for i in range(200):
+        words = sentence(i, 60).split()
+        if i % 4 == 0:
+            words[5:8] = ["vexoren", "vexorist", "grumbaung"]
+        texts.append(" ".join(words))
+        truth.append(int(i % 4 == 0))
+    docs, marks = labelled(spark, texts, truth, "toxic")
+    model = toxicity.fit(docs, marks, everything())
+    assert len(model.accuracies) == len(model.voters) + 5
+    assert any("vexor" in v for v in model.voters)
+    again = toxicity.fit(docs.unionByName(docs.filter("doc_id = 0")), marks, everything())
+    assert again.names == model.names and np.allclose(again.weights, model.weights)
+    few = toxicity.fit(docs, marks, everything(), max_documents=20)
+    assert few.names
+
+
 def test_toxicity_learns_words_and_stems(spark):
     r = random.Random(3)
     stems = ["vexor", "grumba"]
