@@ -55,7 +55,7 @@ INSIDE_KEY = re.compile(f"(?:[A-Za-z0-9]{{0,12}}_)?{_KEY}=", re.IGNORECASE | re.
 PUNCTUATION = re.compile(r"[+/_.=-]")
 PLAIN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # A gap without these, and no quote or @ behind the token, is a plain place.
-_SPECIAL_GAP = re.compile(r"[:=\"'@]")
+_SPECIAL = re.compile(r"[:=\"'@]")
 _OTHER = re.compile(r"[^\x20\t\r\n.,;:=\"']")
 
 O, B, I = 0, 1, 2
@@ -464,14 +464,18 @@ def respelt(text: str, spans: list, seed: int) -> list[tuple[str, list]]:
     return out
 
 
-def fit(docs: DataFrame, text: str = "text", max_runs: int = 2000) -> Field | None:
+def fit(
+    docs: DataFrame, text: str = "text", max_runs: int = 2000, max_texts: int = 20_000
+) -> Field | None:
     """Train on at most ``max_runs`` distinct windows with and four times as many without a base span.
 
-    Windows are chosen by their hash, so the same documents give the same field; the texts are read
-    once. A window with a base span is taught as it stands and respelt (``respelt``). Null and blank
+    Windows come from about ``max_texts`` texts (all, if there are fewer). Texts and windows are
+    chosen by their hash, so the same documents give the same field. A window with a base span is taught as it stands and respelt (``respelt``). Null and blank
     texts have no windows, and repeated rows give the same ones. None without a base span.
     """
     texts = narrowed(docs, text=text).filter("text is not null")
+    share = max(1, 1_000_000 * max_texts // max(texts.count(), 1))
+    texts = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
     columns = ("secret", "text", "spans", "n_others", "n_tokens", "n_chars")
     windows = stored(
         texts.mapInArrow(_training_rows, WINDOW)
@@ -543,9 +547,8 @@ class Tagger:
         """
         if len(self.known) >= _CACHED_TOKENS:
             self.known.clear()
-        if PLAIN.fullmatch(token):
-            may = self._of_plain(token)
-        else:
+        may = self._of_plain(token) if PLAIN.fullmatch(token) else None
+        if may is None or may[0]:
             may = self._may(self.over[shape_features(token)].sum(axis=0))
         found = (may if any(may) else None, bool(KEY_END.search(token[-24:])))
         self.known[token] = found
@@ -575,7 +578,7 @@ class Tagger:
         if found is None:
             if len(self.gaps) >= _CACHED_TOKENS:
                 self.gaps.clear()
-            found = self.gaps[gap] = bool(_SPECIAL_GAP.search(gap))
+            found = self.gaps[gap] = bool(_SPECIAL.search(gap))
         return found or after in ("'", '"', "@")
 
     def possible(
@@ -596,8 +599,22 @@ class Tagger:
             after_key, last = int(is_key), end
         return out
 
+    def nothing_possible(self, text: str) -> bool:
+        """Quick look at the distinct runs of a text that has plain places only and no key word."""
+        if _SPECIAL.search(text):
+            return False
+        for run in set(_RUN.findall(text)):
+            token = run.strip(".") if run[-1] == "." or run[0] == "." else run
+            if token and not _BARE.fullmatch(token):
+                may, is_key = self.known.get(token) or self._verdict(token)
+                if is_key or (may and may[0]):
+                    return False
+        return True
+
     def states(self, text: str, base: list[Span]) -> list[tuple[int, int, int, int]]:
         """(number, start, end, state) of the tokens that are not outside."""
+        if self.nothing_possible(text):
+            return []
         places = tokens(text)
         found = self.possible(text, places, base)
         chosen, out, at = list(found), [], 0
