@@ -35,6 +35,14 @@ def narrowed(docs: DataFrame, **columns: str) -> DataFrame:
     return docs.select(*(docs[old].alias(new) for new, old in columns.items()))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores behind it if a table has such a column already."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: no recompute after a lost executor."""
     path = scratch_path(df.sparkSession, name)

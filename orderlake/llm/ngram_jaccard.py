@@ -31,7 +31,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import bit_filter, components, narrowed, pieces, split_by_filter, stored
+from orderlake.llm.common import (
+    bit_filter,
+    components,
+    free_name,
+    narrowed,
+    pieces,
+    split_by_filter,
+    stored,
+)
 
 # n-grams ordered by their frequency; the rest of the order is by hash
 MAX_FREQUENT = 1 << 19
@@ -633,14 +641,15 @@ def representatives(
     )
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
     first = labelled.groupBy("component").agg(F.min_by("row_key", order).alias("first_key"))
+    own = free_name(docs.columns, "_row_key")
     gone = stored(
         labelled.join(first, "component")
         .filter("row_key <> first_key")
-        .select(F.col("row_key").alias("_row_key"))
+        .select(F.col("row_key").alias(own))
         .distinct(),
         "gone",
     )
-    among = bit_filter(gone, "_row_key", gone.count())
-    keyed = docs.withColumn("_row_key", _row_key(id_column, text))
-    stay, likely = split_by_filter(keyed, "_row_key", among)
-    return stay.unionByName(likely.join(gone, "_row_key", "left_anti")).drop("_row_key")
+    among = bit_filter(gone, own, gone.count())
+    keyed = docs.withColumn(own, _row_key(id_column, text))
+    stay, likely = split_by_filter(keyed, own, among)
+    return stay.unionByName(likely.join(gone, own, "left_anti")).drop(own)

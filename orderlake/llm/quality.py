@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import narrowed, pieces
+from orderlake.llm.common import free_name, narrowed, pieces
 
 PASSAGE_WORDS = 64
 HIDDEN, GATE = 12, 8
@@ -221,15 +221,16 @@ def score(
     ``quality_score`` is replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c != "quality_score"]
-    narrow = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("_scored_text"))
+    scored = free_name(keep, "_scored_text")
+    narrow = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias(scored))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            texts = batch.column("_scored_text").to_pylist()
+            texts = batch.column(scored).to_pylist()
             scores = model.scores([bag(t) for t in texts])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(scores, pa.float64())], [*keep, "quality_score"]
             )
 
-    schema = narrow.drop("_scored_text").schema.add("quality_score", "double")
+    schema = narrow.drop(scored).schema.add("quality_score", "double")
     return narrow.mapInArrow(run, schema)

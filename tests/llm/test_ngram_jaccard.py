@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import brute
+import numpy as np
 import pytest
 from conftest import SF_DIR, edge_rows, frame, sentence
 from pyspark.sql import functions as F
@@ -78,6 +79,50 @@ def test_representatives(edges):
     assert ids == sorted(want, key=repr)
 
 
+def test_columns_with_names_of_ours_stay(edges):
+    named = edges.withColumn("_row_key", F.lit("mine")).withColumn("_row_key_", F.lit(1))
+    kept = ngram_jaccard.representatives(named)
+    assert kept.columns == named.columns
+    assert {(r["_row_key"], r["_row_key_"]) for r in kept.collect()} == {("mine", 1)}
+
+
+def test_long_unrelated_sets_in_one_list(spark):
+    """Long texts that share a passage but little else, and two near copies among them."""
+    passage = sentence(70, 400)
+    rows = [(i, sentence(700 + i, 6000) + " " + passage, "a") for i in range(8)]
+    words = rows[3][1].split()
+    words[100:120] = ["other"] * 20
+    rows.append((20, " ".join(words), "b"))
+    got = found(frame(spark, rows))
+    assert got == sorted(brute.jaccard_components([x[:2] for x in rows]), key=repr)
+    assert [c for i, _, c in got if i == 20] == [3]
+
+
+def test_bitmaps_never_drop_a_link(spark):
+    """The filter on bitmaps holds for all sets at the threshold, and drops nearly all others."""
+    r = random.Random(8)
+    rows, near = [], 0
+    for i in range(300):
+        n = r.choice([5, 60, 64, 65, 500, 3000])
+        a = set(r.sample(range(1 << 40), n))
+        cut = r.randint(0, max(1, n // 5))
+        b = set(list(a)[cut:]) | set(r.sample(range(1 << 40), r.choice([0, cut])))
+        x, y = (ngram_jaccard._mixed(np.array(sorted(s), np.uint64)) for s in (a, b))
+        linked = 100 * len(a & b) >= 85 * len(a | b)
+        near += linked
+        bits = [ngram_jaccard._bitmap(np.sort(v)).tolist() for v in (x, y)]
+        rows.append((i, linked, len(a), bits[0], len(b), bits[1]))
+    ddl = "i int, linked boolean, pn long, pb array<long>, qn long, qb array<long>"
+    df = spark.createDataFrame(rows, ddl).select(
+        "linked",
+        F.struct(F.col("pn").alias("n"), F.col("pb").alias("bits")).alias("p"),
+        F.struct(F.col("qn").alias("n"), F.col("qb").alias("bits")).alias("q"),
+    )
+    close = df.withColumn("close", ngram_jaccard._close("p", "q", 85))
+    assert near > 50
+    assert close.filter("linked AND NOT close").count() == 0
+
+
 def test_empty_table(nothing):
     assert found(nothing) == []
     assert ngram_jaccard.representatives(nothing).count() == 0
