@@ -1,6 +1,9 @@
 """From raw documents to token ids: the stages of a training corpus.
 
-Each stage takes all that its predecessor kept. ``run`` stores what a stage returns as Parquet in
+Each stage takes all that its predecessor kept. Null and blank texts have a quality score of 0 and so
+leave with the first stage; rows with equal ids stay separate rows, and other columns of the documents
+pass until the last stage, which returns ids, language and source with the tokens. An empty table
+passes all stages. ``run`` stores what a stage returns as Parquet in
 the shared folder and reads it back, so a lost executor costs a stage at most.
 """
 
