@@ -9,6 +9,9 @@ the shared folder and reads it back, so a lost executor costs a stage at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,22 @@ from orderlake.llm.common import TOKENIZER, documents, labels, remainder, stored
 from orderlake.llm.queries import KEEP_QUALITY
 
 
+# Rows that go to a Python worker at once: with whole texts the usual 10,000 fill its memory.
+BATCH_ROWS = 500
+
+
+def in_small_batches(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, run with at most ``BATCH_ROWS`` rows a batch; the session keeps that setting."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@in_small_batches
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
     model = quality.fit(docs, labels(spark, sf_dir), remainder(F.col("doc_id"), 4) != 2)
@@ -25,21 +44,25 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return scored.filter(F.col("quality_score") >= KEEP_QUALITY).drop("quality_score")
 
 
+@in_small_batches
 def different_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document for each text."""
     return exact_dedup.deduplicated(docs)
 
 
+@in_small_batches
 def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document for each group of near copies: five-word shingles, similarity 0.8 or more."""
     return ngram_jaccard.representatives(docs, words=5, percent=80)
 
 
+@in_small_batches
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated and cut as the mix of sources takes them."""
     return mixing.mixed_documents(docs)
 
 
+@in_small_batches
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each text, with the hash of what they decode to."""
     return bpe.checked_ids(
