@@ -45,7 +45,7 @@ from orderlake.llm.common import (
 MAX_FREQUENT = 1 << 19
 _FREQUENT = 32
 _BATCH_TOKENS = 1_000_000
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 100_000
 _LEAST_BITS = 64
 _FILTER_BITS = 1 << 26
 _SHORT_LIST, _MORE_PIVOTS = 8, 3
