@@ -80,6 +80,42 @@ def size_shuffles(spark: SparkSession, *paths: str, growth: float = 4.0) -> int:
     return shuffled
 
 
+# What one task gets of the input, and what adaptive execution may merge for one task.
+TASK_INPUT_BYTES = 8 * MB
+TASK_SCAN_BYTES = 32 * MB
+TASK_SHUFFLED_BYTES = 16 * MB
+
+
+def bound_tasks(spark: SparkSession, path: str) -> int:
+    """Keep tasks small however large the file or folder at ``path`` is; returns its partitions.
+
+    A session's fixed number of shuffle partitions gives each task a share that grows with the
+    input until sorts spill. Here the number grows instead: one partition for 8 MB of Parquet, at
+    most ``MAX_PARTITIONS``. The session is only ever set to more and smaller tasks, and an input
+    that fits its number already changes nothing.
+    """
+    needed = min(-(-input_bytes(spark, path) // TASK_INPUT_BYTES), MAX_PARTITIONS)
+    if needed <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return needed
+    spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    # a number of its own for adaptive execution would hide the one above
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if int(spark.conf.get(initial, str(needed))) < needed:
+        spark.conf.set(initial, str(needed))
+    for key, most in (
+        ("spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_SHUFFLED_BYTES),
+        ("spark.sql.files.maxPartitionBytes", TASK_SCAN_BYTES),
+    ):
+        if _bytes(spark, spark.conf.get(key)) > most:
+            spark.conf.set(key, str(most))
+    return needed
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    """A size as Spark's settings write it, such as ``64MB``."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderlake.operators.clean import dedup
 from orderlake.schemas import BRONZE, Table
+from orderlake.session import bound_tasks
 
 # The status of a completed order and the columns we read from these files.
 COMPLETED = "F"
@@ -27,7 +28,10 @@ COLUMNS = {
 
 
 def _read(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.schema(COLUMNS[name]).parquet(f"{directory}/{name}.parquet")
+    """A table; the shuffles that follow are divided by its size."""
+    path = f"{directory}/{name}.parquet"
+    bound_tasks(spark, path)
+    return spark.read.schema(COLUMNS[name]).parquet(path)
 
 
 def _places(spark: SparkSession, directory: str) -> DataFrame:
