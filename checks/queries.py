@@ -29,7 +29,7 @@ from orderlake.plans import refresh, storage
 from orderlake.plans.etl import bronze_to_silver, publish, read_silver, silver_to_gold
 from orderlake.plans.report import segment_report
 from orderlake.plans.segmentation import publish_segment_view, run_segmentation
-from orderlake.session import checkpointed, scratch_path
+from orderlake.session import checkpointed, scratch_path, stored
 from orderlake.sources import catalog, starschema as star
 from orderlake.sources.bronze import read_bronze
 from orderlake.sources.lake import Lake, publish_files, write_table
@@ -568,6 +568,8 @@ def _dimensions(spark: SparkSession, sf_dir: str, lake: Lake) -> None:
         raw = star.raw_text(spark, sf_dir, schemas.BRONZE[name])
         publish_files(
             spark, clean.CLEANERS[name](raw), lake.folder("silver", name), schemas.BRONZE[name]
+        # both batches start from the same items
+        items = stored(items, "items")
         )
 
 

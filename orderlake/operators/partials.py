@@ -41,15 +41,22 @@ def calendar(orders: DataFrame) -> DataFrame:
     )
 
 
-def period_transactions(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """``transaction_metrics`` of each period."""
-    per_order = transaction_metrics(orders.drop("period"), order_totals(items))
+def period_transactions(
+    orders: DataFrame, items: DataFrame, totals: DataFrame | None = None
+) -> DataFrame:
+    """``transaction_metrics`` of each period; ``totals`` are the items' ``order_totals``, if known."""
+    totals = order_totals(items) if totals is None else totals
+    per_order = transaction_metrics(orders.drop("period"), totals)
     return per_order.join(orders.select("order_id", "period"), "order_id")
 
 
-def customer_partials(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Sums, counts and last purchase per period and customer."""
-    totals = order_totals(items).select("order_id", "n_rows", "items_sum", "items_counted")
+def customer_partials(
+    orders: DataFrame, items: DataFrame, totals: DataFrame | None = None
+) -> DataFrame:
+    """Sums, counts and last purchase per period and customer; ``totals`` as above."""
+    totals = (order_totals(items) if totals is None else totals).select(
+        "order_id", "n_rows", "items_sum", "items_counted"
+    )
     return (
         orders.join(totals, "order_id", "left")
         .groupBy("period", "customer_id")

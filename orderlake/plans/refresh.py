@@ -20,12 +20,14 @@ from orderlake import schemas
 from orderlake.operators import partials
 from orderlake.operators.metrics import (
     city_metrics,
+    order_totals,
     province_metrics,
     with_customer_details,
     with_product_details,
     with_tiers,
 )
 from orderlake.plans.etl import publish
+from orderlake.session import stored
 from orderlake.sources.catalog import create_database, create_external_table
 from orderlake.sources.lake import (
     Lake,
@@ -86,7 +88,8 @@ def store_periods(
     a batch replaces as well if it has such items. The list of periods is as long as there are days.
     """
     orders = partials.orders_by_period(transactions, grain)
-    items = partials.items_by_period(order_items, orders)
+    # read twice below; where they come from may be costly
+    items = stored(partials.items_by_period(order_items, orders), "items_by_period")
     periods = [r.period for r in orders.select("period").distinct().collect()]
     if None not in periods and not items.filter("period IS NULL").isEmpty():
         periods.append(None)
@@ -111,9 +114,11 @@ def read_periods(
 def refresh_partials(spark: SparkSession, lake: Lake, periods: Sequence[str | None]) -> None:
     """Compute the partial results of some periods from their files and replace the stored ones."""
     orders, items = read_periods(spark, lake, periods)
+    # summed once for both tables that start from them
+    totals = stored(order_totals(items), "period_totals")
     made = (
-        partials.period_transactions(orders, items),
-        partials.customer_partials(orders, items),
+        partials.period_transactions(orders, items, totals),
+        partials.customer_partials(orders, items, totals),
         partials.customer_products(orders, items),
         partials.product_partials(items),
     )

@@ -77,3 +77,25 @@ def test_smaller_tasks_of_the_session_stay(spark, tables, settings, monkeypatch)
     monkeypatch.setattr(session, "TASK_INPUT_BYTES", 100)
     star.order_items(spark, tables)
     assert settings()[1] == "1m" and settings()[3] == "2m"
+
+
+def test_a_batch_sums_its_items_once(spark, tables, tmp_path, monkeypatch):
+    from orderlake.plans import refresh
+
+    plans, store = [], refresh.replace_partitions
+    monkeypatch.setattr(
+        refresh,
+        "replace_partitions",
+        lambda spark, df, *rest: (
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString()),
+            store(spark, df, *rest),
+        ),
+    )
+    orders, items = queries._orders_and_items(spark, tables)
+    lake = queries.Lake(f"{tmp_path}/lake", "summed_once", f"{tmp_path}/lake/catalog")
+    queries._dimensions(spark, tables, lake)
+    made = refresh.refresh(spark, lake, orders, items, grain="month")
+    # orders, items, and four tables of partial results
+    assert len(plans) == 6
+    assert not any("Window" in p or "paid" in p for p in plans)
+    assert made["customer_metrics"].count() == 60
