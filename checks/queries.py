@@ -9,7 +9,9 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -343,30 +345,12 @@ def kmeans_fixed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = []
     for k in range(2, 9):
         model = segments.train_kmeans(prepared, k, tol=0.0, max_iter=200)
-        centers = [[float(x) for x in c] for c in model.clusterCenters()]
-        table = spark.createDataFrame(list(enumerate(centers)), "other int, center array<double>")
-        own = model.transform(prepared).select(
-            "customer_id", "cluster", vector_to_array("scaled_features").alias("x")
-        )
-        gap = F.aggregate(
-            F.zip_with("x", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
-        )
-        # a row per customer and centre; there are k centres
-        apart = own.crossJoin(F.broadcast(table)).withColumn("gap", gap)
-        misplaced = apart.groupBy("customer_id").agg(
-            F.min("gap").alias("least"),
-            F.max(F.when(F.col("cluster") == F.col("other"), F.col("gap"))).alias("own"),
-        )
-        n_misplaced = misplaced.agg(F.count_if(F.col("own") > F.col("least") + 1e-9)).first()[0]
-        means = own.groupBy("cluster").agg(
-            *(F.avg(F.col("x")[i]).alias(f"x{i}") for i in range(len(segments.FEATURES)))
-        )
-        off = max(
-            abs(row[f"x{i}"] - centers[row.cluster][i])
-            for row in means.collect()
-            for i in range(len(segments.FEATURES))
-        )
-        checks.append((k, n_misplaced, off < 1e-6))
+        return k, *segments.fixed_point(model, prepared)
+
+    # as many fits at a time as in the sweep, so that cores do not wait for the driver
+    ks = range(2, 9)
+    with ThreadPool(len(ks)) as pool:
+        checks = pool.map(inheritable_thread_target(spark)(check), ks, chunksize=1)
     prepared.unpersist()
     return spark.createDataFrame(checks, "k int, n_misplaced bigint, centers_are_means boolean")
 

@@ -14,7 +14,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 
@@ -258,6 +258,35 @@ def train_kmeans(
     return kmeans(k, seed=seed, tol=tol, max_iter=max_iter).fit(prepared)
 
 
+def fixed_point(model: KMeansModel, prepared: DataFrame) -> tuple[int, bool]:
+    """How many rows lie nearer to another centre, and whether every centre is its rows' mean.
+
+    A row is compared with all centres where it lies; what is shuffled and comes back is one row of
+    sums per cluster and task.
+    """
+    centers = [[float(x) for x in c] for c in model.clusterCenters()]
+    x = F.col("x")
+
+    def gap(center: Sequence[float]) -> Column:
+        return sum(
+            ((x[i] - v) * (x[i] - v) for i, v in enumerate(center)), F.lit(0.0)
+        )
+
+    gaps = F.array(*(gap(c) for c in centers))
+    apart = model.transform(prepared).select(
+        "cluster", vector_to_array("scaled_features").alias("x")
+    ).withColumn("gaps", gaps)
+    misplaced = F.col("gaps")[F.col("cluster")] > F.array_min("gaps") + 1e-9
+    sums = apart.groupBy("cluster").agg(
+        F.count_if(misplaced).alias("n_misplaced"),
+        *(F.avg(x[i]).alias(f"x{i}") for i in range(len(centers[0]))),
+    ).collect()
+    off = max(
+        abs(row[f"x{i}"] - v) for row in sums for i, v in enumerate(centers[row.cluster])
+    )
+    return sum(row.n_misplaced for row in sums), off < 1e-6
+
+
 def original_centers(preprocessing: PipelineModel, clusters: KMeansModel) -> list[list[float]]:
     """The centre of each cluster in the units of the features."""
     scaler = preprocessing.stages[-1]

@@ -99,3 +99,41 @@ def test_a_batch_sums_its_items_once(spark, tables, tmp_path, monkeypatch):
     assert len(plans) == 6
     assert not any("Window" in p or "paid" in p for p in plans)
     assert made["customer_metrics"].count() == 60
+
+
+def test_fixed_points_are_told_from_moved_centres(spark):
+    rng = np.random.default_rng(3)
+    data = [
+        (f"C{i}", int(n), float(s), float(s / n), int(n))
+        for i, (n, s) in enumerate(zip(rng.integers(1, 90, 120), rng.random(120) * 1000))
+    ]
+    ddl = (
+        "customer_id string, n_transactions bigint, total_spend double, avg_spend double, "
+        "n_distinct_products bigint"
+    )
+    prepared, _ = segments.prepare_features(spark.createDataFrame(data, ddl))
+    fixed = segments.train_kmeans(prepared, 3, tol=0.0, max_iter=200)
+    assert segments.fixed_point(fixed, prepared) == (0, True)
+
+    class Swapped:
+        """Says of every row a cluster that is not its own."""
+
+        def clusterCenters(self):
+            return fixed.clusterCenters()
+
+        def transform(self, df):
+            return fixed.transform(df).withColumn("cluster", (prediction + 1) % 3)
+
+    prediction = F.col("cluster")
+    assert isinstance(fixed, KMeansModel)
+    assert segments.fixed_point(Swapped(), prepared) == (120, False)
+    # one step only: counted as numpy counts
+    early = segments.train_kmeans(prepared, 3, tol=0.0, max_iter=1)
+    x = np.array(
+        [r[0] for r in prepared.select(vector_to_array("scaled_features")).collect()]
+    )
+    centers = np.array(early.clusterCenters())
+    own = ((x[:, None] - centers) ** 2).sum(2).argmin(1)
+    means = [np.allclose(x[own == c].mean(0), centers[c], atol=1e-6) for c in set(own)]
+    assert segments.fixed_point(early, prepared) == (0, all(means))
+    prepared.unpersist()
