@@ -137,3 +137,24 @@ def test_fixed_points_are_told_from_moved_centres(spark):
     means = [np.allclose(x[own == c].mean(0), centers[c], atol=1e-6) for c in set(own)]
     assert segments.fixed_point(early, prepared) == (0, all(means))
     prepared.unpersist()
+
+
+def test_gates_clean_the_items_once(spark, tables, monkeypatch):
+    plans = []
+    written = queries.write_table
+    monkeypatch.setattr(
+        queries,
+        "write_table",
+        lambda df, *rest: (
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString()),
+            written(df, *rest),
+        ),
+    )
+    found = {r.place: r for r in queries.full_gates(spark, tables).collect()}
+    assert not any("Window" in p for p in plans[:5])
+    assert {place: r.state for place, r in found.items()} == {
+        "orphaned": "orphans", "good": "ready", "retyped": "wrong types", "cut": "wrong columns",
+        "empty": "empty", "repeated": "repeated keys", "absent": "absent",
+        "unreadable": "unreadable",
+    }
+    assert found["good"].n_rows == found["good"].n_keys > 0
