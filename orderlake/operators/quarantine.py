@@ -45,8 +45,9 @@ def cleaned_and_rejected(
 
     ``raw`` is read once, into a stored copy whose rows are numbered. The number rides along while
     copies are removed, as the last column to order by, and a row whose number did not arrive was
-    dropped. Numbers are spread evenly, so no key is hot in that join. ``record`` is the raw row as
-    JSON; ``problems`` of a dropped row ends with ``dropped copy``.
+    dropped. Numbers are spread evenly, so no key is hot in that join. Numbers alone are compared
+    first; only rejected rows are written out as records. ``record`` is the raw row as JSON;
+    ``problems`` of a dropped row ends with ``dropped copy``.
     """
     staged = stored(
         with_problems(raw, table).withColumn(_ROW, F.monotonically_increasing_id()), "staged"
@@ -57,13 +58,21 @@ def cleaned_and_rejected(
     record = F.to_json(F.struct(*(F.col(f"`{c}`") for c in values)))
     if BROKEN in raw.columns:
         record = F.coalesce(F.col(BROKEN), record)
-    rows = staged.select(_ROW, _PROBLEMS, record.alias("record"))
-    gone = rows.join(kept.select(_ROW), _ROW, "left_anti").withColumn(
-        _PROBLEMS, F.array_append(_PROBLEMS, "dropped copy")
+    numbers = staged.select(_ROW, (F.size(_PROBLEMS) > 0).alias("_noted"))
+    arrived = kept.select(_ROW, F.lit(True).alias("_kept"))
+    dropped = F.col("_kept").isNull()
+    # stored, so that Spark knows how few they are before it moves any record
+    found = stored(
+        numbers.join(arrived, _ROW, "left")
+        .filter(dropped | F.col("_noted"))
+        .select(_ROW, dropped.alias("dropped")),
+        "rejected",
     )
-    noted = rows.filter(F.size(_PROBLEMS) > 0).join(kept.select(_ROW), _ROW, "left_semi")
-    rejected = gone.withColumn("dropped", F.lit(True)).unionByName(
-        noted.withColumn("dropped", F.lit(False))
+    problems = F.when(
+        F.col("dropped"), F.array_append(_PROBLEMS, "dropped copy")
+    ).otherwise(F.col(_PROBLEMS))
+    rejected = staged.join(found, _ROW).select(
+        problems.alias(_PROBLEMS), "dropped", record.alias("record")
     )
     return kept.drop(_ROW), rejected.select(
         F.lit(table.name).alias("table_name"),

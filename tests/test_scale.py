@@ -158,3 +158,17 @@ def test_gates_clean_the_items_once(spark, tables, monkeypatch):
         "unreadable": "unreadable",
     }
     assert found["good"].n_rows == found["good"].n_keys > 0
+
+
+def test_only_rejected_rows_are_written_out_as_records(spark):
+    raw = spark.createDataFrame(
+        [("O1", "P1", "1.5", "1", "1.5"), ("O1", "P1", "2", "1", "2"), ("O2", "P1", "x", "1", "2")],
+        "order_id string, product_id string, price string, quantity string, item_total string",
+    )
+    _, rejected = quarantine.cleaned_and_rejected(raw, schemas.ORDER_ITEMS, clean.clean_order_items)
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    # plans are written from the last step to the first
+    assert plan.rindex("AS record") < plan.index("Join")
+    assert sorted((r.problems, r.dropped) for r in rejected.collect()) == [
+        ("dropped copy", True), ("malformed price", False),
+    ]
