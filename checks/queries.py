@@ -342,8 +342,8 @@ def kmeans_fixed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     A fixed point has no such customer and no centre away from the mean of its members.
     """
     prepared, _ = _prepared(spark, sf_dir)
-    checks = []
-    for k in range(2, 9):
+
+    def check(k: int) -> tuple[int, int, bool]:
         model = segments.train_kmeans(prepared, k, tol=0.0, max_iter=200)
         return k, *segments.fixed_point(model, prepared)
 
