@@ -11,7 +11,8 @@ makes of them. The table of words grows with the input and is partitioned by tha
 A word that is not hot has at most N / MAX_WORDS positions, and so has a bigram that holds one, so
 joining them by hash fills no single partition. Of bigrams of two hot words the ``MAX_FREQUENT``
 most frequent ones, found and counted on all documents, are summed where they stand. The others are
-counted per document first and meet at their bigram.
+dealt out by a part of their number into buckets, whose count follows the input; a task sends one row
+per bucket and run of documents, with the positions packed side by side.
 """
 
 from __future__ import annotations
@@ -34,6 +35,11 @@ MAX_WORDS = 1 << HOT_BITS
 MAX_FREQUENT = 1 << 17
 _BATCH_WORDS = 2_000_000
 _CACHED_WORDS = 200_000
+_GRAM_BITS = 2 * HOT_BITS
+_MIX = 0x2545F4915  # odd, so that multiplying modulo 2**_GRAM_BITS has an inverse
+_LEAST_BUCKET_BITS = 8
+_BUCKET_WORDS = 1 << 19  # words of the input per bucket
+_RUN_ROWS = 1 << 16  # documents of a run: their places in it fit 16 bits
 _COLD = np.uint64(1 << 63)
 
 
@@ -230,6 +236,53 @@ def _frequent(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return exact["gram"].to_numpy(np.int64), exact["c"].to_numpy(np.int64)
 
 
+def _bucket_bits(total: int) -> int:
+    """Bits of a mixed bigram that say its bucket; the others fit 32 bits."""
+    return min(max(_LEAST_BUCKET_BITS, (total // _BUCKET_WORDS).bit_length()), _GRAM_BITS)
+
+
+def _packed(
+    rows: list[np.ndarray], grams: list[np.ndarray], bits: int
+) -> Iterator[pa.RecordBatch]:
+    """(bucket, base, places, rests): a row per bucket, its positions side by side."""
+    if not rows:
+        return
+    row, gram = np.concatenate(rows), np.concatenate(grams).astype(np.uint64)
+    mixed = (gram * np.uint64(_MIX)) & np.uint64((1 << _GRAM_BITS) - 1)
+    bucket = (mixed >> np.uint64(_GRAM_BITS - bits)).astype(np.int64)
+    order = np.argsort(bucket.astype(np.uint16) if bits <= 16 else bucket, kind="stable")
+    row, mixed, bucket = row[order], mixed[order], bucket[order]
+    base = row.min()
+    places = (row - base).astype("<u2")
+    rests = (mixed & np.uint64((1 << (_GRAM_BITS - bits)) - 1)).astype("<u4")
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = [*starts[1:].tolist(), len(bucket)]
+    spans = list(zip(starts.tolist(), ends))
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(bucket[starts]),
+            pa.array(np.full(len(starts), base, np.int64)),
+            pa.array([places[a:b].tobytes() for a, b in spans], pa.binary()),
+            pa.array([rests[a:b].tobytes() for a, b in spans], pa.binary()),
+        ],
+        ["bucket", "base", "places", "rests"],
+    )
+
+
+def _unpacked(table: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, gram) of each position in the rows of one bucket, ordered by bigram."""
+    places = table.column("places").to_pylist()
+    row = np.frombuffer(b"".join(places), "<u2").astype(np.int64)
+    row += np.repeat(table.column("base").to_numpy(), [len(p) // 2 for p in places])
+    rest = np.frombuffer(b"".join(table.column("rests").to_pylist()), "<u4").astype(np.uint64)
+    order = np.argsort(rest)
+    bucket = np.uint64(table.column("bucket")[0].as_py())
+    mixed = (bucket << np.uint64(_GRAM_BITS - bits)) | rest[order]
+    inverse = np.uint64(pow(_MIX, -1, 1 << _GRAM_BITS))
+    gram = (mixed * inverse) & np.uint64((1 << _GRAM_BITS) - 1)
+    return row[order], gram.astype(np.int64)
+
+
 def backoff_scores(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -250,7 +303,8 @@ def backoff_scores(
     docs = narrowed(docs, doc_id=id_column, text=text)
     kind = docs.schema["doc_id"].dataType.simpleString()
     unigrams = _unigrams(docs, word_key)
-    log_total = math.log(unigrams.agg(F.sum("c")).first()[0] or 1)
+    total = unigrams.agg(F.sum("c")).first()[0] or 1
+    log_total, bits = math.log(total), _bucket_bits(total)
     top = unigrams.orderBy(F.desc("c"), "word").limit(MAX_WORDS).toPandas()
     tokens = _tokens(docs, word_key, top["word"].to_numpy(np.int64))
     logs = np.log(top["c"].to_numpy(np.float64))
@@ -286,20 +340,51 @@ def backoff_scores(
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = sent.value[1]
+        rows, found, size, low, high = [], [], 0, 0, 0
         for batch in pieces(batches):
-            document, found = _hot_grams(batch)
-            hit, _ = _among(grams, found)
-            each = (document[~hit] << (2 * HOT_BITS)) + found[~hit]
-            each, k = np.unique(each, return_counts=True)
-            rows = batch.column("row").to_numpy()[each >> (2 * HOT_BITS)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows),
-                    pa.array(each & ((1 << 2 * HOT_BITS) - 1)),
-                    pa.array(k.astype(np.int32)),
-                ],
-                ["row", "gram", "k"],
-            )
+            document, each = _hot_grams(batch)
+            hit, _ = _among(grams, each)
+            if hit.all():
+                continue
+            row = batch.column("row").to_numpy()[document[~hit]]
+            each = each[~hit]
+            # a run ends where the next documents' numbers lie too far off, as in another file
+            while len(row):
+                first, last = int(row.min()), int(row.max())
+                if last - first >= _RUN_ROWS:
+                    near = (row >= first) & (row < first + _RUN_ROWS)
+                else:
+                    near = np.ones(len(row), bool)
+                last = int(row[near].max())
+                if rows and max(high, last) - min(low, first) >= _RUN_ROWS:
+                    yield from _packed(rows, found, bits)
+                    rows, found, size = [], [], 0
+                low, high = (min(low, first), max(high, last)) if rows else (first, last)
+                rows.append(row[near])
+                found.append(each[near])
+                size += int(near.sum())
+                row, each = row[~near], each[~near]
+            if size >= _BATCH_WORDS:
+                yield from _packed(rows, found, bits)
+                rows, found, size = [], [], 0
+        yield from _packed(rows, found, bits)
+
+    def rare_parts(bucket: pa.Table) -> pa.Table:
+        logs = sent.value[0]
+        row, gram = _unpacked(bucket, bits)
+        starts = np.flatnonzero(np.diff(gram, prepend=-1))
+        n = np.diff(np.append(starts, len(gram)))
+        often = np.repeat(n >= cutoff, n)
+        u, v = gram[starts] >> HOT_BITS, gram[starts] & ((1 << HOT_BITS) - 1)
+        part = np.repeat(np.log(n) - logs[u] - logs[v] + gain, n)[often]
+        row, place = np.unique(row[often], return_inverse=True)
+        return pa.table(
+            {
+                "row": pa.array(row, pa.int64()),
+                "part": pa.array(np.bincount(place, part, len(row)), pa.float64()),
+                "seen": pa.array(np.bincount(place, minlength=len(row)), pa.int64()),
+            }
+        )
 
     def cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -310,18 +395,11 @@ def backoff_scores(
                 [pa.array(rows), pa.array(u[some]), pa.array(v[some])], ["row", "u", "v"]
             )
 
-    rare_seen = (
+    rare_sums = (
         tokens.select("row", "ranks")
-        .mapInArrow(rare, "row bigint, gram bigint, k int")
-        .withColumn("n", F.sum("k").over(Window.partitionBy("gram")))
-        .filter(F.col("n") >= cutoff)
-        .select(
-            "row",
-            F.shiftright("gram", HOT_BITS).alias("u"),
-            (F.col("gram") % (1 << HOT_BITS)).alias("v"),
-            "k",
-            "n",
-        )
+        .mapInArrow(rare, "bucket bigint, base bigint, places binary, rests binary")
+        .groupBy("bucket")
+        .applyInArrow(rare_parts, "row bigint, part double, seen bigint")
     )
     cold_seen = stored(
         tokens.select("row", "ranks", "cold")
@@ -358,8 +436,7 @@ def backoff_scores(
         .select("row", "part", F.lit(0).cast("bigint").alias("seen"))
     )
     sums = (
-        summed(rare_seen)
-        .unionByName(summed(cold_seen))
+        rare_sums.unionByName(summed(cold_seen))
         .unionByName(of_words)
         .groupBy("row")
         .agg(F.sum("part").alias("part"), F.sum("seen").alias("seen"))

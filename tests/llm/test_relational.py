@@ -7,6 +7,8 @@ import math
 from collections import Counter
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR, edge_rows
 
@@ -162,3 +164,31 @@ def test_words_of_one_class_count_apart(spark, hot, frequent, monkeypatch):
     want = [(i, *w) for i, w in enumerate(word_scores(texts))]
     assert sorted(map(tuple, rows)) == want
     assert brute_scores(texts) != word_scores(texts)
+
+
+def test_rare_bigrams_travel_packed(spark, monkeypatch):
+    """A shuffled row holds a bucket's positions in a run of documents; runs of any length agree."""
+    monkeypatch.setattr(lm_score, "MAX_FREQUENT", 3)
+    texts = [t for _, t, _ in edge_rows()] + [f"a{i % 7} b{i % 5} c a{i % 3}" for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = [(i, *w) for i, w in enumerate(word_scores(texts))]
+    for run_rows, batch_words, bucket_words in ((1 << 16, 2_000_000, 1 << 19), (2, 10, 1)):
+        monkeypatch.setattr(lm_score, "_RUN_ROWS", run_rows)
+        monkeypatch.setattr(lm_score, "_BATCH_WORDS", batch_words)
+        monkeypatch.setattr(lm_score, "_BUCKET_WORDS", bucket_words)
+        scored = lm_score.backoff_scores(docs, word_key=lm_score.word_hash)
+        assert sorted(map(tuple, scored.collect())) == want
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "Window" not in plan
+
+
+def test_packed_positions_come_back():
+    random = np.random.default_rng(3)
+    row = np.sort(random.integers(1 << 40, (1 << 40) + 60_000, 5_000))
+    gram = random.integers(0, 1 << lm_score._GRAM_BITS, 5_000)
+    for bits in (6, 11, lm_score._GRAM_BITS):
+        (batch,) = lm_score._packed([row], [gram], bits)
+        table = pa.Table.from_batches([batch])
+        back = [lm_score._unpacked(table.slice(i, 1), bits) for i in range(table.num_rows)]
+        got = zip(*(np.concatenate(x).tolist() for x in zip(*back)))
+        assert sorted(got) == sorted(zip(row.tolist(), gram.tolist()))
