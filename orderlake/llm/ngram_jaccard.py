@@ -310,7 +310,7 @@ def _verified(
 ) -> DataFrame:
     """Those of the distinct pairs (a, b) of nodes whose whole sets reach the threshold.
 
-    Bitmaps leave few others. Only the texts of classes that are in a pair are cut into n-grams
+    Bitmaps leave few others; if they leave none, no text is read. Only the texts of classes that are in a pair are cut into n-grams
     again, and a set is moved once for itself and once for each pair it is the second of.
     """
     known = classes.select("node", "n", "bits", "class_key", "row_key")
@@ -325,6 +325,8 @@ def _verified(
         ),
         "near_pairs",
     )
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
     needed = (
         pairs.select(F.col("row_key_p").alias("row_key"))
         .union(pairs.select("row_key_q"))
@@ -478,6 +480,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
     # members chosen by hash connect most of it, before all members are tried.
     for round in range(_ROUNDS):
         strays, rows = _open_lists(listed, members, found)
+        if rows.isEmpty():
+            return found
         seeds = rows.filter("NOT stray").groupBy("kind", "gram").agg(
             *(
                 F.min(F.struct(F.xxhash64("node", "gram", F.lit(round), F.lit(i)), "n", "node", "pos"))
@@ -498,6 +502,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
         found = _joined_components(found, more)
 
     strays, rows = _open_lists(listed, members, found)
+    if rows.isEmpty():
+        return found
     bits = classes.select("node", "bits")
     cross = (
         strays.join(bits, "node").alias("s")
@@ -518,6 +524,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int) ->
 
 def _joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
     """Components after further links; those that were found go in as stars, which settle at once."""
+    if links.isEmpty():
+        return found
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return components(stars.unionByName(links))
 
@@ -529,7 +537,8 @@ def _open_lists(
 
     Rows (kind, gram, node, n, pos, component, stray); groups are expanded into their members, and a
     group whose members are not connected is a list of its own, of kind 1. A stray is outside its
-    list's largest component. The two rows of a list of two have met in the star already.
+    list's largest component. The two rows of a list of two have met in the star already. There are
+    strays if there are rows at all.
     """
     own = members.join(found, "node", "left").select(
         "node", "lead", "n", F.coalesce("component", "node").alias("component")

@@ -132,3 +132,31 @@ def test_given_documents(spark):
     docs = documents(spark, SF_DIR)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert found(docs) == sorted(brute.jaccard_components(rows), key=repr)
+
+
+def test_no_work_where_nothing_is_open(spark, monkeypatch):
+    """Documents far apart that share lines: one round of components, no text read again."""
+    calls = []
+
+    def counted(name):
+        real = getattr(ngram_jaccard, name)
+        monkeypatch.setattr(
+            ngram_jaccard, name, lambda *a, **b: (calls.append(name), real(*a, **b))[1]
+        )
+
+    counted("components")
+    counted("_keyed_texts")
+    line = sentence(5, 12)
+    texts = [f"{line} {sentence(100 + i, 40)}" for i in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == sorted(brute.jaccard_components(rows, 4, 85), key=repr)
+    scans = calls.count("_keyed_texts")
+    assert calls.count("components") == 1
+
+    # one pair of near copies takes its verification, and no second round
+    calls.clear()
+    rows.append((20, f"{texts[0]} more"))
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == sorted(brute.jaccard_components(rows, 4, 85), key=repr)
+    assert calls.count("_keyed_texts") == scans + 1
